@@ -96,7 +96,8 @@ def exact_percentiles(
 
     def between(i: int, q: float) -> Column:
         low, high = F.col(f"low_{i}"), F.col(f"high_{i}")
-        return low + (high - low) * (at[q] - F.floor(at[q]))
+        share = at[q] - F.floor(at[q])
+        return low * (1 - share) + high * share
 
     return picked.select(
         *keys,

@@ -7,31 +7,121 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from hoptrail import wire
+from hoptrail.functions.ids import id_origin_ms
+from hoptrail.functions.headers import header_text
 from hoptrail.functions.windows import event_ms
-from hoptrail.operators import percentiles, reports, stuck, views
-from hoptrail.sources.events import raw_records
+from hoptrail.operators import annotate, meters, percentiles, relay, reports, stuck, trails, views
+from hoptrail.plans import questions
+from hoptrail.sources.events import raw_records, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# The moments asked about: noon, and six hours into the twelve the traces span.
+NOON = 1704110400000
+DEPLOY = 1704088800000
+
+# What the documentation of the pipeline claims: it still lists a topic that is
+# no longer used and has not heard of the terminal consumer.
+DOCUMENTED = [
+    ("produce", wire.INTAKE, wire.PLACED),
+    ("consume", wire.ENRICHMENT, wire.PLACED),
+    ("produce", wire.ENRICHMENT, wire.ENRICHED),
+    ("consume", wire.FULFILLMENT, wire.ENRICHED),
+    ("produce", wire.FULFILLMENT, wire.FULFILLED),
+    ("produce", wire.SHIPPING, "orders.shipped"),
+]
+
 
 def _plain_time(df: DataFrame) -> DataFrame:
     """Event time as epoch milliseconds, which every engine writes alike."""
     return df.withColumn("event_ms", event_ms()).drop("event_time")
 
 
+def _rounded(df: DataFrame) -> DataFrame:
+    """Interpolated values to six places; engines differ in the last bit."""
+    names = [c for c in df.columns if c[0] == "p" and c.endswith("_ms")]
+    return df.withColumns({c: F.round(c, 6) for c in names})
+
+
 def _raw(query: Callable[[DataFrame], DataFrame], with_trail: bool = False) -> Query:
     return lambda spark, folder: query(raw_records(spark, folder, with_trail))
 
 
-def _signals(query: Callable[[DataFrame], DataFrame], *keep: str) -> Query:
-    return _raw(lambda raw: query(views.signals(raw, keep)))
+def _signals(query: Callable[[DataFrame], DataFrame]) -> Query:
+    return _raw(lambda raw: query(views.signals(raw)))
 
 
 def _produce(query: Callable[[DataFrame], DataFrame], *keep: str) -> Query:
     return _raw(lambda raw: query(views.produce_view(raw, keep)))
 
 
+def _consume(query: Callable[[DataFrame], DataFrame]) -> Query:
+    return _raw(lambda raw: query(views.consume_view(raw)))
+
+
+def _latency_of_consumes(query: Callable[[DataFrame], DataFrame]) -> Query:
+    return _consume(lambda c: query(meters.consume_latency(c)))
+
+
+def _relay_output(raw: DataFrame) -> DataFrame:
+    """What the enrichment service sends for each record placed."""
+    placed = raw.where(F.col("kafka_topic") == wire.PLACED)
+    sent = relay.relay(placed, wire.ENRICHMENT, wire.ENRICHED, sent_ms=event_ms() + F.lit(250))
+    hops = F.transform(
+        trails.parsed_trail()["h"], lambda h: F.concat_ws(">", h["s"], h["t"], h["m"].cast("string"))
+    )
+    decoded = sent.withColumn("hops", F.concat_ws(",", hops)).withColumn(
+        "truncated", trails.parsed_trail()["x"]
+    )
+    return _plain_time(
+        views.signals(decoded, ["event_id", "kafka_topic", "hops", "truncated"])
+    ).drop("consumer_service")
+
+
+def _markers(raw: DataFrame) -> DataFrame:
+    """The markers the fulfillment service leaves for each record enriched."""
+    enriched = raw.where(F.col("kafka_topic") == wire.ENRICHED)
+    sent = relay.consume_markers(enriched, wire.FULFILLMENT, sent_ms=event_ms() + F.lit(50))
+    return _plain_time(views.consume_view(sent, ["kafka_topic"]))
+
+
+def _echo_model():
+    """Stands in for a text model: two short sentences from the facts given."""
+
+    def answer(asked: list[str]) -> list[str]:
+        return [f"Nothing consumed {p.split(' last_topic=')[1].split(' ')[0]}. Check its consumer." for p in asked]
+
+    return answer
+
+
+def _correlated(spark: SparkSession, folder: str) -> DataFrame:
+    event_id = F.conv(F.substring("trace_id", 14, 19), 16, 10).cast("bigint")
+    business = read_events(spark, folder).select("event_id", "user_id", "event_type")
+    produce = views.produce_view(raw_records(spark, folder))
+    return questions.correlate(produce, business, event_id, "event_id")
+
+
+def _drift(spark: SparkSession, folder: str) -> DataFrame:
+    documented = spark.createDataFrame(DOCUMENTED, "edge_type string, service string, topic string")
+    return questions.topology_drift(views.signals(raw_records(spark, folder)), documented)
+
+
+def _audit(raw: DataFrame) -> DataFrame:
+    signal_rows = views.signals(raw)
+    return questions.audit(signal_rows, views.produced(signal_rows))
+
+
+def _rolled_up(produce: DataFrame) -> DataFrame:
+    return percentiles.merge_sketches(percentiles.latency_sketches(produce), ["pipeline"])
+
+
+HOP_DIMS = ["pipeline", "origin_service", "this_topic"]
+EDGE_DIMS = ["pipeline", "origin_service", "this_service", "this_topic"]
+CONSUME_DIMS = ["pipeline", "consumer_service", "this_topic"]
+
 QUERIES: dict[str, Query] = {
+    # Sources and views.
     "raw_union": _raw(
         lambda raw: raw.select(
             event_ms().alias("event_ms"),
@@ -43,16 +133,86 @@ QUERIES: dict[str, Query] = {
     ),
     "produce_view": _produce(_plain_time),
     "consume_view": _raw(lambda raw: _plain_time(views.consume_view(raw))),
+    "untagged_rate": _raw(views.untagged_rate),
+    "rejected_headers": _raw(views.rejected_headers),
+    "trace_age": _produce(lambda p: _plain_time(views.trace_age(p, NOON))),
+    "id_time": _produce(
+        lambda p: p.select("trace_id", id_origin_ms(F.col("trace_id")).alias("id_ms")).distinct()
+    ),
+    # Reports.
     "latency_1m": _produce(reports.latency),
     "topology_1m": _produce(reports.topology),
     "bipartite_topology_1m": _signals(reports.bipartite_topology),
     "hop_distribution_1m": _produce(reports.hop_distribution),
     "coverage_1m": _produce(reports.coverage),
-    "latency_percentiles_1m": _produce(percentiles.latency_percentiles),
+    "latency_percentiles_1m": _produce(lambda p: _rounded(percentiles.latency_percentiles(p))),
     "latency_percentiles_approx": _produce(lambda p: percentiles.latency_percentiles(p, "approx")),
     "latency_percentiles_kll": _produce(lambda p: percentiles.latency_percentiles(p, "kll")),
+    "latency_sketch_rollup": _produce(_rolled_up),
     "stuck_trace": _produce(stuck.stuck_traces),
-    "untagged_rate": _raw(views.untagged_rate),
-    "rejected_headers": _raw(views.rejected_headers),
-    "trace_age": _produce(lambda p: _plain_time(views.trace_age(p, 1704110400000))),
+    "rca_prompt": _produce(lambda p: annotate.prompts(stuck.stuck_traces(p))),
+    "trace_rca": _produce(lambda p: annotate.root_causes(stuck.stuck_traces(p), _echo_model)),
+    # Trails, paths and stage jobs.
+    "trail_hops": _raw(trails.trail_hops, with_trail=True),
+    "trail_violations": _raw(trails.trail_violations, with_trail=True),
+    "untagged_trail_records": _raw(
+        lambda raw: raw.where(header_text(wire.TRAIL).isNull())
+        .groupBy("kafka_topic")
+        .agg(F.count(F.lit(1)).alias("records")),
+        with_trail=True,
+    ),
+    "trace_path": _produce(lambda p: trails.trace_path(p).drop("origin_day")),
+    "relay_output": _raw(_relay_output, with_trail=True),
+    "consume_markers": _raw(_markers),
+    # Metric queries.
+    "k01_avg_latency": _produce(lambda p: meters.average_latency(p, HOP_DIMS)),
+    "k02_max_latency": _produce(lambda p: meters.maximum_latency(p, HOP_DIMS)),
+    "k03_produce_edges": _produce(lambda p: meters.counted(p, EDGE_DIMS)),
+    "k04_hop_counts": _produce(lambda p: meters.counted(p, ["pipeline", "this_topic", "hop_count"])),
+    "k05_consume_edges": _latency_of_consumes(
+        lambda c: meters.counted(c, ["pipeline", "this_topic", "consumer_service"])
+    ),
+    "k06_time_to_consume": _latency_of_consumes(lambda c: meters.average_latency(c, CONSUME_DIMS)),
+    "k07_consume_age": _latency_of_consumes(
+        lambda c: meters.average_latency(c, CONSUME_DIMS).withColumnRenamed("avg_seconds", "avg_age_seconds")
+    ),
+    "k08_consumer_throughput": _consume(lambda c: meters.counted(c, ["consumer_service"])),
+    "k09_failure_ratio": _produce(meters.failure_ratio, "status"),
+    "k10_completion_share": _produce(meters.completion_share),
+    "k11_lagging_consumers": _consume(meters.lagging_consumers),
+    "k12_silent_services": _produce(meters.silent_services),
+    "k13_drop_off": _signals(lambda s: meters.drop_off(s, wire.ENRICHED, wire.FULFILLED)),
+    "k14_end_to_end_latency": _consume(meters.end_to_end_latency),
+    "k15_hop_ceiling": _produce(meters.at_hop_ceiling),
+    "k16_pipeline_records": _produce(lambda p: meters.counted(p, ["pipeline"])),
+    "k17_topic_records": _produce(lambda p: meters.counted(p, ["this_topic"])),
+    "k18_latency_change": _produce(meters.latency_change),
+    "k19_pass_through": _signals(meters.pass_through),
+    "k20_new_services": _produce(meters.new_services),
+    "k21_pipeline_filter": _produce(
+        lambda p: meters.counted(meters.in_pipelines(p, "ord.*"), ["pipeline", "this_service"])
+    ),
+    "k21_pipelines": _produce(meters.pipelines),
+    # Questions.
+    "l01_record_tags": _raw(trails.record_tags),
+    "l05_relay_survival": _signals(questions.relay_survival),
+    "l06_trace_pipeline": _produce(questions.trace_pipeline),
+    "l08_service_graph": _consume(questions.service_graph),
+    "l12_traces_per_pipeline": _produce(questions.traces_per_pipeline),
+    "l13_latency_around": _produce(lambda p: questions.latency_around(p, DEPLOY)),
+    "l14_completion": _signals(questions.completion),
+    "l15_lost_between": _produce(questions.lost_between),
+    "l16_duplicates": _consume(questions.duplicates),
+    "l17_unfinished": _produce(questions.unfinished),
+    "l19_first_appearance": _produce(questions.first_appearance),
+    "l20_pipeline_percentiles": _produce(lambda p: _rounded(questions.pipeline_percentiles(p))),
+    "l21_worst_minute": _produce(lambda p: _rounded(questions.worst_minute(p))),
+    "l22_topology_drift": _drift,
+    "l23_stuck_rate": _produce(lambda p: questions.stuck_rate_around(p, DEPLOY)),
+    "l24_stuck_breakdown": _produce(questions.stuck_breakdown, "kafka_partition"),
+    "l26_dated_path": _produce(trails.trace_path),
+    "l27_missed_services": _produce(questions.missed_services),
+    "l28_trace_journey": _signals(trails.trace_journey),
+    "l29_audit": _raw(_audit),
+    "l30_correlated": _correlated,
 }

@@ -75,9 +75,9 @@ _LATENCY = """SELECT window_start, window_end, pipeline, origin_service, this_to
 FROM produce GROUP BY 1, 2, 3, 4, 5"""
 
 _PERCENTILES = """SELECT window_start, window_end, pipeline, origin_service, this_topic,
-       quantile_cont(CAST(latency_ms AS DOUBLE), 0.5) AS p50_ms,
-       quantile_cont(CAST(latency_ms AS DOUBLE), 0.95) AS p95_ms,
-       quantile_cont(CAST(latency_ms AS DOUBLE), 0.99) AS p99_ms,
+       round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.5), 6) AS p50_ms,
+       round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 6) AS p95_ms,
+       round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.99), 6) AS p99_ms,
        count(*) AS sample_count
 FROM produce WHERE latency_ms IS NOT NULL GROUP BY 1, 2, 3, 4, 5"""
 
@@ -147,5 +147,366 @@ def _reports() -> dict[str, str]:
     }
 
 
+_PROMPT = """'pipeline=' || pipeline || ' trace_id=' || trace_id || ' last_service=' || last_service
+      || ' last_topic=' || last_topic || ' hop_count=' || CAST(last_hop_count AS VARCHAR)
+      || ' idle_ms=' || CAST(stuck_for_ms AS VARCHAR)"""
+
+_STAGE = f"CASE this_topic WHEN '{PLACED}' THEN 1 WHEN '{ENRICHED}' THEN 2 ELSE 3 END"
+
+# Hops of the JSON trail of each produced record: earlier stages at their
+# planned time, the last one when it was really sent.
+_HOPS = f"""hops AS (
+  SELECT r.*, j.pos, r.stage,
+    CASE j.pos WHEN 1 THEN '{INTAKE}' WHEN 2 THEN '{ENRICHMENT}' ELSE '{FULFILLMENT}' END AS hop_service,
+    CASE j.pos WHEN 1 THEN '{PLACED}' WHEN 2 THEN '{ENRICHED}' ELSE '{FULFILLED}' END AS hop_topic,
+    CASE WHEN j.pos = r.stage THEN r.event_ms
+         ELSE b.origin_ms + (j.pos - 1) * (200 + (r.event_id * 7919) % 4000) END AS hop_ms
+  FROM (SELECT *, {_STAGE} AS stage FROM produce) r
+  JOIN b ON b.event_id = r.event_id
+  JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3) j ON j.pos <= r.stage
+)"""
+
+_ALL_STEPS = """steps AS (
+  SELECT trace_id, event_ms, CASE WHEN consumer_service IS NULL THEN 'produce' ELSE 'consume' END AS step,
+         coalesce(consumer_service, this_service) AS service, this_topic AS topic, hop_count
+  FROM sig
+)"""
+
+# The five one-minute-step windows a minute belongs to.
+_SLIDE = "(SELECT 0 AS back UNION ALL SELECT 60000 UNION ALL SELECT 120000 UNION ALL SELECT 180000 UNION ALL SELECT 240000)"
+
+
+def _sliding(source: str) -> str:
+    return f"""slid AS (SELECT t.* EXCLUDE (window_start, window_end), t.window_start - o.back AS window_start
+  FROM {source} t CROSS JOIN {_SLIDE} o)"""
+
+
+def _path(rows: str, order: str) -> str:
+    return f"SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY event_ms, {order}) AS pos FROM ({rows})"
+
+
+def _trails() -> dict[str, str]:
+    path = _path(
+        """SELECT trace_id, event_ms, this_service AS service, this_topic AS topic, hop_count FROM produce""",
+        "hop_count, topic, service",
+    )
+    relayed = f"""WITH_PLACED AS (
+      SELECT *, event_ms + 250 AS sent_ms,
+        sha256(concat_ws('|', '{PLACED}', CAST(event_id % 6 AS VARCHAR), CAST(event_id AS VARCHAR))) AS digest
+      FROM raw WHERE kafka_topic = '{PLACED}'
+    ), fresh AS (
+      SELECT p.*, b.origin_ms, concat(lpad(lower(to_hex(sent_ms)), 12, '0'), '7', substr(digest, 1, 3),
+             substr('89ab', (strpos('0123456789abcdef', substr(digest, 4, 1)) - 1) % 4 + 1, 1),
+             substr(digest, 5, 15)) AS new_id
+      FROM WITH_PLACED p JOIN b ON b.event_id = p.event_id
+    )"""
+    old_hop = f"concat('{INTAKE}>{PLACED}>', CAST(event_ms AS VARCHAR), ',')"
+    return {
+        "id_time": _query(
+            "SELECT DISTINCT trace_id, b.origin_ms AS id_ms FROM produce JOIN b ON b.event_id = produce.event_id"
+        ),
+        "rca_prompt": _query(
+            f"""SELECT trace_id, pipeline, last_service, last_topic, stuck_for_ms, {_PROMPT} AS prompt FROM stuck""",
+            _STUCK,
+        ),
+        "trace_rca": _query(
+            f"""SELECT trace_id, pipeline, last_service, last_topic, stuck_for_ms,
+                CASE WHEN ({_PROMPT}) IS NOT NULL
+                THEN 'Nothing consumed ' || last_topic || '. Check its consumer.' END AS root_cause FROM stuck""",
+            _STUCK,
+        ),
+        "trail_hops": _query(
+            """SELECT kafka_topic, CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+               trace_id, CAST(pos AS INTEGER) AS pos, hop_service AS service, hop_topic AS topic,
+               hop_ms AS ts_ms, hop_count >= 32 AS truncated FROM hops""",
+            _HOPS,
+        ),
+        "trail_violations": _query(
+            f"""SELECT kafka_topic, count(*) AS trails, CAST(0 AS BIGINT) AS id_differs,
+               count(*) FILTER (WHERE origin_ts = 'bad') AS origin_ts_differs,
+               CAST(0 AS BIGINT) AS origin_service_differs, CAST(0 AS BIGINT) AS pipeline_differs,
+               CAST(0 AS BIGINT) AS service_differs, CAST(0 AS BIGINT) AS topic_differs,
+               count(*) FILTER (WHERE hop_count <> {_STAGE}) AS hop_count_differs,
+               CAST(0 AS BIGINT) AS backwards, CAST(0 AS BIGINT) AS id_time_differs
+               FROM produce GROUP BY 1"""
+        ),
+        "untagged_trail_records": _query(
+            """SELECT kafka_topic, count(*) AS records FROM raw
+               WHERE trace_id IS NULL OR consumer_service IS NOT NULL GROUP BY 1"""
+        ),
+        "trace_path": _query(path),
+        "l26_dated_path": _query(
+            f"""SELECT q.*, strftime(make_timestamp(b.origin_ms * 1000), '%Y-%m-%d') AS origin_day
+                FROM ({path}) q JOIN (SELECT DISTINCT trace_id, event_id FROM produce) k USING (trace_id)
+                JOIN b USING (event_id)"""
+        ),
+        "l28_trace_journey": _query(_path("FROM steps", "hop_count, step, topic, service"), _ALL_STEPS),
+        "relay_output": _query(
+            f"""SELECT coalesce(trace_id, new_id) AS trace_id,
+                CASE WHEN trace_id IS NULL THEN sent_ms ELSE origin_ms END AS origin_ts_ms,
+                CASE WHEN trace_id IS NULL THEN '{ENRICHMENT}' ELSE origin_service END AS origin_service,
+                CASE WHEN trace_id IS NULL THEN 'orders' ELSE pipeline END AS pipeline,
+                '{ENRICHMENT}' AS this_service, '{ENRICHED}' AS this_topic,
+                CAST(CASE WHEN trace_id IS NULL THEN 1 ELSE 2 END AS INTEGER) AS hop_count,
+                event_id, '{ENRICHED}' AS kafka_topic,
+                concat(CASE WHEN trace_id IS NULL THEN '' ELSE {old_hop} END,
+                       '{ENRICHMENT}>{ENRICHED}>', CAST(sent_ms AS VARCHAR)) AS hops,
+                trace_id IS NOT NULL AND hop_count >= 32 AS truncated, sent_ms AS event_ms
+                FROM fresh""",
+            relayed.replace("WITH_PLACED", "placed_rows"),
+        ),
+        "consume_markers": _query(
+            f"""SELECT trace_id, origin_ts_ms, origin_service, pipeline, this_service AS producer_service,
+                this_topic AS consumed_topic, '{FULFILLMENT}' AS consumer_service,
+                hop_count AS hop_count_at_consume, '{MARKER_TOPIC}' AS kafka_topic, event_ms + 50 AS event_ms
+                FROM produce WHERE kafka_topic = '{ENRICHED}'"""
+        ),
+    }
+
+
+def _counted(view: str, dims: str) -> str:
+    return _query(f"SELECT window_start, {dims}, count(*) AS records FROM {view} GROUP BY ALL")
+
+
+_AVG_S = "sum(CAST(latency_ms AS DOUBLE)) / 1000 / nullif(count(latency_ms), 0)"
+
+
+def _meters() -> dict[str, str]:
+    minutes = """minutes AS (SELECT window_start, count(latency_ms) AS n,
+      sum(CAST(latency_ms AS DOUBLE)) AS total FROM produce GROUP BY 1)"""
+    return {
+        "k01_avg_latency": _query(
+            f"""SELECT window_start, pipeline, origin_service, this_topic, {_AVG_S} AS avg_seconds
+                FROM produce GROUP BY 1, 2, 3, 4"""
+        ),
+        "k02_max_latency": _query(
+            """SELECT window_start, pipeline, origin_service, this_topic, max(latency_ms) / 1000 AS max_seconds
+               FROM produce GROUP BY 1, 2, 3, 4"""
+        ),
+        "k03_produce_edges": _counted("produce", "pipeline, origin_service, this_service, this_topic"),
+        "k04_hop_counts": _counted("produce", "pipeline, this_topic, hop_count"),
+        "k05_consume_edges": _counted("consume", "pipeline, this_topic, consumer_service"),
+        "k06_time_to_consume": _query(
+            f"""SELECT window_start, pipeline, consumer_service, this_topic, {_AVG_S} AS avg_seconds
+                FROM consume GROUP BY 1, 2, 3, 4"""
+        ),
+        "k07_consume_age": _query(
+            f"""SELECT window_start, pipeline, consumer_service, this_topic, {_AVG_S} AS avg_age_seconds
+                FROM consume GROUP BY 1, 2, 3, 4"""
+        ),
+        "k08_consumer_throughput": _counted("consume", "consumer_service"),
+        "k09_failure_ratio": _query(
+            """SELECT window_start, this_service,
+               count(*) FILTER (WHERE status <> 'success') / greatest(CAST(count(*) AS DOUBLE), 1e-9) AS failure_ratio
+               FROM slid GROUP BY 1, 2""",
+            _sliding("produce"),
+        ),
+        "k10_completion_share": _query(
+            """SELECT window_start,
+               count(*) FILTER (WHERE hop_count = 3) / greatest(CAST(count(*) AS DOUBLE), 1e-9) AS completion_share
+               FROM slid GROUP BY 1""",
+            _sliding("produce"),
+        ),
+        "k11_lagging_consumers": _query(
+            f"""SELECT * FROM (SELECT window_start, consumer_service, {_AVG_S} AS avg_age_seconds
+                FROM slid GROUP BY 1, 2) a WHERE avg_age_seconds > 30""",
+            _sliding("consume"),
+        ),
+        "k12_silent_services": _query(
+            """SELECT f.this_service, g.window_start
+               FROM (SELECT this_service, min(window_start) AS first_ms FROM produce GROUP BY 1) f
+               CROSS JOIN (SELECT unnest(generate_series(lo, hi, 60000)) AS window_start
+                           FROM (SELECT min(window_start) AS lo, max(window_start) - 60000 AS hi FROM produce) e) g
+               WHERE g.window_start > f.first_ms
+                 AND NOT EXISTS (SELECT 1 FROM active a WHERE a.this_service = f.this_service
+                                 AND a.window_start = g.window_start)
+                 AND NOT EXISTS (SELECT 1 FROM active a WHERE a.this_service = f.this_service
+                                 AND a.window_start = g.window_start + 60000)""",
+            "active AS (SELECT DISTINCT this_service, window_start FROM produce)",
+        ),
+        "k13_drop_off": _query(
+            f"""SELECT window_start,
+                count(*) FILTER (WHERE consumer_service IS NOT NULL AND this_topic = '{ENRICHED}')
+                - count(*) FILTER (WHERE consumer_service IS NOT NULL AND this_topic = '{FULFILLED}') AS consumed_drop,
+                count(*) FILTER (WHERE consumer_service IS NULL AND this_topic = '{ENRICHED}')
+                - count(*) FILTER (WHERE consumer_service IS NULL AND this_topic = '{FULFILLED}') AS produced_drop
+                FROM slid WHERE this_topic IN ('{ENRICHED}', '{FULFILLED}') GROUP BY 1""",
+            _sliding("sig"),
+        ),
+        "k14_end_to_end_latency": _query(
+            f"""SELECT window_start, {_AVG_S} AS avg_seconds FROM consume
+                WHERE consumer_service = '{SHIPPING}' GROUP BY 1"""
+        ),
+        "k15_hop_ceiling": _query(
+            "SELECT window_start, count(*) AS records FROM slid WHERE hop_count = 32 GROUP BY 1",
+            _sliding("produce"),
+        ),
+        "k16_pipeline_records": _counted("produce", "pipeline"),
+        "k17_topic_records": _counted("produce", "this_topic"),
+        "k18_latency_change": _query(
+            """SELECT n.window_start, n.avg AS now_seconds, e.avg AS earlier_seconds,
+               n.avg - e.avg AS change_seconds
+               FROM averages n JOIN averages e ON e.window_start = n.window_start - 7200000
+               WHERE n.avg IS NOT NULL AND e.avg IS NOT NULL""",
+            _sliding("produce"),
+            f"averages AS (SELECT window_start, {_AVG_S} AS avg FROM slid GROUP BY 1)",
+        ),
+        "k19_pass_through": _query(
+            f"""SELECT window_start,
+                count(*) FILTER (WHERE consumer_service = '{SHIPPING}') / CAST(nullif(count(*) FILTER (
+                  WHERE consumer_service IS NULL AND this_topic = '{PLACED}'), 0) AS DOUBLE) AS pass_through
+                FROM slid WHERE consumer_service = '{SHIPPING}'
+                   OR (consumer_service IS NULL AND this_topic = '{PLACED}') GROUP BY 1""",
+            _sliding("sig"),
+        ),
+        "k20_new_services": _query(
+            """SELECT this_service, window_start FROM active n WHERE NOT EXISTS (
+                 SELECT 1 FROM active e WHERE e.this_service = n.this_service
+                 AND e.window_start = n.window_start - 3600000)""",
+            "active AS (SELECT DISTINCT this_service, window_start FROM produce)",
+        ),
+        "k21_pipeline_filter": _query(
+            """SELECT window_start, pipeline, this_service, count(*) AS records FROM produce
+               WHERE regexp_full_match(pipeline, 'ord.*') GROUP BY 1, 2, 3"""
+        ),
+        "k21_pipelines": _query("SELECT DISTINCT pipeline FROM produce WHERE pipeline IS NOT NULL"),
+    }
+
+
+def _questions() -> dict[str, str]:
+    deploy = 1704088800000
+    unfinished = f"unfinished AS (SELECT * FROM stuck WHERE last_topic <> '{FULFILLED}')"
+    placed = f"(SELECT DISTINCT trace_id, pipeline FROM produce WHERE this_topic = '{PLACED}')"
+    done = f"(SELECT DISTINCT trace_id FROM consume WHERE consumer_service = '{SHIPPING}')"
+
+    def lost(first: str, second: str) -> str:
+        return f"""SELECT '{first}' AS from_topic, '{second}' AS to_topic, count(*) AS traces,
+          count(*) FILTER (WHERE b.trace_id IS NULL) AS lost
+          FROM (SELECT DISTINCT trace_id FROM produce WHERE this_topic = '{first}') a
+          LEFT JOIN (SELECT DISTINCT trace_id FROM produce WHERE this_topic = '{second}') b USING (trace_id)"""
+
+    def survived(service: str) -> str:
+        return f"""SELECT '{service}' AS service, count(*) AS consumed_traces, count(s.trace_id) AS sent_on
+          FROM (SELECT DISTINCT trace_id FROM consume WHERE consumer_service = '{service}') c
+          LEFT JOIN (SELECT DISTINCT trace_id FROM produce WHERE this_service = '{service}') s USING (trace_id)"""
+
+    return {
+        "l01_record_tags": _query(
+            """SELECT kafka_topic, CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
+               trace_id IS NOT NULL AS tagged, origin_service, hop_count FROM raw"""
+        ),
+        "l05_relay_survival": _query(survived(ENRICHMENT) + " UNION ALL " + survived(FULFILLMENT)),
+        "l06_trace_pipeline": _query(
+            """SELECT trace_id, max(pipeline) AS pipeline, count(DISTINCT coalesce(pipeline, '')) = 1 AS consistent
+               FROM produce GROUP BY 1"""
+        ),
+        "l08_service_graph": _query(
+            """SELECT window_start, pipeline, this_service AS producer_service, this_topic AS topic,
+               consumer_service, count(*) AS records, count(DISTINCT trace_id) AS distinct_traces
+               FROM consume GROUP BY 1, 2, 3, 4, 5"""
+        ),
+        "l12_traces_per_pipeline": _query(
+            """SELECT window_start, pipeline, count(DISTINCT trace_id) AS distinct_traces, count(*) AS records
+               FROM produce GROUP BY 1, 2"""
+        ),
+        "l13_latency_around": _query(
+            f"""SELECT *, after_ms - before_ms AS change_ms FROM (
+                SELECT pipeline, this_topic,
+                  avg(CAST(latency_ms AS DOUBLE)) FILTER (WHERE event_ms < {deploy}) AS before_ms,
+                  avg(CAST(latency_ms AS DOUBLE)) FILTER (WHERE event_ms >= {deploy}) AS after_ms
+                FROM produce WHERE event_ms >= {deploy} - 7200000 AND event_ms < {deploy} + 7200000
+                GROUP BY 1, 2) a"""
+        ),
+        "l14_completion": _query(
+            f"""SELECT p.pipeline, count(*) AS placed, count(d.trace_id) AS completed,
+                count(d.trace_id) / count(*) AS completion_share
+                FROM {placed} p LEFT JOIN {done} d USING (trace_id) GROUP BY 1"""
+        ),
+        "l15_lost_between": _query(lost(PLACED, ENRICHED) + " UNION ALL " + lost(ENRICHED, FULFILLED)),
+        "l16_duplicates": _query(
+            f"""SELECT trace_id, consumer_service, count(*) AS times FROM consume
+                WHERE consumer_service = '{SHIPPING}' GROUP BY 1, 2 HAVING count(*) > 1"""
+        ),
+        "l17_unfinished": _query("SELECT * EXCLUDE (kafka_partition) FROM unfinished", _STUCK, unfinished),
+        "l19_first_appearance": _query(
+            "SELECT this_service, min(window_start) AS first_window_start FROM produce GROUP BY 1"
+        ),
+        "l20_pipeline_percentiles": _query(
+            """SELECT pipeline,
+               round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.5), 6) AS p50_ms,
+               round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.95), 6) AS p95_ms,
+               round(quantile_cont(CAST(latency_ms AS DOUBLE), 0.99), 6) AS p99_ms,
+               count(*) AS sample_count
+               FROM produce WHERE latency_ms IS NOT NULL GROUP BY 1"""
+        ),
+        "l21_worst_minute": _query(
+            """SELECT w.window_start, w.pipeline, w.origin_service, w.this_topic, w.p99_ms,
+               p.trace_id, p.latency_ms
+               FROM (SELECT * FROM percentiles ORDER BY p99_ms DESC, window_start,
+                     pipeline NULLS FIRST, origin_service NULLS FIRST, this_topic NULLS FIRST LIMIT 1) w
+               JOIN produce p ON p.window_start = w.window_start
+                AND p.pipeline IS NOT DISTINCT FROM w.pipeline
+                AND p.origin_service IS NOT DISTINCT FROM w.origin_service
+                AND p.this_topic IS NOT DISTINCT FROM w.this_topic
+                AND p.latency_ms >= w.p99_ms""",
+            f"percentiles AS ({_PERCENTILES})",
+        ),
+        "l22_topology_drift": _query(
+            """SELECT coalesce(s.edge_type, d.edge_type) AS edge_type, coalesce(s.service, d.service) AS service,
+               coalesce(s.topic, d.topic) AS topic,
+               CASE WHEN d.edge_type IS NULL THEN 'undocumented' ELSE 'missing' END AS drift
+               FROM seen s FULL OUTER JOIN documented d
+                 ON s.edge_type = d.edge_type AND s.service = d.service AND s.topic = d.topic
+               WHERE s.edge_type IS NULL OR d.edge_type IS NULL""",
+            """seen AS (SELECT DISTINCT CASE WHEN consumer_service IS NULL THEN 'produce' ELSE 'consume' END AS edge_type,
+               coalesce(consumer_service, this_service) AS service, this_topic AS topic FROM sig)""",
+            f"""documented(edge_type, service, topic) AS (VALUES
+               ('produce', '{INTAKE}', '{PLACED}'), ('consume', '{ENRICHMENT}', '{PLACED}'),
+               ('produce', '{ENRICHMENT}', '{ENRICHED}'), ('consume', '{FULFILLMENT}', '{ENRICHED}'),
+               ('produce', '{FULFILLMENT}', '{FULFILLED}'), ('produce', '{SHIPPING}', 'orders.shipped'))""",
+        ),
+        "l23_stuck_rate": _query(
+            f"""SELECT t.period, coalesce(a.alerts, 0) AS alerts, t.traces,
+                coalesce(a.alerts, 0) / t.traces AS stuck_rate
+                FROM (SELECT CASE WHEN first_ms < {deploy} THEN 'before' ELSE 'after' END AS period,
+                             count(*) AS traces
+                      FROM (SELECT trace_id, min(event_ms) AS first_ms FROM produce GROUP BY 1) f GROUP BY 1) t
+                LEFT JOIN (SELECT CASE WHEN last_seen_ts_ms < {deploy} THEN 'before' ELSE 'after' END AS period,
+                             count(*) AS alerts FROM unfinished GROUP BY 1) a USING (period)""",
+            _STUCK,
+            unfinished,
+        ),
+        "l24_stuck_breakdown": _query(
+            """SELECT last_service, kafka_partition,
+               CAST(last_seen_ts_ms // 3600000 % 24 AS INTEGER) AS hour, count(*) AS alerts
+               FROM stuck GROUP BY 1, 2, 3""",
+            _STUCK,
+        ),
+        "l27_missed_services": _query(
+            f"""SELECT t.trace_id, string_agg(e.service, ',' ORDER BY e.rank) AS missing
+                FROM (SELECT DISTINCT trace_id FROM produce) t
+                CROSS JOIN (VALUES (1, '{INTAKE}'), (2, '{ENRICHMENT}'), (3, '{FULFILLMENT}')) e(rank, service)
+                LEFT JOIN (SELECT DISTINCT trace_id, this_service FROM produce) v
+                  ON v.trace_id = t.trace_id AND v.this_service = e.service
+                WHERE v.trace_id IS NULL GROUP BY 1"""
+        ),
+        "l29_audit": _query(
+            f"""SELECT CASE WHEN d.trace_id IS NOT NULL AND u.trace_id IS NOT NULL THEN 'completed after alert'
+                       WHEN d.trace_id IS NOT NULL THEN 'completed'
+                       WHEN u.trace_id IS NOT NULL THEN 'stuck' ELSE 'violation' END AS outcome,
+                count(*) AS traces
+                FROM {placed} p LEFT JOIN {done} d USING (trace_id)
+                LEFT JOIN (SELECT DISTINCT trace_id FROM unfinished) u USING (trace_id) GROUP BY 1""",
+            _STUCK,
+            unfinished,
+        ),
+        "l30_correlated": _query(
+            """SELECT t.event_id, t.trace_id, t.records, t.last_ms, e.user_id, e.event_type
+               FROM (SELECT event_id, trace_id, count(*) AS records, max(event_ms) AS last_ms
+                     FROM produce GROUP BY 1, 2) t JOIN events e USING (event_id)"""
+        ),
+    }
+
+
 def all_queries() -> dict[str, str]:
-    return _reports()
+    return _reports() | _trails() | _meters() | _questions()

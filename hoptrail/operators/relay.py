@@ -56,15 +56,19 @@ def _stamped(df: DataFrame, service: str, out_topic: str) -> DataFrame:
         wire.THIS_TOPIC: f"'{out_topic}'",
         wire.HOP_COUNT: "size(hops)",
     }
+    # A later filter on a header would be pushed below a plain projection and
+    # build the headers once more per condition; it stays above a generator.
+    built = F.struct(F.expr(replaced_headers_sql(entries)).alias("headers"))
     return (
-        trail.withColumn("headers", F.expr(replaced_headers_sql(entries)))
+        trail.withColumn("built", F.explode(F.array(built)))
+        .withColumn("headers", F.col("built.headers"))
         .withColumn("event_time", F.timestamp_millis("sent_ms"))
         .withColumn("kafka_topic", F.lit(out_topic))
         .withColumn("kafka_partition", F.lit(None).cast("int"))
         .withColumn("kafka_offset", F.lit(None).cast("bigint"))
         .drop(
             "sent_ms", "trace_id", "origin_ms", "origin_service", "pipeline",
-            "hops", "all_hops", "cut", "trail_json", "trail",
+            "hops", "all_hops", "cut", "trail_json", "trail", "built",
         )
     )
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -41,6 +42,11 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return apply_settings(spark)
 
 
+@functools.cache
+def _scratch_folder() -> str:
+    return tempfile.mkdtemp(prefix="hoptrail-")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
@@ -52,6 +58,4 @@ def shared_folder(spark: SparkSession) -> str:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="hoptrail-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    return _scratch_folder()

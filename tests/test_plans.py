@@ -1,0 +1,30 @@
+"""What the plans of the registered queries must not contain."""
+
+from __future__ import annotations
+
+import pytest
+
+import __spark_entry__ as entry
+
+QUERIES = entry.queries()
+
+
+def physical(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("name", sorted(QUERIES))
+def test_plan(spark, small, name):
+    plan = physical(QUERIES[name](spark, small))
+    assert "CartesianProduct" not in plan
+    assert "BroadcastNestedLoopJoin" not in plan
+    assert "SinglePartition" not in plan or "Window" not in plan.split("SinglePartition")[0]
+    assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+    if name != "trace_rca":
+        assert "MapInPandas" not in plan
+
+
+def test_reports_read_only_the_columns_they_need(spark, small):
+    plan = physical(QUERIES["coverage_1m"](spark, small))
+    scan = [line for line in plan.splitlines() if "FileScan" in line][0]
+    assert scan.split("ReadSchema: ")[1].strip() == "struct<event_id:bigint,ts:timestamp_ntz>"

@@ -8,16 +8,27 @@ from pyspark.sql import functions as F
 _NO_HEADERS = "cast(array() as array<struct<key:string,value:binary>>)"
 
 
-def header_sql(name: str, headers: str = "headers") -> str:
+def header_sql(name: str, headers: str = "headers", keys: str | None = None) -> str:
     """SQL for the value of the last header called ``name``, or null, as text.
 
     A record may repeat a header name; the last one counts. Counting the
     position from the end keeps that rule without building a map, so no session
     setting for duplicate map keys is needed. A missing name gives position 0,
-    which lies outside the list.
+    which lies outside the list. ``keys`` may name a column that already holds
+    the reversed key list.
     """
-    from_end = f"cast(array_position(reverse({headers}.key), '{name}') as int)"
-    return f"cast(get({headers}, size({headers}) - {from_end}).value as string)"
+    keys = keys or reversed_keys_sql(headers)
+    return f"cast(get({headers}, size({headers}) - cast(array_position({keys}, '{name}') as int)).value as string)"
+
+
+def reversed_keys_sql(headers: str = "headers") -> str:
+    return f"reverse({headers}.key)"
+
+
+def header_struct_sql(names: dict[str, str], headers: str = "headers", keys: str | None = None) -> str:
+    """SQL for a struct of header texts, by field name."""
+    fields = [f"'{field}', {header_sql(name, headers, keys)}" for field, name in names.items()]
+    return f"named_struct({', '.join(fields)})"
 
 
 def header_text(name: str, headers: str = "headers") -> Column:

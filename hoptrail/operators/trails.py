@@ -11,6 +11,7 @@ from hoptrail import schemas, wire
 from hoptrail.functions.headers import header_number, header_text
 from hoptrail.functions.ids import id_from_base64, id_origin_ms
 from hoptrail.functions.windows import event_ms, floor_ms
+from hoptrail.operators.views import header_texts
 
 RECORD = ("kafka_topic", "kafka_partition", "kafka_offset")
 
@@ -30,21 +31,24 @@ def record_tags(raw: DataFrame) -> DataFrame:
     )
 
 
+def _tagged(raw: DataFrame, keep: Sequence[str]) -> DataFrame:
+    """Records with a readable trail, parsed once into a column ``trail``; the
+    generator keeps later filters from parsing it again."""
+    return raw.select(*keep, F.explode(F.array(parsed_trail())).alias("trail")).where(
+        F.col("trail.t").isNotNull()
+    )
+
+
 def trails(raw: DataFrame, keep: Sequence[str] = RECORD) -> DataFrame:
     """Decoded trail of every record that carries one."""
-    return (
-        raw.where(header_text(wire.TRAIL).isNotNull())
-        .select(*keep, parsed_trail().alias("trail"))
-        .where(F.col("trail.t").isNotNull())
-        .select(
-            *keep,
-            id_from_base64(F.col("trail.t")).alias("trace_id"),
-            F.col("trail.o").alias("origin_ts_ms"),
-            F.col("trail.s").alias("origin_service"),
-            F.col("trail.p").alias("pipeline"),
-            F.col("trail.h").alias("hops"),
-            F.coalesce("trail.x", F.lit(False)).alias("truncated"),
-        )
+    return _tagged(raw, keep).select(
+        *keep,
+        id_from_base64(F.col("trail.t")).alias("trace_id"),
+        F.col("trail.o").alias("origin_ts_ms"),
+        F.col("trail.s").alias("origin_service"),
+        F.col("trail.p").alias("pipeline"),
+        F.col("trail.h").alias("hops"),
+        F.coalesce("trail.x", F.lit(False)).alias("truncated"),
     )
 
 
@@ -76,33 +80,19 @@ def trail_violations(raw: DataFrame) -> DataFrame:
     def differs(name: str, value: Column) -> Column:
         return F.count_if(~F.col(name).eqNullSafe(value))
 
-    headers = {
-        "trace_id": header_text(wire.TRACE_ID),
-        "origin_ts_ms": header_number(wire.ORIGIN_TS),
-        "origin_service": header_text(wire.ORIGIN_SERVICE),
-        "pipeline": header_text(wire.PIPELINE),
-        "this_service": header_text(wire.THIS_SERVICE),
-        "this_topic": header_text(wire.THIS_TOPIC),
-        "hop_count": header_number(wire.HOP_COUNT, "int"),
-    }
     checked = (
-        raw.where(header_text(wire.TRAIL).isNotNull())
-        .select(
-            "kafka_topic",
-            parsed_trail().alias("trail"),
-            *[value.alias(name) for name, value in headers.items()],
-        )
+        _tagged(header_texts(raw, ["kafka_topic", "headers"]), ["kafka_topic", "tag"])
         .withColumn("id", id_from_base64(trail["t"]))
     )
     return checked.groupBy("kafka_topic").agg(
         F.count(F.lit(1)).alias("trails"),
-        differs("trace_id", F.col("id")).alias("id_differs"),
-        differs("origin_ts_ms", trail["o"]).alias("origin_ts_differs"),
-        differs("origin_service", trail["s"]).alias("origin_service_differs"),
-        differs("pipeline", trail["p"]).alias("pipeline_differs"),
-        differs("this_service", last["s"]).alias("service_differs"),
-        differs("this_topic", last["t"]).alias("topic_differs"),
-        differs("hop_count", F.size(trail["h"])).alias("hop_count_differs"),
+        differs("tag.trace_id", F.col("id")).alias("id_differs"),
+        differs("tag.origin_ts", trail["o"].cast("string")).alias("origin_ts_differs"),
+        differs("tag.origin_service", trail["s"]).alias("origin_service_differs"),
+        differs("tag.pipeline", trail["p"]).alias("pipeline_differs"),
+        differs("tag.this_service", last["s"]).alias("service_differs"),
+        differs("tag.this_topic", last["t"]).alias("topic_differs"),
+        differs("tag.hop_count", F.size(trail["h"]).cast("string")).alias("hop_count_differs"),
         F.count_if(backwards).alias("backwards"),
         F.count_if(~id_origin_ms(F.col("id")).eqNullSafe(trail["o"])).alias("id_time_differs"),
     )

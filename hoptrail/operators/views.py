@@ -8,30 +8,57 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoptrail import wire
-from hoptrail.functions.headers import header_number, header_text
+from hoptrail.functions.headers import header_struct_sql, header_text, reversed_keys_sql
 from hoptrail.functions.windows import event_ms
 
 _LATENCY = "try_subtract(unix_millis(event_time), origin_ts_ms)"
 
 
+_FIELDS = {
+    "trace_id": wire.TRACE_ID,
+    "origin_ts": wire.ORIGIN_TS,
+    "origin_service": wire.ORIGIN_SERVICE,
+    "pipeline": wire.PIPELINE,
+    "this_service": wire.THIS_SERVICE,
+    "this_topic": wire.THIS_TOPIC,
+    "hop_count": wire.HOP_COUNT,
+    "consumer_service": wire.CONSUMER_SERVICE,
+}
+
+
+def header_texts(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    """Look up all scalar headers of each record once, as a struct ``tag``.
+
+    Filters on a decoded column would be pushed below a plain projection and
+    look its header up again for every condition. They stay above a generator,
+    so the lookups happen in one place and the rest works on plain columns.
+    """
+    lookups = header_struct_sql(_FIELDS, keys="header_keys")
+    return raw.selectExpr("*", f"{reversed_keys_sql()} as header_keys").selectExpr(
+        *keep, f"explode(array({lookups})) as tag"
+    )
+
+
 def signals(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """All tagged records, produced ones and consume markers together.
 
     ``consumer_service`` is null on produced records. Reports over both kinds
     read this frame once instead of reading the raw records twice. ``keep``
-    names further raw columns to carry along.
+    names further raw columns to carry along. A number that cannot be read is
+    null rather than the end of the job.
     """
     return (
-        raw.where(header_text(wire.TRACE_ID).isNotNull())
-        .select(
-            header_text(wire.TRACE_ID).alias("trace_id"),
-            header_number(wire.ORIGIN_TS).alias("origin_ts_ms"),
-            header_text(wire.ORIGIN_SERVICE).alias("origin_service"),
-            header_text(wire.PIPELINE).alias("pipeline"),
-            header_text(wire.THIS_SERVICE).alias("this_service"),
-            header_text(wire.THIS_TOPIC).alias("this_topic"),
-            header_number(wire.HOP_COUNT, "int").alias("hop_count"),
-            header_text(wire.CONSUMER_SERVICE).alias("consumer_service"),
+        header_texts(raw, ["event_time", *keep])
+        .where("tag.trace_id is not null")
+        .selectExpr(
+            "tag.trace_id",
+            "try_cast(tag.origin_ts as bigint) as origin_ts_ms",
+            "tag.origin_service",
+            "tag.pipeline",
+            "tag.this_service",
+            "tag.this_topic",
+            "try_cast(tag.hop_count as int) as hop_count",
+            "tag.consumer_service",
             "event_time",
             *keep,
         )
@@ -103,18 +130,15 @@ def untagged_rate(raw: DataFrame) -> DataFrame:
 
 def rejected_headers(raw: DataFrame) -> DataFrame:
     """Per topic: tagged records whose numeric headers are present but unreadable."""
-
-    def unreadable(name: str, kind: str):
-        return F.count_if(header_text(name).isNotNull() & header_number(name, kind).isNull())
-
-    return (
-        raw.where(header_text(wire.TRACE_ID).isNotNull())
-        .groupBy("kafka_topic")
-        .agg(
-            F.count(F.lit(1)).alias("tagged"),
-            unreadable(wire.ORIGIN_TS, "bigint").alias("bad_origin_ts"),
-            unreadable(wire.HOP_COUNT, "int").alias("bad_hop_count"),
-        )
+    tagged = header_texts(raw, ["kafka_topic"]).where("tag.trace_id is not null")
+    return tagged.groupBy("kafka_topic").agg(
+        F.count(F.lit(1)).alias("tagged"),
+        F.expr("count_if(tag.origin_ts is not null and try_cast(tag.origin_ts as bigint) is null)").alias(
+            "bad_origin_ts"
+        ),
+        F.expr("count_if(tag.hop_count is not null and try_cast(tag.hop_count as int) is null)").alias(
+            "bad_hop_count"
+        ),
     )
 
 

@@ -68,11 +68,9 @@ def _relay_output(raw: DataFrame) -> DataFrame:
     """What the enrichment service sends for each record placed."""
     placed = raw.where(F.col("kafka_topic") == wire.PLACED)
     sent = relay.relay(placed, wire.ENRICHMENT, wire.ENRICHED, sent_ms=event_ms() + F.lit(250))
-    hops = F.transform(
-        trails.parsed_trail()["h"], lambda h: F.concat_ws(">", h["s"], h["t"], h["m"].cast("string"))
-    )
-    decoded = sent.withColumn("hops", F.concat_ws(",", hops)).withColumn(
-        "truncated", trails.parsed_trail()["x"]
+    hops = F.expr("concat_ws(',', transform(trail.h, h -> concat_ws('>', h.s, h.t, string(h.m))))")
+    decoded = sent.withColumn("trail", trails.parsed_trail()).withColumns(
+        {"hops": hops, "truncated": F.col("trail.x")}
     )
     return _plain_time(
         views.signals(decoded, ["event_id", "kafka_topic", "hops", "truncated"])

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail import wire
-from hoptrail.functions.windows import slide, tumble
+from hoptrail.functions.windows import slide, tumble, window_bounds
 from hoptrail.operators.views import with_latency
 
 FIVE_MINUTES = 300_000
@@ -21,25 +21,23 @@ HOUR = 3_600_000
 TINY = 1e-9
 
 
-def _minutes(df: DataFrame) -> DataFrame:
-    return tumble(df)[0]
-
-
 def _seconds(total: Column, count: Column) -> Column:
     return F.try_divide(total / 1000, count)
 
 
-def _sum_if(condition: Column, value: str = "n") -> Column:
-    return F.sum(F.when(condition, F.col(value)).otherwise(0))
-
-
-def _count() -> Column:
-    return F.count(F.lit(1)).alias("records")
+def _grouped(df: DataFrame, dims: Sequence[str], *measures: Column) -> DataFrame:
+    """One aggregate per minute and dimensions, on tables and streams alike."""
+    windowed, key = tumble(df)
+    grouped = windowed.groupBy(*key, *dims).agg(*measures)
+    names = [c for c in grouped.columns if c not in key]
+    return grouped.select(window_bounds(grouped)[0], *names)
 
 
 def _timed(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Per minute and dimensions: records with a latency, its sum and maximum."""
-    return _minutes(df).groupBy("window_start", *dims).agg(
+    return _grouped(
+        df,
+        dims,
         F.count("latency_ms").alias("n"),
         F.sum(F.col("latency_ms").cast("double")).alias("total"),
         F.max("latency_ms").alias("high"),
@@ -53,7 +51,7 @@ def consume_latency(consume: DataFrame) -> DataFrame:
 
 def counted(df: DataFrame, dims: Sequence[str]) -> DataFrame:
     """Records per minute and dimensions."""
-    return _minutes(df).groupBy("window_start", *dims).agg(_count())
+    return _grouped(df, dims, F.count(F.lit(1)).alias("records"))
 
 
 def average_latency(df: DataFrame, dims: Sequence[str]) -> DataFrame:
@@ -70,8 +68,11 @@ def maximum_latency(df: DataFrame, dims: Sequence[str]) -> DataFrame:
 
 def failure_ratio(produce: DataFrame, size_ms: int = FIVE_MINUTES) -> DataFrame:
     """Share of sends that failed, per service; needs a ``status`` column."""
-    minutes = _minutes(produce).groupBy("window_start", "this_service").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("status") != "success").alias("failed")
+    minutes = _grouped(
+        produce,
+        ["this_service"],
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("status") != "success").alias("failed"),
     )
     ratio = F.sum("failed") / F.greatest(F.sum("n"), F.lit(TINY))
     return slide(minutes, size_ms).groupBy("window_start", "this_service").agg(ratio.alias("failure_ratio"))
@@ -81,8 +82,9 @@ def completion_share(
     produce: DataFrame, depth: int = 3, size_ms: int = FIVE_MINUTES
 ) -> DataFrame:
     """Share of records that are at the terminal hop."""
-    minutes = _minutes(produce).groupBy("window_start", "hop_count").agg(F.count(F.lit(1)).alias("n"))
-    share = _sum_if(F.col("hop_count") == depth) / F.greatest(F.sum("n"), F.lit(TINY))
+    at_depth = F.count_if(F.col("hop_count") == depth).alias("deep")
+    minutes = _grouped(produce, [], F.count(F.lit(1)).alias("n"), at_depth)
+    share = F.sum("deep") / F.greatest(F.sum("n"), F.lit(TINY))
     return slide(minutes, size_ms).groupBy("window_start").agg(share.alias("completion_share"))
 
 
@@ -99,25 +101,28 @@ def lagging_consumers(
     )
 
 
-def silent_services(produce: DataFrame, minutes: int = 2) -> DataFrame:
+def silent_services(
+    produce: DataFrame, minutes: int = 2, dims: Sequence[str] = ("this_service",)
+) -> DataFrame:
     """Windows of so many minutes, sliding by one, in which a known service sent
     nothing.
 
     Only the gaps between a service's active minutes are filled in, so there is
     no grid of all services and all windows. A service counts from its first
-    record on, up to the last active minute of any service.
+    record on, up to the last active minute of any service. Further ``dims``
+    watch a service per pipeline, say.
     """
     step = wire.WINDOW_MS
-    active = _minutes(produce).groupBy("this_service", "window_start").agg(F.lit(1).alias("one"))
+    active = _grouped(produce, dims, F.lit(1).alias("one"))
     last_minute = active.agg(F.max("window_start")).scalar()
-    following = F.lead("window_start").over(Window.partitionBy("this_service").orderBy("window_start"))
+    following = F.lead("window_start").over(Window.partitionBy(*dims).orderBy("window_start"))
     gaps = active.select(
-        "this_service",
+        *dims,
         (F.col("window_start") + step).alias("first_silent"),
         (F.coalesce(following, last_minute + step) - minutes * step).alias("last_silent"),
     ).where(F.col("last_silent") >= F.col("first_silent"))
     return gaps.select(
-        "this_service",
+        *dims,
         F.explode(F.sequence("first_silent", "last_silent", F.lit(step))).alias("window_start"),
     )
 
@@ -126,15 +131,17 @@ def drop_off(
     signal_rows: DataFrame, upstream: str, downstream: str, size_ms: int = FIVE_MINUTES
 ) -> DataFrame:
     """Records on a topic less records on the next one, as consumed and as produced."""
-    minutes = (
-        _minutes(signal_rows.where(F.col("this_topic").isin(upstream, downstream)))
-        .groupBy("window_start", "this_topic", F.col("consumer_service").isNull().alias("is_produce"))
-        .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("signed", F.when(F.col("this_topic") == upstream, F.col("n")).otherwise(-F.col("n")))
+    on_these = signal_rows.where(F.col("this_topic").isin(upstream, downstream))
+    sign = F.when(F.col("this_topic") == upstream, 1).otherwise(-1)
+    is_produce = F.col("consumer_service").isNull()
+    minutes = _grouped(
+        on_these,
+        [],
+        F.sum(F.when(is_produce, 0).otherwise(sign)).alias("consumed"),
+        F.sum(F.when(is_produce, sign).otherwise(0)).alias("produced"),
     )
     return slide(minutes, size_ms).groupBy("window_start").agg(
-        _sum_if(~F.col("is_produce"), "signed").alias("consumed_drop"),
-        _sum_if(F.col("is_produce"), "signed").alias("produced_drop"),
+        F.sum("consumed").alias("consumed_drop"), F.sum("produced").alias("produced_drop")
     )
 
 
@@ -197,8 +204,11 @@ def pass_through(
     """Records the terminal consumer took, per record produced at the intake."""
     taken = F.col("consumer_service").eqNullSafe(terminal)
     placed = F.col("consumer_service").isNull() & F.col("this_topic").eqNullSafe(intake_topic)
-    minutes = _minutes(signal_rows.where(taken | placed)).groupBy("window_start").agg(
-        F.count_if(taken).alias("taken"), F.count_if(placed).alias("placed")
+    minutes = _grouped(
+        signal_rows.where(taken | placed),
+        [],
+        F.count_if(taken).alias("taken"),
+        F.count_if(placed).alias("placed"),
     )
     return slide(minutes, size_ms).groupBy("window_start").agg(
         F.try_divide(F.sum("taken"), F.sum("placed")).alias("pass_through")
@@ -207,7 +217,7 @@ def pass_through(
 
 def new_services(produce: DataFrame, shift_ms: int = HOUR) -> DataFrame:
     """Services active in a minute but not in the same minute some time earlier."""
-    active = _minutes(produce).groupBy("this_service", "window_start").agg(F.lit(1).alias("one"))
+    active = _grouped(produce, ["this_service"], F.lit(1).alias("one"))
     return (
         _against_earlier(active, shift_ms, "this_service")
         .groupBy("this_service", "window_start")

@@ -131,17 +131,18 @@ def in_order(
     number of rows in earlier minutes. A trace that loops and owns a large
     share of all rows is thus ranked by many tasks, a minute at a time.
     """
-    slotted = rows.withColumn("slot", floor_ms(F.col("event_ms"), slot_ms))
-    counts = slotted.groupBy("trace_id", "slot").agg(F.count(F.lit(1)).alias("in_slot"))
+    in_slot = Window.partitionBy("trace_id", "slot").orderBy("event_ms", *order)
+    ranked = rows.withColumn("slot", floor_ms(F.col("event_ms"), slot_ms)).withColumn(
+        "rank", F.row_number().over(in_slot)
+    )
+    # Counting from the ranked rows lets Spark reuse their shuffle.
+    counts = ranked.groupBy("trace_id", "slot").agg(F.max("rank").alias("in_slot"))
     earlier = Window.partitionBy("trace_id").orderBy("slot")
     offsets = counts.select(
         "trace_id",
         "slot",
         (F.sum("in_slot").over(earlier) - F.col("in_slot")).alias("before"),
     )
-    ranked = slotted.withColumn(
-        "rank", F.row_number().over(Window.partitionBy("trace_id", "slot").orderBy("event_ms", *order))
-    )
     return (
         ranked.join(offsets, ["trace_id", "slot"])
         .withColumn("pos", F.col("before") + F.col("rank"))

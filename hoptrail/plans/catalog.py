@@ -105,11 +105,6 @@ def _drift(spark: SparkSession, folder: str) -> DataFrame:
     return questions.topology_drift(views.signals(raw_records(spark, folder)), documented)
 
 
-def _audit(raw: DataFrame) -> DataFrame:
-    signal_rows = views.signals(raw)
-    return questions.audit(signal_rows, views.produced(signal_rows))
-
-
 def _rolled_up(produce: DataFrame) -> DataFrame:
     return percentiles.merge_sketches(percentiles.latency_sketches(produce), ["pipeline"])
 
@@ -179,6 +174,9 @@ QUERIES: dict[str, Query] = {
     "k10_completion_share": _produce(meters.completion_share),
     "k11_lagging_consumers": _consume(meters.lagging_consumers),
     "k12_silent_services": _produce(meters.silent_services),
+    "k12_silent_by_pipeline": _produce(
+        lambda p: meters.silent_services(p, dims=["pipeline", "this_service"])
+    ),
     "k13_drop_off": _signals(lambda s: meters.drop_off(s, wire.ENRICHED, wire.FULFILLED)),
     "k14_end_to_end_latency": _consume(meters.end_to_end_latency),
     "k15_hop_ceiling": _produce(meters.at_hop_ceiling),
@@ -211,6 +209,6 @@ QUERIES: dict[str, Query] = {
     "l26_dated_path": _produce(trails.trace_path),
     "l27_missed_services": _produce(questions.missed_services),
     "l28_trace_journey": _signals(trails.trace_journey),
-    "l29_audit": _raw(_audit),
+    "l29_audit": _signals(questions.audit),
     "l30_correlated": _correlated,
 }

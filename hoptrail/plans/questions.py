@@ -16,7 +16,7 @@ from hoptrail import wire
 from hoptrail.functions.windows import event_ms, floor_ms, tumble
 from hoptrail.operators.percentiles import DIMS, exact_percentiles, latency_percentiles
 from hoptrail.operators.reports import per_trace
-from hoptrail.operators.stuck import stuck_traces
+from hoptrail.operators.stuck import silent_spells, stuck_traces
 
 HOUR = 3_600_000
 
@@ -239,17 +239,16 @@ def missed_services(produce: DataFrame, expected: Sequence[str] = wire.CHAIN[:3]
     )
 
 
-def audit(signal_rows: DataFrame, produce: DataFrame) -> DataFrame:
+def audit(signal_rows: DataFrame) -> DataFrame:
     """Placed traces by outcome: completed, stuck, or neither, which is a violation.
 
     A trace counts as stuck if it fell silent before the last topic.
     """
     placed, done = _produced_on(wire.PLACED), _consumed_by(wire.SHIPPING)
-    facts = signal_rows.where(placed | done).select(
-        "trace_id", placed.alias("placed"), done.alias("done"), F.lit(False).alias("stuck")
-    )
-    alerts = unfinished(produce).select(
-        "trace_id", F.lit(False).alias("placed"), F.lit(False).alias("done"), F.lit(True).alias("stuck")
+    spells = silent_spells(signal_rows, F.bool_or(placed).alias("placed"), F.bool_or(done).alias("done"))
+    silent = F.col("silent") & ~F.col("last.topic").eqNullSafe(wire.FULFILLED)
+    traces = spells.groupBy("trace_id").agg(
+        F.bool_or("placed").alias("placed"), F.bool_or("done").alias("done"), F.bool_or(silent).alias("stuck")
     )
     outcome = (
         F.when(F.col("done") & F.col("stuck"), "completed after alert")
@@ -257,14 +256,7 @@ def audit(signal_rows: DataFrame, produce: DataFrame) -> DataFrame:
         .when(F.col("stuck"), "stuck")
         .otherwise("violation")
     )
-    return (
-        facts.unionByName(alerts)
-        .groupBy("trace_id")
-        .agg(*[F.bool_or(c).alias(c) for c in ("placed", "done", "stuck")])
-        .where("placed")
-        .groupBy(outcome.alias("outcome"))
-        .agg(F.count(F.lit(1)).alias("traces"))
-    )
+    return traces.where("placed").groupBy(outcome.alias("outcome")).agg(F.count(F.lit(1)).alias("traces"))
 
 
 def correlate(produce: DataFrame, business: DataFrame, trace_key: Column, business_key: str) -> DataFrame:

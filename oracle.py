@@ -324,6 +324,17 @@ def _meters() -> dict[str, str]:
                                  AND a.window_start = g.window_start + 60000)""",
             "active AS (SELECT DISTINCT this_service, window_start FROM produce)",
         ),
+        "k12_silent_by_pipeline": _query(
+            """SELECT f.pipeline, f.this_service, g.window_start
+               FROM (SELECT pipeline, this_service, min(window_start) AS first_ms FROM produce GROUP BY 1, 2) f
+               CROSS JOIN (SELECT unnest(generate_series(lo, hi, 60000)) AS window_start
+                           FROM (SELECT min(window_start) AS lo, max(window_start) - 60000 AS hi FROM produce) e) g
+               WHERE g.window_start > f.first_ms
+                 AND NOT EXISTS (SELECT 1 FROM active a WHERE a.this_service = f.this_service
+                                 AND a.pipeline IS NOT DISTINCT FROM f.pipeline
+                                 AND (a.window_start = g.window_start OR a.window_start = g.window_start + 60000))""",
+            "active AS (SELECT DISTINCT pipeline, this_service, window_start FROM produce)",
+        ),
         "k13_drop_off": _query(
             f"""SELECT window_start,
                 count(*) FILTER (WHERE consumer_service IS NOT NULL AND this_topic = '{ENRICHED}')

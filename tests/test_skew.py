@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from hoptrail.operators import trails
 from hoptrail.operators.percentiles import exact_percentiles
-from hoptrail.operators.stuck import stuck_traces
+from hoptrail.operators.stuck import silent_spells, stuck_traces
 from tests.records import START
 
 
@@ -78,6 +78,20 @@ def test_positions(produce, hops):
     assert {tuple(r) for r in found} == expected
 
 
+def test_silence_is_broken_by_produced_records_only(produce, hops):
+    """Consume markers in between neither end a silence nor start one."""
+    markers = produce.withColumn("consumer_service", F.lit("c")).withColumn(
+        "event_time", F.col("event_time") + F.expr("interval 25 seconds")
+    )
+    both = produce.withColumn("consumer_service", F.lit(None).cast("string")).unionByName(markers)
+    spells = silent_spells(both, F.count(F.lit(1)).alias("rows"))
+    assert spells.agg(F.sum("rows")).first()[0] == 2 * len(hops)
+    found = spells.where("silent").select("trace_id", "last.seen_ms")
+    expected = stuck_traces(produce).select("trace_id", "last_seen_ts_ms")
+    assert found.count() == expected.count()
+    assert found.exceptAll(expected).count() == 0
+
+
 def interpolated(values, q):
     values = sorted(values)
     at = (len(values) - 1) * q

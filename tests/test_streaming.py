@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from hoptrail import schemas, wire
-from hoptrail.operators import reports, views
+from hoptrail.operators import meters, reports, views
 from hoptrail.plans import jobs
 from hoptrail.sources import files
 from hoptrail.sources.events import raw_records
@@ -92,6 +92,26 @@ def test_landed_days_are_pruned(spark, ran):
     assert "IsNull(consumer_service)" in scan
 
 
+def test_metric_queries_stream_in_update_mode(spark, tmp_path):
+    """A live board does not wait for the watermark."""
+    add_file(frame(spark, [record(START), record(START + 1000, origin=START + 500)]), f"{tmp_path}/raw")
+    stream = views.produce_view(with_watermark(files.read_raw(spark, f"{tmp_path}/raw", stream=True)))
+    for name, board in {
+        "counted": meters.counted(stream, ["this_topic"]),
+        "average": meters.average_latency(stream, ["this_topic"]),
+        "maximum": meters.maximum_latency(stream, ["this_topic"]),
+    }.items():
+        query = (
+            board.writeStream.outputMode("update").format("memory").queryName(name)
+            .option("checkpointLocation", f"{tmp_path}/{name}").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+    found = spark.table("counted").join(spark.table("average"), ["window_start", "this_topic"]).join(
+        spark.table("maximum"), ["window_start", "this_topic"]
+    )
+    assert [tuple(r) for r in found.collect()] == [(START, wire.PLACED, 2, 0.25, 0.5)]
+
+
 def test_restart_continues(spark, tmp_path):
     folder = f"{tmp_path}/raw"
     add_file(frame(spark, [record(START), record(START + 1000)]), folder)

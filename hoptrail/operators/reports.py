@@ -115,3 +115,32 @@ def coverage(produce: DataFrame) -> DataFrame:
     dims = ["pipeline", "this_topic", "origin_service"]
     counted, bounds = _counts(produce, dims)
     return counted.select(*bounds, *dims, "distinct_traces", "records")
+
+
+def topology_of_edges(bipartite: DataFrame) -> DataFrame:
+    """The topology report out of the finished bipartite one, whose produce edges
+    have the same grain."""
+    return bipartite.where(F.col("edge_type") == "produce").select(
+        "window_start",
+        "window_end",
+        "pipeline",
+        "origin_service",
+        "producer_service",
+        "topic",
+        "records",
+        "distinct_traces",
+    )
+
+
+def coverage_of_latency(latency_report: DataFrame) -> DataFrame:
+    """The coverage report out of the finished latency one, which has the same
+    grain and counts the same things."""
+    return latency_report.select(
+        "window_start",
+        "window_end",
+        "pipeline",
+        "this_topic",
+        "origin_service",
+        "distinct_traces",
+        F.col("sample_count").alias("records"),
+    )

@@ -30,6 +30,13 @@ def report_frames(signal_rows: DataFrame, percentile_method: str) -> dict[str, D
     }
 
 
+# Reports that are a selection from another one of the same grain.
+DERIVED = {
+    "topology_report_1m": ("bipartite_topology_report_1m", reports.topology_of_edges),
+    "coverage_report_1m": ("latency_report_1m", reports.coverage_of_latency),
+}
+
+
 def run_batch(
     spark: SparkSession,
     raw: DataFrame,
@@ -41,13 +48,17 @@ def run_batch(
 
     The records are decoded once into a table in the shared folder. The reports
     read only the columns they need from it, and a lost executor costs a re-read
-    of that table, not of the raw records.
+    of that table, not of the raw records. Two of the reports are read off
+    finished ones instead of being counted again.
     """
-    landing = landing or f"{shared_folder(spark)}/landed"
+    landing = landing or f"{shared_folder(spark)}/landed-{spark.sparkContext.applicationId}"
     files.land(raw, landing)
     frames = report_frames(files.read_landed(spark, landing), percentile_method)
     for name, report in frames.items():
-        sinks.write_report(report, name, folder)
+        if name not in DERIVED:
+            sinks.write_report(report, name, folder)
+    for name, (source, derive) in DERIVED.items():
+        sinks.write_report(derive(sinks.read_report(spark, folder, source)), name, folder)
     return list(frames)
 
 

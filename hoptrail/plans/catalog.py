@@ -84,13 +84,21 @@ def _markers(raw: DataFrame) -> DataFrame:
     return _plain_time(views.consume_view(sent, ["kafka_topic"]))
 
 
-def _echo_model():
-    """Stands in for a text model: two short sentences from the facts given."""
+def _annotated(produce: DataFrame) -> DataFrame:
+    """Root causes from a stand-in for a text model: two sentences from the facts.
 
-    def answer(asked: list[str]) -> list[str]:
-        return [f"Nothing consumed {p.split(' last_topic=')[1].split(' ')[0]}. Check its consumer." for p in asked]
+    The model is defined in here so that it travels to the workers by value and
+    they need not have this package installed.
+    """
 
-    return answer
+    def open_model():
+        def answer(asked):
+            topics = [p.split(" last_topic=")[1].split(" ")[0] for p in asked]
+            return [f"Nothing consumed {topic}. Check its consumer." for topic in topics]
+
+        return answer
+
+    return annotate.root_causes(stuck.stuck_traces(produce), open_model)
 
 
 def _correlated(spark: SparkSession, folder: str) -> DataFrame:
@@ -144,7 +152,7 @@ QUERIES: dict[str, Query] = {
     "latency_sketch_rollup": _produce(_rolled_up),
     "stuck_trace": _produce(stuck.stuck_traces),
     "rca_prompt": _produce(lambda p: annotate.prompts(stuck.stuck_traces(p))),
-    "trace_rca": _produce(lambda p: annotate.root_causes(stuck.stuck_traces(p), _echo_model)),
+    "trace_rca": _produce(_annotated),
     # Trails, paths and stage jobs.
     "trail_hops": _raw(trails.trail_hops, with_trail=True),
     "trail_violations": _raw(trails.trail_violations, with_trail=True),

@@ -77,6 +77,13 @@ def _relay_output(raw: DataFrame) -> DataFrame:
     ).drop("consumer_service")
 
 
+def _started(raw: DataFrame) -> DataFrame:
+    """First hops of the placed records that carry no trace yet."""
+    placed = raw.where(F.col("kafka_topic") == wire.PLACED)
+    sent = relay.start_traces(placed, wire.INTAKE, wire.PLACED)
+    return _plain_time(views.produce_view(sent, ["event_id"]))
+
+
 def _markers(raw: DataFrame) -> DataFrame:
     """The markers the fulfillment service leaves for each record enriched."""
     enriched = raw.where(F.col("kafka_topic") == wire.ENRICHED)
@@ -164,6 +171,7 @@ QUERIES: dict[str, Query] = {
     ),
     "trace_path": _produce(lambda p: trails.trace_path(p).drop("origin_day")),
     "relay_output": _raw(_relay_output, with_trail=True),
+    "started_traces": _raw(_started, with_trail=True),
     "consume_markers": _raw(_markers),
     # Metric queries.
     "k01_avg_latency": _produce(lambda p: meters.average_latency(p, HOP_DIMS)),

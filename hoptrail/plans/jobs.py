@@ -62,18 +62,17 @@ def run_batch(
     return list(frames)
 
 
-def start_streams(
-    raw: DataFrame,
+def start_report_streams(
+    signal_rows: DataFrame,
     folder: str,
     checkpoints: str | None = None,
-    delay: str = wire.WATERMARK_DELAY,
     percentile_method: str = "kll",
     every: str | None = wire.CHECKPOINT_EVERY,
 ) -> list[StreamingQuery]:
-    """Start one named query per report over a stream of raw records, each with
-    a checkpoint of its own."""
-    spark = raw.sparkSession
-    frames = report_frames(signals(with_watermark(raw, delay)), percentile_method)
+    """Start one named query per report over watermarked decoded records, each
+    with a checkpoint of its own. The records may come from a landing stream,
+    which decodes them once for all reports."""
+    spark = signal_rows.sparkSession
     return [
         sinks.start_report(
             report,
@@ -82,10 +81,17 @@ def start_streams(
             f"{checkpoints}/{name}" if checkpoints else sinks.checkpoint_folder(spark, name),
             every,
         )
-        for name, report in frames.items()
+        for name, report in report_frames(signal_rows, percentile_method).items()
     ]
 
 
+def start_streams(
+    raw: DataFrame, folder: str, checkpoints: str | None = None, delay: str = wire.WATERMARK_DELAY, **options
+) -> list[StreamingQuery]:
+    """Start all reports over a stream of raw records."""
+    return start_report_streams(signals(with_watermark(raw, delay)), folder, checkpoints, **options)
+
+
 def start_annotation(
     spark: SparkSession,
     folder: str,

@@ -4,9 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DateType, StructField, StructType
 
-from hoptrail import schemas
+from hoptrail import schemas, wire
 from hoptrail.operators.trails import RECORD
 from hoptrail.operators.views import signals
 
@@ -56,6 +57,23 @@ def land(raw: DataFrame, folder: str, mode: str = "overwrite") -> None:
     landed_columns(raw).write.mode(mode).partitionBy("event_date").parquet(folder)
 
 
+def start_landing(
+    raw: DataFrame, folder: str, checkpoint: str, every: str | None = wire.CHECKPOINT_EVERY
+) -> StreamingQuery:
+    """The same for a stream: decode each record once for all reports."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        landed_columns(raw)
+        .writeStream.queryName("landing")
+        .outputMode("append")
+        .option("checkpointLocation", checkpoint)
+        .partitionBy("event_date")
+        .trigger(**trigger)
+        .format("parquet")
+        .start(folder)
+    )
+
+
 def read_landed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:
     reader = spark.readStream if stream else spark.read
     return reader.schema(LANDED).parquet(folder)

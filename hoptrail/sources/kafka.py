@@ -74,3 +74,9 @@ def report_records(report: DataFrame, name: str) -> DataFrame:
     return report.select(
         F.lit(wire.REPORT_TOPICS[name]).alias("topic"), F.to_json(F.struct("*")).alias("value")
     )
+
+
+def stage_records(raw: DataFrame) -> DataFrame:
+    """Records a stage sends, as columns of the Kafka sink, headers included."""
+    key = F.col("key") if "key" in raw.columns else F.lit(None).cast("binary")
+    return raw.select(F.col("kafka_topic").alias("topic"), key.alias("key"), "value", "headers")

@@ -255,6 +255,13 @@ def _trails() -> dict[str, str]:
                 FROM fresh""",
             relayed.replace("WITH_PLACED", "placed_rows"),
         ),
+        "started_traces": _query(
+            f"""SELECT new_id AS trace_id, sent_ms AS origin_ts_ms, '{INTAKE}' AS origin_service,
+                'orders' AS pipeline, '{INTAKE}' AS this_service, '{PLACED}' AS this_topic,
+                CAST(1 AS INTEGER) AS hop_count, CAST(0 AS BIGINT) AS latency_ms, event_id, sent_ms AS event_ms
+                FROM fresh WHERE trace_id IS NULL""",
+            relayed.replace("WITH_PLACED", "placed_rows").replace("event_ms + 250", "event_ms"),
+        ),
         "consume_markers": _query(
             f"""SELECT trace_id, origin_ts_ms, origin_service, pipeline, this_service AS producer_service,
                 this_topic AS consumed_topic, '{FULFILLMENT}' AS consumer_service,

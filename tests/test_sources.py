@@ -54,6 +54,14 @@ def test_report_records_go_to_their_topic(spark):
     )
 
 
+def test_stage_records_carry_their_headers(spark):
+    raw = frame(spark, golden_chain()[:1])
+    row = kafka.stage_records(raw).first()
+    assert (row.topic, row.key, row.value) == (wire.PLACED, None, b"payload")
+    assert len(row.headers) == 7
+    assert kafka.stage_records(raw.withColumn("key", F.lit(b"k"))).first().key == b"k"
+
+
 def test_raw_round_trip(spark, tmp_path):
     raw = frame(spark, golden_chain())
     raw.write.parquet(f"{tmp_path}/raw")

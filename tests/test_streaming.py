@@ -92,6 +92,19 @@ def test_landed_days_are_pruned(spark, ran):
     assert "IsNull(consumer_service)" in scan
 
 
+def test_reports_stream_from_the_landing(spark, ran, tmp_path):
+    raw = files.read_raw(spark, f"{ran}/raw", stream=True, files_per_trigger=1)
+    files.start_landing(raw, f"{tmp_path}/landed", f"{tmp_path}/landing", every=None).awaitTermination()
+    landed = with_watermark(files.read_landed(spark, f"{tmp_path}/landed", stream=True))
+    for query in jobs.start_report_streams(landed, f"{tmp_path}/out", f"{tmp_path}/checkpoints", every=None):
+        query.awaitTermination()
+    for name in ("latency_report_1m", "stuck_trace_alerts_1m"):
+        found = sinks.read_report(spark, f"{tmp_path}/out", name)
+        batch = sinks.read_report(spark, f"{ran}/batch", name)
+        assert found.count() == batch.count()
+        assert found.exceptAll(batch).count() == 0
+
+
 def test_metric_queries_stream_in_update_mode(spark, tmp_path):
     """A live board does not wait for the watermark."""
     add_file(frame(spark, [record(START), record(START + 1000, origin=START + 500)]), f"{tmp_path}/raw")

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from hoptrail import wire
 from hoptrail.functions.headers import header_list_sql, header_sql, replaced_headers_sql
-from hoptrail.functions.ids import id_for_record, id_to_base64
+from hoptrail.functions.ids import id_for_record, id_from_base64, id_to_base64
 from hoptrail.functions.windows import event_ms
 from hoptrail.operators.trails import RECORD, parsed_trail
 
@@ -88,21 +88,21 @@ def relay(
     and the trail marked. ``sent_ms`` is the time of sending, by default the
     record's own.
     """
-    adopted = F.col("trail.t").isNotNull()
+    old_id = id_from_base64(F.col("trail.t"))
+    adopted = old_id.isNotNull()
 
     def adopt(old: Column, new: Column) -> Column:
         return F.when(adopted, old).otherwise(new)
 
     new_id = id_for_record(F.col("sent_ms"), *[F.col(name) for name in RECORD])
-    old_id = F.lower(F.hex(F.unbase64("trail.t")))
     working = _sent(raw.withColumn("trail", parsed_trail()), sent_ms).select(
         "*",
         adopt(old_id, new_id).alias("trace_id"),
         adopt(F.col("trail.o"), F.col("sent_ms")).alias("origin_ms"),
         adopt(F.col("trail.s"), F.lit(service)).alias("origin_service"),
         adopt(F.col("trail.p"), F.lit(pipeline)).alias("pipeline"),
-        F.coalesce("trail.h", F.expr(_NO_HOPS)).alias("hops"),
-        F.coalesce("trail.x", F.lit(False)).alias("cut"),
+        F.coalesce(F.when(adopted, F.col("trail.h")), F.expr(_NO_HOPS)).alias("hops"),
+        F.coalesce(adopted & F.col("trail.x"), F.lit(False)).alias("cut"),
     )
     return _stamped(working, service, out_topic)
 

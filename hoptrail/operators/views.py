@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from hoptrail import wire
 from hoptrail.functions.headers import header_struct_sql, header_text, reversed_keys_sql
-from hoptrail.functions.windows import event_ms
 
 _LATENCY = "try_subtract(unix_millis(event_time), origin_ts_ms)"
 
@@ -145,5 +144,8 @@ def rejected_headers(raw: DataFrame) -> DataFrame:
 def trace_age(produce: DataFrame, as_of_ms: int) -> DataFrame:
     """Age of each record's trace at a stated moment."""
     return produce.select(
-        "trace_id", "this_topic", "event_time", (F.lit(as_of_ms) - F.col("origin_ts_ms")).alias("age_ms")
+        "trace_id",
+        "this_topic",
+        "event_time",
+        F.try_subtract(F.lit(as_of_ms), "origin_ts_ms").alias("age_ms"),
     )

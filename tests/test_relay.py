@@ -138,6 +138,14 @@ def test_broken_trail_is_no_trail(spark):
     assert trails.trails(raw).count() == 0
 
 
+@pytest.mark.parametrize("text", ["{oops", '{"t": "not base64!", "o": 1, "h": [{"s": "a", "t": "b", "m": 1}]}'])
+def test_unreadable_trail_starts_a_new_one(spark, text):
+    raw = frame(spark, [(None, headers(trail=text), when(START), wire.PLACED, 0, 1)])
+    row = trails.trails(relay.relay(raw, "next", "out")).first()
+    assert (row.origin_service, row.origin_ts_ms, len(row.hops), row.truncated) == ("next", START, 1, False)
+    assert len(row.trace_id) == 32
+
+
 def test_stage_as_a_stream(spark, started, tmp_path):
     started.write.parquet(f"{tmp_path}/in")
     query = run_stage(

@@ -109,6 +109,7 @@ def test_unreadable_origin_gives_null_latency(spark, origin):
 def test_latency_that_does_not_fit_is_null(spark):
     raw = frame(spark, [record(START, origin=-(2**63))])
     assert views.produce_view(raw).first().latency_ms is None
+    assert views.trace_age(views.produce_view(raw), START).first().age_ms is None
 
 
 def test_null_pipeline_is_a_group(spark):

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import quality_rules
+from hoptrail.llm import bpe, html_text, quality_rules
+
+RANK_FILE = "byte_bpe_50k.tiktoken"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -26,6 +29,15 @@ def op1_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules,)}
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract_text(table(spark, folder, "pages"))
+
+
+def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
+    ranks, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
+    return bpe.encode_texts(table(spark, folder, "documents"), ranks, pattern, ["doc_id"])
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op5_byte_bpe)}
 
 ORACLE_SQL: dict[str, str] = {}

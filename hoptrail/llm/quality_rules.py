@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from hoptrail.llm import arrays
 from hoptrail.llm.workers import ship
 
-BUCKETS = 1 << 18
+BUCKETS = 1 << 16
 PRIOR = 4.0
 LEAST_SCORE = -0.5
 LEAST_WORDS = 50
@@ -157,11 +157,12 @@ def quality_rules(
     prior: float = PRIOR,
 ) -> DataFrame:
     """Judge every document. The trusted target is the documents of ``docs`` that
-    ``labels`` marks with quality 1. ``keep`` names columns to carry along."""
+    ``labels`` marks with quality 1; as labels grow with the corpus, the two meet by
+    a shuffle at any size. ``keep`` names columns to carry along."""
     ship(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
     trusted = labels.where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
-    flagged = docs.select("doc_id", "text").join(trusted, "doc_id", "left").select(
+    flagged = docs.select("doc_id", "text").join(trusted.hint("shuffle_hash"), "doc_id", "left").select(
         "text", F.coalesce("target", F.lit(False)).alias("target")
     )
     ratios = log_ratios(ngram_counts(flagged, buckets), buckets, prior)

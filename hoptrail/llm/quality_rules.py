@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from hoptrail.llm import arrays
 from hoptrail.llm.workers import ship
 
-BUCKETS = 1 << 16
+BUCKETS = 1 << 18
 PRIOR = 4.0
 LEAST_SCORE = -0.5
 LEAST_WORDS = 50

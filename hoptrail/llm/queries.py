@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, html_text, near_dedup, quality_rules
+from hoptrail.llm import bpe, html_text, near_dedup, quality_rules, repeats
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -42,6 +42,10 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), words=2)
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op5_byte_bpe, op6_near_dedup)}
+def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
+
+
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op5_byte_bpe, op6_near_dedup, op9_repeated_strings)}
 
 ORACLE_SQL: dict[str, str] = {}

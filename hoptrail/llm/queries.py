@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, html_text, near_dedup, quality_rules, repeats
+from hoptrail.llm import bpe, chunks, html_text, near_dedup, quality_rules, repeats
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -33,6 +33,10 @@ def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
 
 
+def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return chunks.dedup_chunks(table(spark, folder, "documents")).drop("kept")
+
+
 def op5_byte_bpe(spark: SparkSession, folder: str) -> DataFrame:
     ranks, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
     return bpe.encode_texts(table(spark, folder, "documents"), ranks, pattern, ["doc_id"])
@@ -46,6 +50,6 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op5_byte_bpe, op6_near_dedup, op9_repeated_strings)}
+QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op4_chunk_dedup, op5_byte_bpe, op6_near_dedup, op9_repeated_strings)}
 
 ORACLE_SQL: dict[str, str] = {}

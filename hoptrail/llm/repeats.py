@@ -25,7 +25,6 @@ an empty table gives an empty table. Only counts reach the driver.
 
 from __future__ import annotations
 
-import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,7 +33,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
-from hoptrail.llm.spool import MOST_BROADCAST_IDS, only_ids, spool
+from hoptrail.llm.cutting import cut_spans, joined_spans
+from hoptrail.llm.spool import only_ids, spool
 from hoptrail.llm.workers import ship
 
 LENGTH = 100
@@ -178,13 +178,7 @@ def removed_spans(kind: np.ndarray, first: np.ndarray, last: np.ndarray, length:
         if len(starts):
             gap = np.flatnonzero(np.diff(starts) > 1)
             whole += zip(starts[np.append(0, gap + 1)].tolist(), starts[np.append(gap, len(starts) - 1)].tolist())
-    out: list[tuple[int, int]] = []
-    for a, b in sorted(whole):
-        if out and a <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], b + length))
-        else:
-            out.append((a, b + length))
-    return out
+    return joined_spans([(a, b + length) for a, b in whole])
 
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT) -> DataFrame:
@@ -192,41 +186,4 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT) ->
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     found = spool(repeated_starts(docs, length, digit))
-
-    def remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            lists = batch.column("spans")
-            for i, text in enumerate(batch.column("text").to_pylist()):
-                data = (text or "").encode()
-                held = lists[i].values
-                columns = [held.field(c).to_numpy() for c in ("kind", "first", "last")]
-                gone = [(a, min(b, len(data))) for a, b in removed_spans(*columns, length) if a < len(data)]
-                kept, at = [], 0
-                for a, b in gone:
-                    kept.append(data[at:a])
-                    at = b
-                left = b"".join([*kept, data[at:]])
-                rows.append((len(data), len(data) - len(left), len(gone), hashlib.sha256(left).hexdigest(), left))
-            columns = list(zip(*rows)) or [()] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), *(pa.array(c, k) for c, k in zip(columns, kinds))],
-                ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
-            )
-
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
-    ids = spool(found.select("doc_id"))
-    few = ids.count() <= MOST_BROADCAST_IDS
-    marked = docs.join((F.broadcast(ids) if few else ids).withColumn("hit", F.lit(True)), "doc_id", "left")
-    touched = marked.where("hit").drop("hit").join(found, "doc_id").mapInArrow(remove, schema)
-    plain = F.coalesce("text", F.lit("")).cast("binary")
-    whole = marked.where("hit is null").select(
-        "doc_id",
-        F.octet_length(plain).cast("long").alias("n_bytes"),
-        F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"),
-        F.sha2(plain, 256).alias("kept_sha256"),
-        plain.alias("kept"),
-    )
-    return touched.union(whole)
+    return cut_spans(docs, found, ["kind", "first", "last"], lambda *spans: removed_spans(*spans, length))

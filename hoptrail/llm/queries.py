@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, chunks, html_text, near_dedup, quality_rules, repeats
+from hoptrail.llm import bpe, chunks, html_text, near_dedup, quality_model, quality_rules, repeats, toxicity
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -46,10 +46,30 @@ def op6_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), words=2)
 
 
+def op7_quality_model(spark: SparkSession, folder: str) -> DataFrame:
+    return quality_model.score_quality(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    return toxicity.score_toxicity(table(spark, folder, "documents"), table(spark, folder, "labels"))
+
+
 def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_quality_rules, op2_html_text, op4_chunk_dedup, op5_byte_bpe, op6_near_dedup, op9_repeated_strings)}
+QUERIES = {
+    query.__name__: query
+    for query in (
+        op1_quality_rules,
+        op2_html_text,
+        op4_chunk_dedup,
+        op5_byte_bpe,
+        op6_near_dedup,
+        op7_quality_model,
+        op8_toxicity,
+        op9_repeated_strings,
+    )
+}
 
 ORACLE_SQL: dict[str, str] = {}

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, chunks, html_text, near_dedup, quality_model, quality_rules, repeats, toxicity
+from hoptrail.llm import bpe, chunks, html_text, near_dedup, personal_data, quality_model, quality_rules, repeats, toxicity
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -58,6 +58,11 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
     return repeats.remove_repeats(table(spark, folder, "documents")).drop("kept")
 
 
+def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return personal_data.span_columns(personal_data.find_personal_data(docs))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -69,6 +74,7 @@ QUERIES = {
         op7_quality_model,
         op8_toxicity,
         op9_repeated_strings,
+        op10_personal_data,
     )
 }
 

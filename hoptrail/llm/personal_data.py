@@ -174,10 +174,12 @@ def _listed(spans: str) -> str:
     return f"array_join(transform({spans}, s -> concat_ws(':', s.kind, s.start, s.end)), ',')"
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
-    """The columns of ``docs`` with ``base`` and ``spans``, arrays of (kind, start,
-    end) in code points, ordered by kind as listed and then by start."""
-    rows = docs.withColumn("_row", F.monotonically_increasing_id()).withColumn("_t", F.coalesce("text", F.lit("")))
+def find_personal_data(docs: DataFrame, keep: list[str]) -> DataFrame:
+    """The columns ``keep`` of every document with ``base`` and ``spans``, arrays of
+    (kind, start, end) in code points, ordered by kind as listed and then by start."""
+    rows = docs.select(
+        *keep, F.coalesce("text", F.lit("")).alias("_t"), F.monotonically_increasing_id().alias("_row")
+    )
     found = spool(fixed_spans(rows).drop("_t"))
     seen = spool(occurrences(found))
     patterns = confident_patterns(seen)
@@ -198,12 +200,12 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     base = "concat(" + ", ".join(
         f"transform(_{k}, s -> named_struct('kind', '{k}', 'start', s.start, 'end', s.end))" for k in KINDS
     ) + ")"
-    own = [c for c in docs.columns]
+    own = [f"`{c}`" for c in keep]
     return (
         found.join(more, "_row", "left")
-        .selectExpr(*(f"`{c}`" for c in own), f"{base} as base", "_more")
+        .selectExpr(*own, f"{base} as base", "_more")
         .selectExpr(
-            *(f"`{c}`" for c in own),
+            *own,
             "base",
             f"if(_more is null, base, {ordered % 'concat(base, _more)'}) as spans",
         )

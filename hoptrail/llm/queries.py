@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, chunks, html_text, near_dedup, personal_data, quality_model, quality_rules, repeats, toxicity
+from hoptrail.llm import bpe, chunks, decontaminate, html_text, near_dedup, personal_data, quality_model, quality_rules, repeats, toxicity
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -33,6 +33,10 @@ def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
     return html_text.extract_text(table(spark, folder, "pages"))
 
 
+def op3_benchmark_windows(spark: SparkSession, folder: str) -> DataFrame:
+    return decontaminate.contaminated(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
 def op4_chunk_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return chunks.dedup_chunks(table(spark, folder, "documents")).drop("kept")
 
@@ -59,8 +63,8 @@ def op9_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
-    docs = table(spark, folder, "documents").select("doc_id", "text")
-    return personal_data.span_columns(personal_data.find_personal_data(docs))
+    found = personal_data.find_personal_data(table(spark, folder, "documents"), ["doc_id"])
+    return personal_data.span_columns(found)
 
 
 QUERIES = {
@@ -68,6 +72,7 @@ QUERIES = {
     for query in (
         op1_quality_rules,
         op2_html_text,
+        op3_benchmark_windows,
         op4_chunk_dedup,
         op5_byte_bpe,
         op6_near_dedup,

@@ -41,3 +41,10 @@ def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
     if ids.count() <= MOST_BROADCAST_IDS:
         ids = F.broadcast(ids)
     return df.join(ids, column, "left_semi")
+
+
+def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
+    """Rows of ``df`` whose ``column`` is not among ``ids`` (spooled, distinct)."""
+    if ids.count() <= MOST_BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return df.join(ids, column, "left_anti")

@@ -1,10 +1,77 @@
-"""From raw documents to token ids, one stage after the other."""
+"""From raw documents to token ids, one stage after the other.
+
+Every stage takes the documents that its predecessor kept, with all their columns,
+and its decisions take effect: rejected documents, copies and documents that quote a
+benchmark go, personal data is replaced by its kind. The last stage returns ids.
+"""
 
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from hoptrail.llm import bpe, decontaminate, near_dedup, personal_data, quality_rules
+from hoptrail.llm.spool import spool, without_ids
+
+RANK_FILE = "byte_bpe_50k.tiktoken"
+
+
+def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def _whole_rows(docs: DataFrame) -> DataFrame:
+    """Rows as one column, so that no name can clash, beside what is judged."""
+    return docs.select(F.struct("*").alias("_doc"), "doc_id", "text")
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the base rules and the log ratio."""
+    judged = quality_rules.quality_rules(_whole_rows(docs), _table(spark, sf_dir, "labels"), keep=["_doc"])
+    return judged.where("kept").select("_doc.*")
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of each group of near copies."""
+    copies = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
+    return without_ids(docs, spool(copies), "doc_id").select(docs.columns)
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a benchmark passage."""
+    leaks = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+    return without_ids(docs, spool(leaks.select("doc_id").distinct()), "doc_id").select(docs.columns)
+
+
+def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with personal data replaced, and their length as it is then."""
+    found = personal_data.find_personal_data(_whole_rows(docs), ["_doc"])
+    clean = found.withColumn("_text", personal_data.redacted_text("_doc.text", "spans"))
+    changed = {"text": F.col("_text"), "n_chars": F.length("_text").cast("long")}
+    return clean.select(*(changed.get(c, F.col("_doc")[c]).alias(c) for c in docs.columns))
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of each document, their number and digests."""
+    ranks, pattern = public_tokenizers.path(RANK_FILE), public_tokenizers.PATTERN
+    return bpe.encode_texts(docs, ranks, pattern, ["doc_id"], with_ids=True)
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("near_duplicates", near_duplicates),
+    ("decontamination", decontamination),
+    ("personal_data", redaction),
+    ("byte_bpe", tokens),
+]
+
+# Hashed n-grams, sketches and merges are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = spool(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

@@ -120,6 +120,9 @@ class _Tree(HTMLParser):
 
 
 def parse(html: str) -> Element:
+    last = html.rfind("<")
+    if last >= 0 and ">" not in html[last:] and re.match(r"[A-Za-z/!?]", html[last + 1 :]):
+        html = html[:last]
     tree = _Tree()
     tree.feed(html)
     tree.close()

@@ -8,54 +8,63 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail import schemas
+from hoptrail import schemas, wire
 
 Model = Callable[[list[str]], list[str]]
 
-# What is asked of the model: two sentences in under four hundred characters.
-MAX_ANSWER = 400
+# Tasks that ask the model at the same time.
+PARALLELISM = 64
 
 
 def prompt() -> Column:
     """The facts of one alert in one line; null if any of them is unknown."""
-    return F.concat(
-        F.lit("pipeline="),
-        "pipeline",
-        F.lit(" trace_id="),
-        "trace_id",
-        F.lit(" last_service="),
-        "last_service",
-        F.lit(" last_topic="),
-        "last_topic",
-        F.lit(" hop_count="),
-        F.col("last_hop_count").cast("string"),
-        F.lit(" idle_ms="),
-        F.col("stuck_for_ms").cast("string"),
-    )
+    parts = []
+    for label, name in wire.PROMPT_FACTS.items():
+        parts += [F.lit(f" {label}=" if parts else f"{label}="), F.col(name).cast("string")]
+    return F.concat(*parts)
 
 
 def prompts(alerts: DataFrame) -> DataFrame:
     return alerts.select("trace_id", "pipeline", "last_service", "last_topic", "stuck_for_ms", prompt().alias("prompt"))
 
 
-def root_causes(alerts: DataFrame, open_model: Callable[[], Model]) -> DataFrame:
-    """One model call per alert. ``open_model`` runs once per task and returns a
-    function from a batch of prompts to as many answers; an alert without a
-    prompt keeps a null answer. Works on static and streaming alerts."""
+def answers(alerts: DataFrame, open_model: Callable[[], Model], parallelism: int = PARALLELISM) -> DataFrame:
+    """One model call per alert, as answered. ``open_model`` runs once per task and
+    returns a function from a batch of prompts to as many answers; an alert without a
+    prompt keeps a null answer. The alerts are few and small, so they are dealt to
+    ``parallelism`` tasks, which bound the calls made at the same time. Works on
+    static and streaming alerts."""
 
     def annotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         model = open_model()
         for batch in batches:
             asked = batch["prompt"].notna()
-            answers = pd.Series([None] * len(batch), index=batch.index, dtype=object)
+            found = pd.Series([None] * len(batch), index=batch.index, dtype=object)
             if asked.any():
-                answers[asked] = model(batch.loc[asked, "prompt"].tolist())
-            yield batch.drop(columns="prompt").assign(root_cause=answers)
+                found[asked] = model(batch.loc[asked, "prompt"].tolist())
+            yield batch.drop(columns="prompt").assign(root_cause=found)
+
+    dealt = prompts(alerts).repartition(parallelism, "trace_id")
+    return dealt.mapInPandas(annotate, schemas.REPORTS["trace_rca_1m"])
 
-    return prompts(alerts).mapInPandas(annotate, schemas.REPORTS["trace_rca_1m"])
+
+def root_causes(alerts: DataFrame, open_model: Callable[[], Model], parallelism: int = PARALLELISM) -> DataFrame:
+    """The answers that keep to the requested form; the others become null."""
+    return answers(alerts, open_model, parallelism).withColumn(
+        "root_cause", F.when(acceptable(), F.col("root_cause"))
+    )
+
+
+def answer_counts(answered: DataFrame) -> DataFrame:
+    """Per pipeline: alerts, answers, and answers that break the form."""
+    return answered.groupBy("pipeline").agg(
+        F.count(F.lit(1)).alias("alerts"),
+        F.count("root_cause").alias("answers"),
+        F.count_if(~acceptable()).alias("rejected"),
+    )
 
 
 def acceptable(answer: str = "root_cause") -> Column:
     """Whether an answer keeps to the requested form."""
     sentences = F.size(F.filter(F.split(answer, r"[.!?](?:\s+|$)"), lambda s: F.trim(s) != ""))
-    return (F.length(answer) < MAX_ANSWER) & (sentences == 2)
+    return (F.length(answer) < wire.MAX_ANSWER) & (sentences == 2)

@@ -102,17 +102,21 @@ def lagging_consumers(
 
 
 def silent_services(
-    produce: DataFrame, minutes: int = 2, dims: Sequence[str] = ("this_service",)
+    produce: DataFrame, minutes: int = 2, dims: Sequence[str] = ("this_service",), as_of_ms: int | None = None
 ) -> DataFrame:
     """Windows of so many minutes, sliding by one, in which a known service sent
     nothing.
 
     Only the gaps between a service's active minutes are filled in, so there is
     no grid of all services and all windows. A service counts from its first
-    record on, up to the last active minute of any service. Further ``dims``
-    watch a service per pipeline, say.
+    record on, up to the last active minute of any service, or up to ``as_of_ms``,
+    which also leaves out records stamped later than that. Further ``dims`` watch a
+    service per pipeline, say. A gap becomes a row per hour first and per minute
+    then, so no row holds more than sixty minutes at once.
     """
     step = wire.WINDOW_MS
+    if as_of_ms is not None:
+        produce = produce.where(event_ms() < as_of_ms)
     active = _grouped(produce, dims, F.lit(1).alias("one"))
     last_minute = active.agg(F.max("window_start")).scalar()
     following = F.lead("window_start").over(Window.partitionBy(*dims).orderBy("window_start"))
@@ -121,9 +125,21 @@ def silent_services(
         (F.col("window_start") + step).alias("first_silent"),
         (F.coalesce(following, last_minute + step) - minutes * step).alias("last_silent"),
     ).where(F.col("last_silent") >= F.col("first_silent"))
-    return gaps.select(
+    hour = 60 * step
+    hours = gaps.select(
+        "*",
+        F.explode(
+            F.transform(
+                F.sequence(F.lit(0), F.floor((F.col("last_silent") - F.col("first_silent")) / hour)),
+                lambda h: F.col("first_silent") + h * hour,
+            )
+        ).alias("from"),
+    )
+    return hours.select(
         *dims,
-        F.explode(F.sequence("first_silent", "last_silent", F.lit(step))).alias("window_start"),
+        F.explode(
+            F.sequence("from", F.least("last_silent", F.col("from") + hour - step), F.lit(step))
+        ).alias("window_start"),
     )
 
 

@@ -16,6 +16,9 @@ DIMS = ["pipeline", "origin_service", "this_topic"]
 # tell the 99th percentile from the maximum.
 ACCURACY = 10_000
 KLL_K = 400
+# Rank errors to expect: by definition, and for that k with 99 % confidence.
+APPROX_ERROR = 1 / ACCURACY
+KLL_ERROR = 0.01
 
 
 def _name(quantile: float) -> str:
@@ -31,13 +34,9 @@ def _same(left: str, right: str, keys: Sequence[str]) -> Column:
     return condition
 
 
-def _bucket(value: Column) -> Column:
-    """Order-preserving bucket of an integer, one percent wide at most.
-
-    There are a few thousand buckets over the whole bigint range, so a group
-    has few of them however many values it has.
-    """
-    return (F.signum(value) * F.ceil(F.log1p(F.abs(value.cast("double"))) * 100)).cast("int")
+# Bits of a value that each narrowing step leaves open. A step orders at most
+# 2**22 buckets of a key, and the last one at most 2**21 values.
+NARROWING = (42, 21)
 
 
 def exact_percentiles(
@@ -48,41 +47,55 @@ def exact_percentiles(
 
     Rows collapse to counts per distinct value first. Counts per bucket then
     tell which bucket holds each wanted rank, and only the values inside those
-    buckets are put in order. A key that owns a third of all rows is thus
-    spread over its values, and no task ever sees more than one bucket of it.
+    buckets go on, to buckets a fraction as wide and at last to single values.
+    Buckets are cut by the bits of the value, so a step never orders more than
+    some millions of possible buckets or values, wherever the values lie and
+    however many rows a key has.
     """
-    counted = (
+    held = (
         df.where(F.col(value).isNotNull())
-        .groupBy(*keys, F.col(value).alias("value"))
+        .groupBy(*keys, F.col(value).cast("bigint").alias("value"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("bucket", _bucket(F.col("value")))
-    )
-    by_bucket = Window.partitionBy(*keys).orderBy("bucket")
-    buckets = (
-        counted.groupBy(*keys, "bucket")
-        .agg(F.sum("n").alias("bucket_n"))
-        .withColumn("through", F.sum("bucket_n").over(by_bucket))
-        .withColumn("total", F.sum("bucket_n").over(Window.partitionBy(*keys)))
-        .withColumn("before", F.col("through") - F.col("bucket_n"))
     )
     at = {q: (F.col("total") - 1) * F.lit(q) for q in quantiles}
-    ranks = [edge(at[q]) for q in quantiles for edge in (F.floor, F.ceil)]
     wanted = F.lit(False)
-    for rank in ranks:
-        wanted = wanted | ((rank >= F.col("before")) & (rank < F.col("through")))
-    chosen = buckets.where(wanted).select(*keys, "bucket", "before", "total")
-
+    for q in quantiles:
+        for edge in (F.floor, F.ceil):
+            wanted = wanted | ((edge(at[q]) >= F.col("before")) & (edge(at[q]) < F.col("through")))
+    wide: list[str] = []
+    for bits in NARROWING:
+        held = held.withColumn("bucket", F.shiftright("value", bits))
+        in_order = Window.partitionBy(*keys, *wide).orderBy("bucket").rowsBetween(
+            Window.unboundedPreceding, Window.currentRow
+        )
+        if wide:
+            counts = held.groupBy(*keys, *wide, "bucket").agg(
+                F.sum("n").alias("bucket_n"), F.first("before").alias("start"), F.first("total").alias("total")
+            )
+        else:
+            counts = held.groupBy(*keys, "bucket").agg(F.sum("n").alias("bucket_n")).withColumns(
+                {"start": F.lit(0).cast("bigint"), "total": F.sum("bucket_n").over(Window.partitionBy(*keys))}
+            )
+        chosen = (
+            counts.withColumn("through", F.col("start") + F.sum("bucket_n").over(in_order))
+            .withColumn("before", F.col("through") - F.col("bucket_n"))
+            .where(wanted)
+            .select(*keys, "bucket", "before", "total")
+        )
+        held = (
+            held.select(*keys, "value", "n", "bucket")
+            .alias("all")
+            .join(chosen.alias("chosen"), _same("all", "chosen", [*keys, "bucket"]))
+            .select(*[F.col(f"all.{k}").alias(k) for k in keys], "value", "n", "before", "total",
+                    F.col("all.bucket").alias("wide"))
+        )
+        wide = ["wide"]
     in_bucket = (
-        Window.partitionBy(*keys, "bucket")
+        Window.partitionBy(*keys, "wide")
         .orderBy("value")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    placed = (
-        counted.alias("all")
-        .join(chosen.alias("chosen"), _same("all", "chosen", [*keys, "bucket"]))
-        .select("all.*", "before", "total")
-        .withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
-    )
+    placed = held.withColumn("upto", F.col("before") + F.sum("n").over(in_bucket))
 
     def value_at(rank: Column) -> Column:
         here = (rank >= F.col("upto") - F.col("n")) & (rank < F.col("upto"))
@@ -158,3 +171,30 @@ def merge_sketches(sketches: DataFrame, keys: Sequence[str], quantiles: Sequence
         F.kll_merge_agg_double("sketch", KLL_K).alias("sketch"), F.sum("sample_count").alias("sample_count")
     )
     return merged.select(*keys, *sketch_quantiles(quantiles), "sample_count")
+
+
+def within_rank_error(
+    df: DataFrame,
+    found: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    error: float,
+    quantiles: Sequence[float] = QUANTILES,
+) -> DataFrame:
+    """Per key, whether each quantile of ``found`` has a rank in ``df`` that is off
+    by at most ``error`` times the number of rows (and one row)."""
+    names = [_name(q) for q in quantiles]
+    held = df.where(F.col(value).isNotNull()).select(*keys, F.col(value).alias("value"))
+    beside = held.alias("all").join(found.select(*keys, *names).alias("found"), _same("all", "found", keys))
+    total = F.count(F.lit(1))
+
+    def near(name: str, q: float) -> Column:
+        below, through = F.count_if(F.col("value") < F.col(name)), F.count_if(F.col("value") <= F.col(name))
+        slack = total * F.lit(error) + 1
+        return ((below - slack <= total * F.lit(q)) & (through + slack >= total * F.lit(q))).alias(
+            name.replace("_ms", "_near")
+        )
+
+    return beside.groupBy(*[F.col(f"all.{key}").alias(key) for key in keys]).agg(
+        total.alias("sample_count"), *[near(name, q) for name, q in zip(names, quantiles)]
+    )

@@ -25,13 +25,13 @@ def per_trace(df: DataFrame, dims: Sequence[str], *measures: Column) -> tuple[Da
     return counted, key
 
 
-def _second_window(key: list[str]) -> Column | str:
+def second_window(key: list[str]) -> Column | str:
     return F.window(F.window_time("window"), "1 minute").alias("window") if key == ["window"] else key[0]
 
 
 def _counts(df: DataFrame, dims: Sequence[str]) -> tuple[DataFrame, list[Column]]:
     traces, key = per_trace(df, dims)
-    counted = traces.groupBy(_second_window(key), *dims).agg(
+    counted = traces.groupBy(second_window(key), *dims).agg(
         F.sum("n").alias("records"), F.count(F.lit(1)).alias("distinct_traces")
     )
     return counted, list(window_bounds(counted))
@@ -48,7 +48,7 @@ def latency(produce: DataFrame) -> DataFrame:
         F.min("latency_ms").alias("low"),
         F.max("latency_ms").alias("high"),
     )
-    counted = traces.groupBy(_second_window(key), *dims).agg(
+    counted = traces.groupBy(second_window(key), *dims).agg(
         F.sum("n").alias("sample_count"),
         F.count(F.lit(1)).alias("distinct_traces"),
         F.try_divide(F.sum("total"), F.sum("timed")).alias("avg_latency_ms"),

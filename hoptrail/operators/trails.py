@@ -127,27 +127,34 @@ def in_order(
 ) -> DataFrame:
     """Number the rows of each trace from 1 in event-time order.
 
-    Rows are ranked within a minute of their trace and then shifted by the
-    number of rows in earlier minutes. A trace that loops and owns a large
-    share of all rows is thus ranked by many tasks, a minute at a time.
+    ``order`` and the event time must tell apart all rows that differ. Equal rows
+    are counted first, and positions come from running sums of counts through fixed
+    levels: minutes of a trace, milliseconds of a minute (60,000 at most), distinct
+    rows of a millisecond. However many records a trace has in a minute, no task
+    sorts more than that. Rows without an event time come last.
     """
-    in_slot = Window.partitionBy("trace_id", "slot").orderBy("event_ms", *order)
-    ranked = rows.withColumn("slot", floor_ms(F.col("event_ms"), slot_ms)).withColumn(
-        "rank", F.row_number().over(in_slot)
+    columns = rows.columns
+    counted = (
+        rows.withColumn("at", F.coalesce("event_ms", F.lit(2**63 - 1)))
+        .groupBy(*columns, "at")
+        .agg(F.count(F.lit(1)).alias("n"))
+        .withColumn("slot", floor_ms(F.col("at"), slot_ms))
     )
-    # Counting from the ranked rows lets Spark reuse their shuffle.
-    counts = ranked.groupBy("trace_id", "slot").agg(F.max("rank").alias("in_slot"))
-    earlier = Window.partitionBy("trace_id").orderBy("slot")
-    offsets = counts.select(
-        "trace_id",
-        "slot",
-        (F.sum("in_slot").over(earlier) - F.col("in_slot")).alias("before"),
-    )
-    return (
-        ranked.join(offsets, ["trace_id", "slot"])
-        .withColumn("pos", F.col("before") + F.col("rank"))
-        .drop("slot", "rank", "before")
+
+    def running(df: DataFrame, within: Sequence[str], by: Sequence[str], name: str) -> DataFrame:
+        window = Window.partitionBy(*within).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        return df.withColumn(name, F.sum("n").over(window) - F.col("n"))
+
+    moments = counted.groupBy("trace_id", "slot", "at").agg(F.sum("n").alias("n"))
+    slots = moments.groupBy("trace_id", "slot").agg(F.sum("n").alias("n"))
+    slots = running(slots, ["trace_id"], ["slot"], "before_slot").drop("n")
+    moments = running(moments, ["trace_id", "slot"], ["at"], "before_moment").drop("n")
+    before = moments.join(slots, ["trace_id", "slot"]).select(
+        "trace_id", "slot", "at", (F.col("before_slot") + F.col("before_moment")).alias("before")
     )
+    placed = running(counted, ["trace_id", "slot", "at"], order, "before_row").join(before, ["trace_id", "slot", "at"])
+    first = F.col("before") + F.col("before_row") + 1
+    return placed.select(*columns, F.explode(F.sequence(first, first + F.col("n") - 1)).alias("pos"))
 
 
 def trace_path(produce: DataFrame) -> DataFrame:

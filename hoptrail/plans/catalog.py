@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,9 +11,11 @@ from pyspark.sql import functions as F
 from hoptrail import wire
 from hoptrail.functions.ids import id_origin_ms
 from hoptrail.functions.headers import header_text
-from hoptrail.functions.windows import event_ms
+from hoptrail.functions.windows import event_ms, floor_ms, tumble
 from hoptrail.operators import annotate, meters, percentiles, relay, reports, stuck, trails, views
 from hoptrail.plans import questions
+from hoptrail.session import shared_folder
+from hoptrail.sources import files
 from hoptrail.sources.events import raw_records, read_events
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -20,6 +23,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 # The moments asked about: noon, and six hours into the twelve the traces span.
 NOON = 1704110400000
 DEPLOY = 1704088800000
+# First and last day of the paths asked for.
+DAYS = ("2024-01-01", "2024-01-01")
 
 # What the documentation of the pipeline claims: it still lists a topic that is
 # no longer used and has not heard of the terminal consumer.
@@ -91,8 +96,9 @@ def _markers(raw: DataFrame) -> DataFrame:
     return _plain_time(views.consume_view(sent, ["kafka_topic"]))
 
 
-def _annotated(produce: DataFrame) -> DataFrame:
-    """Root causes from a stand-in for a text model: two sentences from the facts.
+def _stand_in():
+    """A stand-in for a text model: two sentences from the facts for a first hop,
+    one for a second and too much text for a later one.
 
     The model is defined in here so that it travels to the workers by value and
     they need not have this package installed.
@@ -100,12 +106,24 @@ def _annotated(produce: DataFrame) -> DataFrame:
 
     def open_model():
         def answer(asked):
-            topics = [p.split(" last_topic=")[1].split(" ")[0] for p in asked]
-            return [f"Nothing consumed {topic}. Check its consumer." for topic in topics]
+            facts = [dict(x.split("=", 1) for x in p.split(" ")) for p in asked]
+            return [
+                f"Nothing consumed {f['last_topic']}."
+                + {"1": " Check its consumer.", "2": ""}.get(f["hop_count"], " Wait." + " Check it." * 50)
+                for f in facts
+            ]
 
         return answer
 
-    return annotate.root_causes(stuck.stuck_traces(produce), open_model)
+    return open_model
+
+
+def _annotated(produce: DataFrame) -> DataFrame:
+    return annotate.root_causes(stuck.stuck_traces(produce), _stand_in())
+
+
+def _answered(produce: DataFrame) -> DataFrame:
+    return annotate.answer_counts(annotate.answers(stuck.stuck_traces(produce), _stand_in()))
 
 
 def _correlated(spark: SparkSession, folder: str) -> DataFrame:
@@ -120,8 +138,31 @@ def _drift(spark: SparkSession, folder: str) -> DataFrame:
     return questions.topology_drift(views.signals(raw_records(spark, folder)), documented)
 
 
+def _judged(produce: DataFrame, method: str, error: float) -> DataFrame:
+    """Sketched percentiles beside the exact ranks of what they estimate."""
+    windowed, key = tumble(produce)
+    found = percentiles.latency_percentiles(produce, method)
+    return percentiles.within_rank_error(windowed, found, [*key, *percentiles.DIMS], "latency_ms", error)
+
+
 def _rolled_up(produce: DataFrame) -> DataFrame:
-    return percentiles.merge_sketches(percentiles.latency_sketches(produce), ["pipeline"])
+    found = percentiles.merge_sketches(percentiles.latency_sketches(produce), ["pipeline"])
+    return percentiles.within_rank_error(produce, found, ["pipeline"], "latency_ms", percentiles.KLL_ERROR)
+
+
+def _topic_fan_in(raw: DataFrame) -> DataFrame:
+    """Records per topic and hour over the union of one frame per topic."""
+    topics = [raw.where(F.col("kafka_topic") == topic) for topic in wire.SOURCE_TOPICS]
+    hour = floor_ms(event_ms(), 60 * wire.WINDOW_MS)
+    return views.fan_in(*topics).groupBy("kafka_topic", hour.alias("hour")).agg(F.count(F.lit(1)).alias("records"))
+
+
+def _dated_path(spark: SparkSession, folder: str) -> DataFrame:
+    """The paths of stated days, read off the landed table of all days."""
+    landing = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    files.land(raw_records(spark, folder), landing)
+    days = files.landed_days(files.read_landed(spark, landing), *DAYS)
+    return trails.trace_path(views.produced(days))
 
 
 HOP_DIMS = ["pipeline", "origin_service", "this_topic"]
@@ -139,6 +180,7 @@ QUERIES: dict[str, Query] = {
             F.size("headers").alias("header_entries"),
         )
     ),
+    "topic_fan_in": _raw(_topic_fan_in),
     "produce_view": _produce(_plain_time),
     "consume_view": _raw(lambda raw: _plain_time(views.consume_view(raw))),
     "untagged_rate": _raw(views.untagged_rate),
@@ -154,12 +196,13 @@ QUERIES: dict[str, Query] = {
     "hop_distribution_1m": _produce(reports.hop_distribution),
     "coverage_1m": _produce(reports.coverage),
     "latency_percentiles_1m": _produce(lambda p: _rounded(percentiles.latency_percentiles(p))),
-    "latency_percentiles_approx": _produce(lambda p: percentiles.latency_percentiles(p, "approx")),
-    "latency_percentiles_kll": _produce(lambda p: percentiles.latency_percentiles(p, "kll")),
+    "latency_percentiles_approx": _produce(lambda p: _judged(p, "approx", percentiles.APPROX_ERROR)),
+    "latency_percentiles_kll": _produce(lambda p: _judged(p, "kll", percentiles.KLL_ERROR)),
     "latency_sketch_rollup": _produce(_rolled_up),
     "stuck_trace": _produce(stuck.stuck_traces),
     "rca_prompt": _produce(lambda p: annotate.prompts(stuck.stuck_traces(p))),
     "trace_rca": _produce(_annotated),
+    "trace_rca_answers": _produce(_answered),
     # Trails, paths and stage jobs.
     "trail_hops": _raw(trails.trail_hops, with_trail=True),
     "trail_violations": _raw(trails.trail_violations, with_trail=True),
@@ -222,7 +265,7 @@ QUERIES: dict[str, Query] = {
     "l22_topology_drift": _drift,
     "l23_stuck_rate": _produce(lambda p: questions.stuck_rate_around(p, DEPLOY)),
     "l24_stuck_breakdown": _produce(questions.stuck_breakdown, "kafka_partition"),
-    "l26_dated_path": _produce(trails.trace_path),
+    "l26_dated_path": _dated_path,
     "l27_missed_services": _produce(questions.missed_services),
     "l28_trace_journey": _signals(trails.trace_journey),
     "l29_audit": _signals(questions.audit),

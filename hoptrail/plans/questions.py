@@ -13,9 +13,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hoptrail import wire
-from hoptrail.functions.windows import event_ms, floor_ms, tumble
+from hoptrail.functions.windows import event_ms, floor_ms, tumble, window_bounds
 from hoptrail.operators.percentiles import DIMS, exact_percentiles, latency_percentiles
-from hoptrail.operators.reports import per_trace
+from hoptrail.operators.reports import per_trace, second_window
 from hoptrail.operators.stuck import silent_spells, stuck_traces
 
 HOUR = 3_600_000
@@ -57,17 +57,20 @@ def service_graph(consume: DataFrame) -> DataFrame:
     """Service-to-service edges per minute. A marker names both ends of its
     edge, so the graph needs no join of produce edges to consume edges."""
     traces, key = per_trace(consume, ["pipeline", "producer_service", "consumed_topic", "consumer_service"])
-    return traces.groupBy(
-        *key, "pipeline", "producer_service", F.col("consumed_topic").alias("topic"), "consumer_service"
-    ).agg(F.sum("n").alias("records"), F.count(F.lit(1)).alias("distinct_traces"))
+    dims = ["pipeline", "producer_service", "topic", "consumer_service"]
+    counted = traces.withColumnRenamed("consumed_topic", "topic").groupBy(second_window(key), *dims).agg(
+        F.sum("n").alias("records"), F.count(F.lit(1)).alias("distinct_traces")
+    )
+    return counted.select(window_bounds(counted)[0], *dims, "records", "distinct_traces")
 
 
 def traces_per_pipeline(produce: DataFrame) -> DataFrame:
     """Distinct traces and records per pipeline and minute."""
     traces, key = per_trace(produce, ["pipeline"])
-    return traces.groupBy(*key, "pipeline").agg(
+    counted = traces.groupBy(second_window(key), "pipeline").agg(
         F.count(F.lit(1)).alias("distinct_traces"), F.sum("n").alias("records")
     )
+    return counted.select(window_bounds(counted)[0], "pipeline", "distinct_traces", "records")
 
 
 def latency_around(produce: DataFrame, moment_ms: int, span_ms: int = 2 * HOUR) -> DataFrame:

@@ -27,14 +27,6 @@ def _texts(values: tuple[str, ...]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Spread the rows of a scan that has fewer partitions than there are cores,
-    such as one small file, which cannot be split further. A large scan is left
-    as it is."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
-
-
 def read_events(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/events.parquet")
 
@@ -47,8 +39,7 @@ def _hops(spark: SparkSession, folder: str) -> DataFrame:
         "if(event_type = 'error', 'failed', 'success') as status",
     )
     return (
-        spread(events)
-        .selectExpr(
+        events.selectExpr(
             "event_id",
             "status",
             f"{START_MS} + (elapsed - elapsed % 60) div 60 as origin_ms",

@@ -65,3 +65,15 @@ CHECKPOINT_EVERY = "30 seconds"
 
 # Reported quantiles of the latency.
 QUANTILES = (0.5, 0.95, 0.99)
+
+# What the model job asks for: two sentences in fewer characters than this.
+MAX_ANSWER = 400
+# Labels of the facts in a prompt, in order, with the alert columns they name.
+PROMPT_FACTS = {
+    "pipeline": "pipeline",
+    "trace_id": "trace_id",
+    "last_service": "last_service",
+    "last_topic": "last_topic",
+    "hop_count": "last_hop_count",
+    "idle_ms": "stuck_for_ms",
+}

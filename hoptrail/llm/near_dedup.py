@@ -6,15 +6,19 @@ exponential scale (so the maximum of two sketches is the sketch of the union).
 Each shingle sends its points in ascending order to random registers and stops at
 the largest minimum so far, which makes long documents cheap.
 
-Bands of equal registers give candidates. The similarity of a candidate pair is
-estimated by maximum likelihood from the registers that are larger, smaller and
-equal, given both set sizes; pairs far below the threshold go. The rest is verified
-on the full shingle sets.
+Bands of equal registers give candidates. Sizes that are too far apart, and lowest
+bits of the registers that differ too often, rule a pair out while it is made. The
+similarity of the others is estimated by maximum likelihood from the registers that
+are larger, smaller and equal, given both set sizes; pairs far below the threshold
+go. The rest is verified on the full shingle sets.
 
 A bucket is not expanded into pairs. Documents with equal sets are one class from
-the start. In two rounds every member of a bucket is compared with one leader of
+the start. In a few rounds every member of a bucket is compared with one leader of
 it, and links join components. Then only pairs that are still in different
-components are compared, all of them, so no link between components is lost.
+components are compared, all of them that can be linked at all: a shingle found in
+one component only cannot be shared with another, which bounds what a document can
+share, and rules out copies with too many changes of their own. So no link between
+components is lost.
 
 Defined cases: null and empty texts have an empty set and link to nothing; fewer
 words than a shingle count as one shingle; rows that share a doc_id are one
@@ -47,6 +51,8 @@ TOP = (1 << 16) - 1
 MARGIN = 0.13
 LEADER_ROUNDS = 2
 
+LOW_BITS = tuple(f"low{i}" for i in range(REGISTERS // 64))
+
 _U = np.uint64
 _STEP = _U(0x9E3779B97F4A7C15)
 
@@ -121,12 +127,14 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
                         pa.array(_sums(arrays.mix(found), owner, n)),
                         pa.array(_sums(arrays.mix(found ^ _STEP), owner, n)),
                         pa.array([row.tobytes() for row in registers], pa.binary()),
+                        *(pa.array(x) for x in np.packbits(registers & 1, axis=1).view(np.int64).T.copy()),
                     ],
-                    ["doc_id", "n", "d1", "d2", "registers"],
+                    ["doc_id", "n", "d1", "d2", "registers", *LOW_BITS],
                 )
 
+    low = ", ".join(f"{c} long" for c in LOW_BITS)
     return docs.select("doc_id", "text").mapInArrow(
-        sketch, "doc_id long, n long, d1 long, d2 long, registers binary"
+        sketch, f"doc_id long, n long, d1 long, d2 long, registers binary, {low}"
     )
 
 
@@ -226,23 +234,41 @@ def _ordered(first: str, second: str) -> list:
     return [F.least(first, second).alias("a"), F.greatest(first, second).alias("b")]
 
 
-def leader_pairs(members: DataFrame, turn: int) -> DataFrame:
+def _may_link(percent: int) -> str:
+    """Condition on a member and another one (``o_`` columns): sizes allow the
+    similarity, and the lowest bits of the registers do not speak against it. Equal
+    registers have equal bits and others do half of the time, so the bits that
+    differ are few at the threshold; five standard deviations more are let through."""
+    share = (1 - percent / 100) / 2
+    most = int(REGISTERS * share + 5 * (REGISTERS * share * (1 - share)) ** 0.5) + 1
+    apart = " + ".join(f"bit_count({c} ^ o_{c})" for c in LOW_BITS)
+    return f"100 * least(n, o_n) >= {percent} * greatest(n, o_n) and {apart} <= {most}"
+
+
+def _others(members: DataFrame, *more: str) -> DataFrame:
+    own = ("rep", "component", "n", *LOW_BITS, *more)
+    return members.select("band", *(F.col(c).alias(f"o_{c}") for c in own))
+
+
+def leader_pairs(members: DataFrame, turn: int, percent: int) -> DataFrame:
     """Every bucket member beside the bucket's leader, if they are not joined yet."""
+    own = ["rep", "component", "n", *LOW_BITS]
     leaders = (
         members.groupBy("band")
         .agg(
-            F.min(F.struct(F.xxhash64("rep", F.lit(turn)), "rep", "component")).alias("leader"),
+            F.min(F.struct(F.xxhash64("rep", F.lit(turn)).alias("turn"), *own)).alias("leader"),
             F.min("component").alias("low"),
             F.max("component").alias("high"),
         )
         .where("low < high")
-        .selectExpr("band", "leader.rep as leader", "leader.component as joined")
+        .select("band", *(F.col(f"leader.{c}").alias(c) for c in own))
     )
-    return members.join(leaders, "band").where("component <> joined").select(*_ordered("rep", "leader")).distinct()
+    beside = members.join(_others(leaders), "band").where(f"component <> o_component and {_may_link(percent)}")
+    return beside.select(*_ordered("rep", "o_rep")).distinct()
 
 
-def open_pairs(members: DataFrame) -> DataFrame:
-    """All pairs of a bucket that are in different components."""
+def open_buckets(members: DataFrame) -> DataFrame:
+    """Members of buckets with several components, and the largest of these (``main``)."""
     parts = members.groupBy("band", "component").agg(F.count("*").alias("size"))
     main = (
         parts.groupBy("band")
@@ -250,12 +276,48 @@ def open_pairs(members: DataFrame) -> DataFrame:
         .where("parts > 1")
         .selectExpr("band", "main.component as main")
     )
-    held = members.join(main, "band")
-    outside = held.where("component <> main").selectExpr("band", "rep as other", "component as apart")
+    return members.join(main, "band")
+
+
+def shareable(held: DataFrame, docs: DataFrame, words: int) -> DataFrame:
+    """Per document of open buckets, how many of its shingles another component of
+    open buckets has too: more it cannot share with any of them."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, parts = (batch.column(c).to_numpy() for c in ("doc_id", "component"))
+            for piece in arrays.pieces(batch.column("text")):
+                found, owner = shingle_hashes(piece, words)
+                at = piece.first + owner
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64)), pa.array(ids[at]), pa.array(parts[at])],
+                    ["shingle", "rep", "component"],
+                )
+
+    nodes = spool(held.select("rep", "component").distinct())
+    texts = only_ids(
+        docs.select("doc_id", "text").where("text is not null"), nodes.select(F.col("rep").alias("doc_id")), "doc_id"
+    )
+    rows = texts.join(nodes.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "component", "text")
+    rows = spool(rows.mapInArrow(cut, "shingle long, rep long, component long"))
+    spread = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = spread.where("low < high").select("shingle")
+    return rows.join(several, "shingle").groupBy("rep").agg(F.count("*").alias("shareable"))
+
+
+def open_pairs(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """All pairs of a bucket that are in different components and may be linked."""
+    held = spool(open_buckets(members))
+    held = spool(held.join(shareable(held, docs, words), "rep"))
+    # A document that cannot even be linked to the part of it that others have.
+    held = held.where(f"100 * shareable >= {percent} * n")
+    other = _others(held.where("component <> main"), "shareable")
+    most = "least(shareable, o_shareable)"
     return (
-        held.join(outside, "band")
-        .where("component <> apart and (component = main or rep < other)")
-        .select(*_ordered("rep", "other"))
+        held.join(other, "band")
+        .where(f"component <> o_component and (component = main or rep < o_rep) and {_may_link(percent)}")
+        .where(f"100 * {most} >= {percent} * (n + o_n - {most})")
+        .select(*_ordered("rep", "o_rep"))
         .distinct()
     )
 
@@ -267,16 +329,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
     classes = spool(
         sketched.where("n > 0 and doc_id is not null")
         .groupBy("n", "d1", "d2")
-        .agg(F.min(F.struct("doc_id", "registers")).alias("first"), F.count("*").alias("copies"))
-        .selectExpr("first.doc_id as rep", "n", "d1", "d2", "first.registers", "copies")
+        .agg(F.min(F.struct("doc_id", "registers", *LOW_BITS)).alias("first"), F.count("*").alias("copies"))
+        .select(F.col("first.doc_id").alias("rep"), "n", "d1", "d2", "copies", "first.registers",
+                *(F.col(f"first.{c}").alias(c) for c in LOW_BITS))
     )
     all_members = bands(classes)
     shared = all_members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
-    members = spool(all_members.join(shared, "band"))
+    members = spool(all_members.join(shared, "band").join(classes.select("rep", "n", *LOW_BITS), "rep"))
     links = known = tried = None
     for turn in range(LEADER_ROUNDS + 1):
         tagged = _with_component(members, known)
-        pairs = leader_pairs(tagged, turn) if turn < LEADER_ROUNDS else open_pairs(tagged)
+        pairs = leader_pairs(tagged, turn, percent) if turn < LEADER_ROUNDS else open_pairs(tagged, docs, words, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = spool(pairs)

@@ -14,11 +14,11 @@ go. The rest is verified on the full shingle sets.
 
 A bucket is not expanded into pairs. Documents with equal sets are one class from
 the start. In a few rounds every member of a bucket is compared with one leader of
-it, and links join components. Then only pairs that are still in different
-components are compared, all of them that can be linked at all: a shingle found in
-one component only cannot be shared with another, which bounds what a document can
-share, and rules out copies with too many changes of their own. So no link between
-components is lost.
+it, and links join components. Documents that share a bucket with another component
+go on to an exact search: documents similar enough share one of their rarest
+shingles, early enough among them, so all pairs of different components that do are
+verified. A copy with many changes of its own has none to share, however large its
+group, and makes no pairs.
 
 Defined cases: null and empty texts have an empty set and link to nothing; fewer
 words than a shingle count as one shingle; rows that share a doc_id are one
@@ -32,7 +32,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
@@ -279,9 +279,13 @@ def open_buckets(members: DataFrame) -> DataFrame:
     return members.join(main, "band")
 
 
-def shareable(held: DataFrame, docs: DataFrame, words: int) -> DataFrame:
-    """Per document of open buckets, how many of its shingles another component of
-    open buckets has too: more it cannot share with any of them."""
+def leading_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
+    """The shingles of each document that every link to another component must share
+    one of, as ``band``.
+
+    All shingles get one order: those of a single component first, then from rare to
+    common. Two sets similar enough share so many of their shingles that they share
+    one of the first ``n - percent * n / 100 + 1`` of either."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -291,32 +295,39 @@ def shareable(held: DataFrame, docs: DataFrame, words: int) -> DataFrame:
                 at = piece.first + owner
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(found.view(np.int64)), pa.array(ids[at]), pa.array(parts[at])],
-                    ["shingle", "rep", "component"],
+                    ["band", "rep", "component"],
                 )
 
-    nodes = spool(held.select("rep", "component").distinct())
-    texts = only_ids(
-        docs.select("doc_id", "text").where("text is not null"), nodes.select(F.col("rep").alias("doc_id")), "doc_id"
+    ids = nodes.select(F.col("rep").alias("doc_id"), "component")
+    texts = only_ids(docs.select("doc_id", "text").where("text is not null"), ids.select("doc_id"), "doc_id")
+    rows = texts.join(ids, "doc_id").select("doc_id", "component", "text")
+    rows = spool(rows.mapInArrow(cut, "band long, rep long, component long").select("band", "rep", "component"))
+    spread = rows.groupBy("band").agg(
+        F.count("*").alias("texts"), F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    several = spread.where("low < high").select("band", "texts")
+    ordered = Window.partitionBy("rep").orderBy("texts", "band")
+    ranked = rows.select("band", "rep").join(several, "band").select(
+        "band",
+        "rep",
+        F.row_number().over(ordered).alias("place"),
+        F.count("*").over(Window.partitionBy("rep")).alias("shareable"),
     )
-    rows = texts.join(nodes.withColumnRenamed("rep", "doc_id"), "doc_id").select("doc_id", "component", "text")
-    rows = spool(rows.mapInArrow(cut, "shingle long, rep long, component long"))
-    spread = rows.groupBy("shingle").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    several = spread.where("low < high").select("shingle")
-    return rows.join(several, "shingle").groupBy("rep").agg(F.count("*").alias("shareable"))
+    found = ranked.join(nodes, "rep").withColumn("place", F.expr("n - shareable + place"))
+    return found.where(f"place <= n - ceil({percent} * n / 100) + 1").drop("shareable")
 
 
 def open_pairs(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """All pairs of a bucket that are in different components and may be linked."""
-    held = spool(open_buckets(members))
-    held = spool(held.join(shareable(held, docs, words), "rep"))
-    # A document that cannot even be linked to the part of it that others have.
-    held = held.where(f"100 * shareable >= {percent} * n")
-    other = _others(held.where("component <> main"), "shareable")
-    most = "least(shareable, o_shareable)"
+    """All pairs in different components that may be linked, of the documents that
+    share a bucket with another component."""
+    nodes = spool(open_buckets(members).select("rep", "component", "n", *LOW_BITS).distinct())
+    held = spool(open_buckets(leading_shingles(nodes, docs, words, percent)))
+    # Before their first common shingle the two share nothing, and behind it at most
+    # what is left of the shorter rest.
+    left = f"(1 + least(n - place, o_n - o_place)) * {100 + percent} >= {percent} * (n + o_n)"
     return (
-        held.join(other, "band")
-        .where(f"component <> o_component and (component = main or rep < o_rep) and {_may_link(percent)}")
-        .where(f"100 * {most} >= {percent} * (n + o_n - {most})")
+        held.join(_others(held.where("component <> main"), "place"), "band")
+        .where(f"component <> o_component and (component = main or rep < o_rep) and {left} and {_may_link(percent)}")
         .select(*_ordered("rep", "o_rep"))
         .distinct()
     )

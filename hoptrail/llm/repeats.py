@@ -11,11 +11,13 @@ a pass leaves:
 2. The second digit is all the bytes of a run. Runs with equal bytes are repeats of
    the first of them, string by string.
 3. Where runs of one leading digit differ, the first run of each kind is taken apart
-   into its single strings, and these are grouped by all their bytes.
+   into blocks of up to eight neighbours, whose digit is the bytes all of them have.
+4. Where blocks of one digit differ, the first block of each kind is taken apart into
+   its single strings, and these are grouped by all their bytes.
 
-Passes 1 to 3 count and take minima, which combine before the shuffle, so a passage
+All passes count and take minima, which combine before the shuffle, so a passage
 that a third of all documents share is no hot spot. Groups are compared by 64-bit
-hashes: among n strings in pass 3 a wrong match is expected n * n / 2**65 times.
+hashes: among n strings in pass 4 a wrong match is expected n * n / 2**65 times.
 
 Defined cases: null and empty texts, and texts shorter than ``length``, lose
 nothing; rows without doc_id are matched with nothing; a row that repeats doc_id and
@@ -34,7 +36,7 @@ from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
 from hoptrail.llm.cutting import cut_spans, joined_spans
-from hoptrail.llm.spool import only_ids, spool
+from hoptrail.llm.spool import MOST_BROADCAST_IDS, only_ids, spool
 from hoptrail.llm.workers import ship
 
 LENGTH = 100
@@ -42,7 +44,8 @@ DIGIT = 32
 
 _U = np.uint64
 # Kinds of spans that come together for a document.
-_RUN, _HEAD, _OPEN, _FIRST = range(4)
+_RUN, _RUN_HEAD, _BLOCK, _BLOCK_HEAD, _OPEN, _FIRST = range(6)
+_BLOCK_BITS = 3
 
 
 def sliding_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -108,68 +111,147 @@ def suffix_runs(docs: DataFrame, length: int, digit: int) -> DataFrame:
     )
 
 
-def single_strings(docs: DataFrame, spans: DataFrame, length: int) -> DataFrame:
-    """Hash and start of every string of the given runs."""
+def run_bytes(docs: DataFrame, opened: DataFrame, length: int, digit: int) -> DataFrame:
+    """The bytes of the given runs, with the place of their digit."""
 
-    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column("doc_id").to_numpy()
-            spans = batch.column("spans").to_pylist()
             for piece in arrays.pieces(batch.column("text")):
-                sums = arrays.prefix_sums(piece.data)
-                for i in range(len(piece)):
-                    runs = sorted({(s["first"], s["last"]) for s in spans[piece.first + i]})
-                    starts = np.concatenate([np.arange(a, b + 1) for a, b in runs])
-                    starts = starts[starts + length <= piece.at[i + 1] - piece.at[i]]
-                    at = starts + piece.at[i]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(arrays.span_hashes(sums, at, at + length).view(np.int64)),
-                            pa.array(np.full(len(at), ids[piece.first + i])),
-                            pa.array(starts.astype(np.int32)),
-                        ],
-                        ["string", "doc_id", "start"],
-                    )
-
-    held = spans.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    return docs.join(held, "doc_id").select("doc_id", "text", "spans").mapInArrow(
-        take, "string long, doc_id long, start int"
+                text, place, first, last, _ = anchored_runs(piece, length, digit)
+                begin, data = piece.at[text], piece.data.tobytes()
+                parts = [data[a : b + length] for a, b in zip(first.tolist(), last.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[piece.first + text])]
+                    + [pa.array((x - begin).astype(np.int32)) for x in (first, last, place)]
+                    + [pa.array(parts, pa.binary())],
+                    ["doc_id", "first", "last", "place", "part"],
+                )
+
+    ids = spool(opened.select("doc_id").distinct())
+    texts = only_ids(docs.where("text is not null"), ids, "doc_id")
+    every = texts.mapInArrow(cut, "doc_id long, first int, last int, place int, part binary")
+    few = opened.count() <= MOST_BROADCAST_IDS
+    return every.join(F.broadcast(opened) if few else opened, ["doc_id", "first", "last"])
+
+
+def _part_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Prefix sums over the parts of a batch and where each of them begins."""
+    parts = batch.column("part").to_pylist()
+    begin = np.cumsum([0, *map(len, parts)])
+    return arrays.prefix_sums(np.frombuffer(b"".join(parts), np.uint8)), begin[:-1]
+
+
+def blocks(parts: DataFrame, length: int) -> DataFrame:
+    """The runs cut by the distance of the start from the digit. A block's digit is
+    what all strings at its distances have in common."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                sums, begin = _part_hashes(batch)
+                first, last, place = (batch.column(c).to_numpy().astype(np.int64) for c in ("first", "last", "place"))
+                low, high = (place - last) >> _BLOCK_BITS, (place - first) >> _BLOCK_BITS
+                counts = high - low + 1
+                run = np.arange(len(counts)).repeat(counts)
+                block = np.arange(len(run)) - (np.cumsum(counts) - counts)[run] + low[run]
+                most = place[run] - (block << _BLOCK_BITS)
+                least = most - (1 << _BLOCK_BITS) + 1
+                lo, hi = np.maximum(least, first[run]), np.minimum(most, last[run])
+                shift = begin[run] - first[run]
+                shape = (block * 64 + (most - lo) * 8 + (most - hi)).astype(_U) * _U(0xD6E8FEB86659FD93)
+                core = arrays.span_hashes(sums, shift + most, shift + least + length)
+                core = arrays.mix(core + block.astype(_U) * _U(0xFF51AFD7ED558CCD))
+                held = arrays.mix(arrays.span_hashes(sums, shift + lo, shift + hi + length) + shape)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(core.view(np.int64)),
+                        pa.array(held.view(np.int64)),
+                        pa.array(batch.column("doc_id").to_numpy()[run]),
+                        *(pa.array(x.astype(np.int32)) for x in (lo, hi, first[run])),
+                    ],
+                    ["digit", "bytes", "doc_id", "first", "last", "run"],
+                )
+
+    return parts.mapInArrow(cut, "digit long, bytes long, doc_id long, first int, last int, run int")
+
+
+def single_strings(parts: DataFrame, opened: DataFrame, length: int) -> DataFrame:
+    """Hash and start of every string of the given blocks of runs."""
+
+    def take(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for whole in batches:
+            for at in range(0, whole.num_rows, 4096):
+                batch = whole.slice(at, 4096)
+                sums, begin = _part_hashes(batch)
+                run, lo, hi = (batch.column(c).to_numpy().astype(np.int64) for c in ("run", "low", "high"))
+                counts = hi - lo + 1
+                block = np.arange(len(counts)).repeat(counts)
+                starts = np.arange(len(block)) - (np.cumsum(counts) - counts)[block] + lo[block]
+                place = starts - run[block] + begin[block]
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        pa.array(arrays.span_hashes(sums, place, place + length).view(np.int64)),
+                        pa.array(batch.column("doc_id").to_numpy()[block]),
+                        pa.array(starts.astype(np.int32)),
+                    ],
+                    ["string", "doc_id", "start"],
+                )
+
+    wanted = opened.selectExpr("doc_id", "run", "first as low", "last as high")
+    few = opened.count() <= MOST_BROADCAST_IDS
+    held = parts.selectExpr("doc_id", "first as run", "part").join(
+        F.broadcast(wanted) if few else wanted, ["doc_id", "run"]
     )
+    return held.select("doc_id", "run", "low", "high", "part").mapInArrow(take, "string long, doc_id long, start int")
 
 
-def repeated_starts(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT) -> DataFrame:
-    """Per document with any repeated digit: ``spans``, from which
-    :func:`removed_spans` tells the starts of strings that also start earlier."""
-    runs = suffix_runs(docs, length, digit)
-    digits = spool(runs.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit"))
-    runs = spool(only_ids(runs, digits, "digit"))
+def _repeated_digits(rows: DataFrame) -> DataFrame:
+    """The rows whose digit is not alone."""
+    digits = rows.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit")
+    return spool(only_ids(rows, spool(digits), "digit"))
+
+
+def _heads(rows: DataFrame, *more: str) -> tuple[DataFrame, DataFrame]:
+    """The first row of each kind of bytes, and those whose digit has several kinds."""
     heads = spool(
-        runs.groupBy("digit", "bytes")
-        .agg(F.min(F.struct("doc_id", "first", "last")).alias("head"))
+        rows.groupBy("digit", "bytes")
+        .agg(F.min(F.struct("doc_id", "first", "last", *more)).alias("head"))
         .select("digit", "head.*")
     )
     mixed = heads.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit")
-    opened = spool(heads.join(mixed, "digit").select("doc_id", "first", "last"))
-    ids = spool(opened.select("doc_id").distinct())
+    return heads, spool(heads.join(mixed, "digit").drop("digit"))
+
+
+def repeated_starts(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT) -> DataFrame:
+    """Per document with any repeated digit: ``spans``, from which
+    :func:`removed_spans` tells the starts of strings that also start earlier."""
+    runs = _repeated_digits(suffix_runs(docs, length, digit))
+    run_heads, opened_runs = _heads(runs)
+    parts = spool(run_bytes(docs, opened_runs, length, digit))
+    cut = _repeated_digits(spool(blocks(parts, length)))
+    block_heads, opened = _heads(cut, "run")
     firsts = (
-        single_strings(only_ids(docs.select("doc_id", "text"), ids, "doc_id"), opened, length)
+        single_strings(parts, opened, length)
         .groupBy("string")
         .agg(F.min(F.struct("doc_id", "start")).alias("first"))
         .select("first.doc_id", F.col("first.start").alias("first"), F.col("first.start").alias("last"))
     )
-    kinds = ((_RUN, runs), (_HEAD, heads), (_OPEN, opened), (_FIRST, firsts))
-    tagged = [x.select("doc_id", F.lit(kind).alias("kind"), "first", "last") for kind, x in kinds]
-    return (
-        tagged[0].union(tagged[1]).union(tagged[2]).union(tagged[3])
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("kind", "first", "last")).alias("spans"))
-    )
+    kinds = (runs, run_heads, cut, block_heads, opened, firsts)
+    union = None
+    for kind, rows in enumerate(kinds):
+        tagged = rows.select("doc_id", F.lit(kind).alias("kind"), "first", "last")
+        union = tagged if union is None else union.union(tagged)
+    return union.groupBy("doc_id").agg(F.collect_list(F.struct("kind", "first", "last")).alias("spans"))
 
 
 def removed_spans(kind: np.ndarray, first: np.ndarray, last: np.ndarray, length: int) -> list[tuple[int, int]]:
     """Maximal runs of removed bytes of one document."""
-    heads = set(first[kind == _HEAD].tolist())
-    whole = [(a, b) for a, b in zip(first[kind == _RUN].tolist(), last[kind == _RUN].tolist()) if a not in heads]
+    whole = []
+    for all_kind, head_kind in ((_RUN, _RUN_HEAD), (_BLOCK, _BLOCK_HEAD)):
+        heads, own = set(first[kind == head_kind].tolist()), kind == all_kind
+        whole += [(a, b) for a, b in zip(first[own].tolist(), last[own].tolist()) if a not in heads]
     firsts = np.unique(first[kind == _FIRST])
     opened = sorted(set(zip(first[kind == _OPEN].tolist(), last[kind == _OPEN].tolist())))
     if opened:

@@ -59,13 +59,14 @@ def _blocks(fingerprint: str, radius: int) -> str:
     return f"inline(array({', '.join(parts)}))"
 
 
-def _similarity(a: str, b: str, n: int) -> str:
-    """Sum of the smaller over sum of the larger counts of all shingles of two word lists."""
-    shingles = lambda w: f"transform(sequence(1, size({w}) - {n - 1}), i -> concat_ws(' ', slice({w}, i, {n})))"
-    shared = f"""aggregate(array_distinct({shingles(a)}), 0, (total, s) -> total + least(
-        size(filter({shingles(a)}, x -> x = s)), size(filter({shingles(b)}, x -> x = s))))"""
-    return f"""aggregate(array({shared}), 0.0D, (z, shared) ->
-        cast(shared as double) / (size({a}) + size({b}) - {2 * (n - 1)} - shared))"""
+def _counted_shingles(words: str, n: int) -> str:
+    """The shingles of a word list as a set that keeps their counts: the second and
+    later occurrences of a shingle carry their number."""
+    return f"""aggregate(
+        array(transform(sequence(1, size({words}) - {n - 1}), i -> concat_ws(' ', slice({words}, i, {n})))),
+        cast(array() as array<string>),
+        (none, all) -> if(size(array_distinct(all)) = size(all), all, transform(all, (s, i) -> concat(
+            s, ' ', size(filter(slice(all, 1, i + 1), x -> x = s))))))"""
 
 
 def _bounded(df: DataFrame) -> DataFrame:
@@ -80,8 +81,9 @@ def contaminated(
     least: float = LEAST_SIMILARITY,
     radius: int = RADIUS,
 ) -> DataFrame:
-    """``doc_id``, ``item_id``, the best ``similarity`` of a window of the document
-    to the item, and ``first_word``, the first start of a window that reaches it."""
+    """``doc_id``, ``item_id``, the best ``similarity`` of a window of the document to
+    the item, and ``first_word``, the first start looked at of a window that reaches
+    it."""
     known = spool(
         items.where("item_id is not null")
         .selectExpr("item_id", f"{_words('text')} as item_words")
@@ -114,9 +116,18 @@ def contaminated(
         windows.groupBy("one", "two", "width")
         .agg(F.min("words").alias("words"))
         .selectExpr("*", f"{_shingle_hashes('words', shingle)} as hashes")
-        .selectExpr("one", "two", "width", "words", f"{_simhash('hashes')} as mark")
+        .selectExpr(
+            "one", "two", "width", f"{_simhash('hashes')} as mark", f"{_counted_shingles('words', shingle)} as own"
+        )
+    )
+    marked = spool(
+        known.selectExpr(
+            "item_id",
+            "width",
+            f"{_simhash('hashes')} as item_mark",
+            f"{_counted_shingles('item_words', shingle)} as sought",
+        )
     )
-    marked = spool(known.selectExpr("item_id", "width", "item_words", f"{_simhash('hashes')} as item_mark"))
     blocks = spool(marked.selectExpr("item_id", "width", "item_mark", _blocks("item_mark", radius)))
     near = (
         distinct.selectExpr("one", "two", "width", "mark", _blocks("mark", radius))
@@ -127,9 +138,12 @@ def contaminated(
     )
     alike = (
         spool(near)
-        .join(distinct.select("one", "two", "width", "words"), ["one", "two", "width"])
-        .join(marked.select("item_id", "width", "item_words"), ["item_id", "width"])
-        .selectExpr("one", "two", "width", "item_id", f"{_similarity('words', 'item_words', shingle)} as similarity")
+        .join(distinct.select("one", "two", "width", "own"), ["one", "two", "width"])
+        .join(marked.select("item_id", "width", "sought"), ["item_id", "width"])
+        .withColumn("shared", F.size(F.array_intersect("own", "sought")).cast("double"))
+        .selectExpr(
+            "one", "two", "width", "item_id", "shared / (size(own) + size(sought) - shared) as similarity"
+        )
         .where(f"similarity >= {least}")
         .groupBy("one", "two", "width", "item_id")
         .agg(F.max("similarity").alias("similarity"))

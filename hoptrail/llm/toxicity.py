@@ -134,6 +134,8 @@ def fitted_machine(sample: DataFrame, buckets: int) -> Machine:
         )
 
     found = sample.repartition(1).mapInArrow(learn, "bias double, packed binary").first()
+    if found is None:
+        return fit([], np.zeros(0), buckets)
     packed = np.frombuffer(found["packed"], np.float32).reshape(buckets, FACTORS + 1)
     return Machine(found["bias"], packed[:, 0].astype(float), packed[:, 1:].astype(float))
 

@@ -6,6 +6,7 @@ import argparse
 
 from pyspark.sql import SparkSession
 
+from hoptrail import wire
 from hoptrail.plans import jobs
 from hoptrail.session import apply_settings
 from hoptrail.sources import files, kafka
@@ -19,6 +20,9 @@ def main() -> None:
     source.add_argument("--raw", help="folder of raw records in Parquet")
     parser.add_argument("--out", required=True, help="folder the report tables go to")
     parser.add_argument("--starting", default="earliest", choices=["earliest", "latest"])
+    parser.add_argument("--checkpoints", help="folder of the streams' checkpoints; by default beside the tables")
+    parser.add_argument("--delay", default=wire.WATERMARK_DELAY, help="how late a record may be in a stream")
+    parser.add_argument("--direct", action="store_true", help="stream every report from the source, without landing")
     parser.add_argument("--percentiles", choices=["exact", "approx", "kll"])
     args = parser.parse_args()
 
@@ -29,7 +33,8 @@ def main() -> None:
     else:
         raw = files.read_raw(spark, args.raw, stream)
     if stream:
-        jobs.start_streams(raw, args.out, percentile_method=args.percentiles or "kll")
+        start = jobs.start_streams if args.direct else jobs.start_landed_streams
+        start(raw, args.out, args.checkpoints, args.delay, percentile_method=args.percentiles or "kll")
         spark.streams.awaitAnyTermination()
     else:
         jobs.run_batch(spark, raw, args.out, percentile_method=args.percentiles or "exact")

@@ -133,7 +133,21 @@ def consume_markers(
         "kafka_topic": F.lit(marker_topic),
         "kafka_partition": F.lit(None).cast("int"),
         "kafka_offset": F.lit(None).cast("bigint"),
+        "key": F.lit(None).cast("binary"),
     }
-    if "key" in raw.columns:
-        columns = {"key": F.lit(None).cast("binary"), **columns}
     return traced.select(*[value.alias(name) for name, value in columns.items()])
+
+
+def stage_output(
+    raw: DataFrame,
+    service: str,
+    out_topic: str | None,
+    marker_topic: str = wire.MARKER_TOPIC,
+    sent_ms: Column | None = None,
+) -> DataFrame:
+    """All a service sends for what it consumes: the markers and, unless it is
+    terminal, the records themselves with one more hop."""
+    markers = consume_markers(raw, service, marker_topic, sent_ms)
+    if out_topic is None:
+        return markers
+    return markers.unionByName(relay(raw, service, out_topic, sent_ms=sent_ms).select(*markers.columns))

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +13,7 @@ from hoptrail.functions.headers import header_text
 from hoptrail.functions.windows import event_ms, floor_ms, tumble
 from hoptrail.operators import annotate, meters, percentiles, relay, reports, stuck, trails, views
 from hoptrail.plans import questions
-from hoptrail.session import shared_folder
+from hoptrail.session import scratch_path
 from hoptrail.sources import files
 from hoptrail.sources.events import raw_records, read_events
 
@@ -78,8 +77,8 @@ def _relay_output(raw: DataFrame) -> DataFrame:
         {"hops": hops, "truncated": F.col("trail.x")}
     )
     return _plain_time(
-        views.signals(decoded, ["event_id", "kafka_topic", "hops", "truncated"])
-    ).drop("consumer_service")
+        views.signals(decoded, ["event_id", "kafka_topic", "hops", "truncated", "key", "value"])
+    ).drop("consumer_service").withColumns({c: F.col(c).cast("string") for c in ("key", "value")})
 
 
 def _started(raw: DataFrame) -> DataFrame:
@@ -93,7 +92,7 @@ def _markers(raw: DataFrame) -> DataFrame:
     """The markers the fulfillment service leaves for each record enriched."""
     enriched = raw.where(F.col("kafka_topic") == wire.ENRICHED)
     sent = relay.consume_markers(enriched, wire.FULFILLMENT, sent_ms=event_ms() + F.lit(50))
-    return _plain_time(views.consume_view(sent, ["kafka_topic"]))
+    return _plain_time(views.consume_view(sent, ["kafka_topic", "key"])).withColumn("key", F.col("key").cast("string"))
 
 
 def _stand_in():
@@ -159,7 +158,7 @@ def _topic_fan_in(raw: DataFrame) -> DataFrame:
 
 def _dated_path(spark: SparkSession, folder: str) -> DataFrame:
     """The paths of stated days, read off the landed table of all days."""
-    landing = f"{shared_folder(spark)}/landed-{uuid.uuid4().hex}"
+    landing = scratch_path(spark, "landed")
     files.land(raw_records(spark, folder), landing)
     days = files.landed_days(files.read_landed(spark, landing), *DAYS)
     return trails.trace_path(views.produced(days))

@@ -10,7 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 from hoptrail import wire
 from hoptrail.operators import annotate, percentiles, reports, stuck
 from hoptrail.operators.views import produced, signals
-from hoptrail.session import shared_folder
+from hoptrail.session import scratch_path
 from hoptrail.sources import files
 from hoptrail.streaming import sinks
 from hoptrail.streaming.watermarks import with_watermark
@@ -51,7 +51,7 @@ def run_batch(
     of that table, not of the raw records. Two of the reports are read off
     finished ones instead of being counted again.
     """
-    landing = landing or f"{shared_folder(spark)}/landed-{spark.sparkContext.applicationId}"
+    landing = landing or scratch_path(spark, "landed")
     files.land(raw, landing)
     frames = report_frames(files.read_landed(spark, landing), percentile_method)
     for name, report in frames.items():
@@ -72,13 +72,12 @@ def start_report_streams(
     """Start one named query per report over watermarked decoded records, each
     with a checkpoint of its own. The records may come from a landing stream,
     which decodes them once for all reports."""
-    spark = signal_rows.sparkSession
     return [
         sinks.start_report(
             report,
             name,
             folder,
-            f"{checkpoints}/{name}" if checkpoints else sinks.checkpoint_folder(spark, name),
+            f"{checkpoints}/{name}" if checkpoints else None,
             every,
         )
         for name, report in report_frames(signal_rows, percentile_method).items()
@@ -92,6 +91,26 @@ def start_streams(
     return start_report_streams(signals(with_watermark(raw, delay)), folder, checkpoints, **options)
 
 
+def start_landed_streams(
+    raw: DataFrame,
+    folder: str,
+    checkpoints: str | None = None,
+    delay: str = wire.WATERMARK_DELAY,
+    every: str | None = wire.CHECKPOINT_EVERY,
+    percentile_method: str = "kll",
+) -> list[StreamingQuery]:
+    """Land a stream of raw records once and start all reports over the landed table,
+    so the source is read and decoded by one query instead of seven."""
+    spark, landed = raw.sparkSession, f"{folder}/landed"
+    landing = files.start_landing(
+        raw, landed, f"{checkpoints}/landing" if checkpoints else sinks.checkpoint_folder(folder, "landing"), every
+    )
+    if not every:
+        landing.awaitTermination()
+    rows = with_watermark(files.read_landed(spark, landed, stream=True), delay)
+    return [landing, *start_report_streams(rows, folder, checkpoints, percentile_method, every)]
+
+
 def start_annotation(
     spark: SparkSession,
     folder: str,

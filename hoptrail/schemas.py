@@ -42,6 +42,7 @@ RAW = StructType(
         StructField("kafka_topic", StringType()),
         StructField("kafka_partition", IntegerType()),
         StructField("kafka_offset", LongType()),
+        StructField("key", BinaryType()),
     ]
 )
 

@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -42,20 +41,21 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8, memory: str
     return apply_settings(spark)
 
 
-@functools.cache
-def _scratch_folder() -> str:
-    return tempfile.mkdtemp(prefix="hoptrail-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as the cluster names it.
-
-    A local session without the setting gets a scratch folder of its own; on a
-    cluster the setting is required, because no machine-local folder would do.
-    """
+    """The folder every executor can reach, as the cluster names it in
+    ``spark.checkpoint.dir``. A local session without the setting gets one in its
+    warehouse, the same for every run."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    return _scratch_folder()
+    return (spark.conf.get("spark.sql.warehouse.dir", None) or "spark-warehouse").rstrip("/") + "/_hoptrail"
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the shared folder, removed when the application ends."""
+    path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
+    return path

@@ -94,9 +94,11 @@ def raw_records(spark: SparkSession, folder: str, with_trail: bool = False) -> D
     }
     trail = {wire.TRAIL: _trail_sql()} if with_trail else {}
     produced = f"""named_struct('value', cast(string(event_id) as binary),
+        'key', cast(concat('k', event_id % 100) as binary),
         'headers', {header_list_sql(trail | scalars)},
         'ms', sent_ms, 'kafka_topic', this_topic)"""
     marker = f"""named_struct('value', cast(null as binary),
+        'key', cast(null as binary),
         'headers', {header_list_sql(scalars | {wire.CONSUMER_SERVICE: "next_service"})},
         'ms', sent_ms + 50 + event_id % 300, 'kafka_topic', '{MARKER_TOPIC}')"""
     return (
@@ -114,6 +116,7 @@ def raw_records(spark: SparkSession, folder: str, with_trail: bool = False) -> D
             "record.kafka_topic",
             "cast(event_id % 6 as int) as kafka_partition",
             "event_id as kafka_offset",
+            "record.key",
             "event_id",
             "status",
         )

@@ -10,6 +10,7 @@ from pyspark.sql.types import DateType, StructField, StructType
 from hoptrail import schemas, wire
 from hoptrail.operators.trails import RECORD
 from hoptrail.operators.views import signals
+from hoptrail.streaming import sinks
 
 _RAW_TYPES = {field.name: field for field in schemas.RAW}
 _SIGNAL_TYPES = {f.name: f for f in schemas.PRODUCE} | {f.name: f for f in schemas.CONSUME}
@@ -51,27 +52,21 @@ def landed_columns(raw: DataFrame) -> DataFrame:
     return signals(raw, RECORD).withColumn("event_date", F.to_date("event_time"))
 
 
-def land(raw: DataFrame, folder: str, mode: str = "overwrite") -> None:
+def land(raw: DataFrame, folder: str, mode: str = "overwrite", tasks_per_day: int = 64) -> None:
     """Decode once and keep the narrow columns, so that later reads need neither
-    headers nor payload and skip the days they do not ask for."""
-    landed_columns(raw).write.mode(mode).partitionBy("event_date").parquet(folder)
+    headers nor payload and skip the days they do not ask for. A day is dealt to
+    ``tasks_per_day`` tasks by its offsets, so it becomes so many files and a busy day
+    is no single task."""
+    part = F.pmod(F.xxhash64(*RECORD), F.lit(tasks_per_day))
+    dealt = landed_columns(raw).repartition("event_date", part)
+    dealt.write.mode(mode).partitionBy("event_date").parquet(folder)
 
 
 def start_landing(
     raw: DataFrame, folder: str, checkpoint: str, every: str | None = wire.CHECKPOINT_EVERY
 ) -> StreamingQuery:
     """The same for a stream: decode each record once for all reports."""
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return (
-        landed_columns(raw)
-        .writeStream.queryName("landing")
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("event_date")
-        .trigger(**trigger)
-        .format("parquet")
-        .start(folder)
-    )
+    return sinks.start_append(landed_columns(raw), "landing", folder, checkpoint, every, ("event_date",))
 
 
 def read_landed(spark: SparkSession, folder: str, stream: bool = False) -> DataFrame:

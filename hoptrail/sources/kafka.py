@@ -60,6 +60,7 @@ def as_raw(records: DataFrame) -> DataFrame:
         F.col("topic").alias("kafka_topic"),
         F.col("partition").alias("kafka_partition"),
         F.col("offset").alias("kafka_offset"),
+        "key",
     )
 
 
@@ -78,5 +79,4 @@ def report_records(report: DataFrame, name: str) -> DataFrame:
 
 def stage_records(raw: DataFrame) -> DataFrame:
     """Records a stage sends, as columns of the Kafka sink, headers included."""
-    key = F.col("key") if "key" in raw.columns else F.lit(None).cast("binary")
-    return raw.select(F.col("kafka_topic").alias("topic"), key.alias("key"), "value", "headers")
+    return raw.select(F.col("kafka_topic").alias("topic"), "key", "value", "headers")

@@ -6,12 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from hoptrail import schemas, wire
-from hoptrail.session import shared_folder
 from hoptrail.sources.kafka import report_records
 
 
-def checkpoint_folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_folder(spark)}/streams/{name}"
+def checkpoint_folder(folder: str, name: str) -> str:
+    """A query's checkpoint lies beside its output, so a restart finds it and two
+    jobs with outputs of their own never share one."""
+    return f"{folder}/_checkpoints/{name}"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target)
+
+
+def guarded_checkpoint(spark: SparkSession, table: str, checkpoint: str) -> str:
+    """The checkpoint, unless it is new while the table was streamed to before.
+
+    The table's own log knows the numbers of the batches it has; a new checkpoint
+    starts from number 0 again, and the table would skip those batches silently."""
+    if _exists(spark, f"{table}/_spark_metadata") and not _exists(spark, f"{checkpoint}/metadata"):
+        raise ValueError(f"{table} belongs to another checkpoint than {checkpoint}; its batches would be skipped")
+    return checkpoint
+
+
+def start_append(
+    df: DataFrame, name: str, table: str, checkpoint: str, every: str | None, partitions: tuple[str, ...] = ()
+) -> StreamingQuery:
+    """Append a stream to a Parquet table, each row once. Without ``every``, work off
+    what is there and stop."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    writer = (
+        df.writeStream.queryName(name)
+        .outputMode("append")
+        .option("checkpointLocation", guarded_checkpoint(df.sparkSession, table, checkpoint))
+        .trigger(**trigger)
+        .format("parquet")
+    )
+    return (writer.partitionBy(*partitions) if partitions else writer).start(table)
 
 
 def start_report(
@@ -24,21 +56,14 @@ def start_report(
     """Append a streaming report to its Parquet table, each row once. Without
     ``every``, work off what is there and stop."""
     schemas.conform(report, schemas.REPORTS[name])
-    spark = report.sparkSession
-    writer = (
-        report.writeStream.queryName(name)
-        .outputMode("append")
-        .option("checkpointLocation", checkpoint or checkpoint_folder(spark, name))
-    )
-    trigger = {"processingTime": every} if every else {"availableNow": True}
-    return writer.trigger(**trigger).format("parquet").start(f"{folder}/{name}")
+    return start_append(report, name, f"{folder}/{name}", checkpoint or checkpoint_folder(folder, name), every)
 
 
 def start_report_to_kafka(
     report: DataFrame,
     name: str,
     servers: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     every: str = wire.CHECKPOINT_EVERY,
 ) -> StreamingQuery:
     """Append a streaming report to its topic, each row at least once."""
@@ -49,7 +74,7 @@ def start_report_to_kafka(
         .outputMode("append")
         .format("kafka")
         .option("kafka.bootstrap.servers", servers)
-        .option("checkpointLocation", checkpoint or checkpoint_folder(report.sparkSession, name))
+        .option("checkpointLocation", checkpoint)
         .trigger(processingTime=every)
         .start()
     )

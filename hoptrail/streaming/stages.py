@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from hoptrail import wire
-from hoptrail.operators.relay import consume_markers, relay
+from hoptrail.operators.relay import stage_output
+from hoptrail.sources import kafka
+from hoptrail.streaming import sinks
 
 
 def run_stage(
@@ -21,29 +22,31 @@ def run_stage(
     every: str | None = wire.CHECKPOINT_EVERY,
 ) -> StreamingQuery:
     """Consume a topic, leave a marker per traced record and, unless the service
-    is terminal, send each record on.
-
-    A micro-batch is read once and written to a folder of its own per topic.
-    When it is repeated after a failure it overwrites that folder, so every
-    record ends up in the output once.
-    """
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            outputs = {marker_topic: consume_markers(batch, service, marker_topic, sent_ms)}
-            if out_topic:
-                outputs[out_topic] = relay(batch, service, out_topic, sent_ms=sent_ms)
-            for topic, records in outputs.items():
-                records.write.mode("overwrite").parquet(f"{folder}/{topic}/{service}/batch={batch_id}")
-        finally:
-            batch.unpersist()
-
-    trigger = {"processingTime": every} if every else {"availableNow": True}
+    is terminal, send each record on, to one table partitioned by topic.
+
+    The table's log makes a repeated batch count once, and a new checkpoint on a
+    table that has one is refused."""
+    sent = stage_output(raw, service, out_topic, marker_topic, sent_ms)
+    return sinks.start_append(sent, f"stage-{service}", folder, checkpoint, every, ("kafka_topic",))
+
+
+def run_stage_to_kafka(
+    raw: DataFrame,
+    service: str,
+    out_topic: str | None,
+    servers: str,
+    checkpoint: str,
+    marker_topic: str = wire.MARKER_TOPIC,
+    every: str = wire.CHECKPOINT_EVERY,
+) -> StreamingQuery:
+    """The same to Kafka topics, keys and headers included, at least once."""
     return (
-        raw.writeStream.queryName(f"stage-{service}")
+        kafka.stage_records(stage_output(raw, service, out_topic, marker_topic))
+        .writeStream.queryName(f"stage-{service}")
+        .format("kafka")
+        .option("kafka.bootstrap.servers", servers)
+        .option("includeHeaders", "true")
         .option("checkpointLocation", checkpoint)
-        .trigger(**trigger)
-        .foreachBatch(handle)
+        .trigger(processingTime=every)
         .start()
     )

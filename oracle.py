@@ -271,7 +271,8 @@ def _trails() -> dict[str, str]:
                 event_id, '{ENRICHED}' AS kafka_topic,
                 concat(CASE WHEN trace_id IS NULL THEN '' ELSE {old_hop} END,
                        '{ENRICHMENT}>{ENRICHED}>', CAST(sent_ms AS VARCHAR)) AS hops,
-                trace_id IS NOT NULL AND hop_count >= 32 AS truncated, sent_ms AS event_ms
+                trace_id IS NOT NULL AND hop_count >= 32 AS truncated, sent_ms AS event_ms,
+                concat('k', CAST(event_id % 100 AS VARCHAR)) AS key, CAST(event_id AS VARCHAR) AS value
                 FROM fresh""",
             relayed.replace("WITH_PLACED", "placed_rows"),
         ),
@@ -285,7 +286,8 @@ def _trails() -> dict[str, str]:
         "consume_markers": _query(
             f"""SELECT trace_id, origin_ts_ms, origin_service, pipeline, this_service AS producer_service,
                 this_topic AS consumed_topic, '{FULFILLMENT}' AS consumer_service,
-                hop_count AS hop_count_at_consume, '{MARKER_TOPIC}' AS kafka_topic, event_ms + 50 AS event_ms
+                hop_count AS hop_count_at_consume, '{MARKER_TOPIC}' AS kafka_topic, event_ms + 50 AS event_ms,
+                CAST(NULL AS VARCHAR) AS key
                 FROM produce WHERE kafka_topic = '{ENRICHED}'"""
         ),
     }

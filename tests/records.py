@@ -34,11 +34,12 @@ def record(ms: int, *, topic=wire.PLACED, trace=TRACE, origin=START, service=wir
     if consumer:
         fields["consumer_service"] = consumer
     sits_on = wire.MARKER_TOPIC if consumer else topic
-    return (b"payload", headers(**fields) + list(extra), when(ms), sits_on, 0, ms)
+    return (b"payload", headers(**fields) + list(extra), when(ms), sits_on, 0, ms, b"key")
 
 
 def frame(spark: SparkSession, records) -> DataFrame:
-    return spark.createDataFrame(records, schemas.RAW)
+    """Raw records; those given without a key have none."""
+    return spark.createDataFrame([r if len(r) == len(schemas.RAW) else (*r, None) for r in records], schemas.RAW)
 
 
 def golden_chain():

@@ -153,8 +153,8 @@ def test_stage_as_a_stream(spark, started, tmp_path):
         f"{tmp_path}/out", f"{tmp_path}/checkpoint", sent_ms=later(400), every=None,
     )
     query.awaitTermination()
-    sent = read_raw(spark, f"{tmp_path}/out/{wire.ENRICHED}")
-    markers = read_raw(spark, f"{tmp_path}/out/{wire.MARKER_TOPIC}")
+    out = spark.read.parquet(f"{tmp_path}/out")
+    sent, markers = (out.where(F.col("kafka_topic") == t) for t in (wire.ENRICHED, wire.MARKER_TOPIC))
     assert [r.hop_count for r in views.produce_view(sent).collect()] == [2, 2]
     assert {r.consumer_service for r in views.consume_view(markers).collect()} == {wire.ENRICHMENT}
 
@@ -165,4 +165,4 @@ def test_terminal_stage_only_leaves_markers(spark, started, tmp_path):
         read_raw(spark, f"{tmp_path}/in", stream=True), wire.SHIPPING, None,
         f"{tmp_path}/out", f"{tmp_path}/checkpoint", every=None,
     ).awaitTermination()
-    assert [p.name for p in (tmp_path / "out").iterdir()] == [wire.MARKER_TOPIC]
+    assert {r.kafka_topic for r in spark.read.parquet(f"{tmp_path}/out").collect()} == {wire.MARKER_TOPIC}

@@ -120,3 +120,27 @@ def test_exact_percentiles(spark, values):
         assert row.sample_count == len(values)
         for q, got in zip((0.5, 0.95, 0.99), (row.p50_ms, row.p95_ms, row.p99_ms)):
             assert got == pytest.approx(interpolated(values, q), rel=1e-12, abs=1e-9)
+
+
+def test_positions_of_a_minute_with_a_third_of_all_rows(spark):
+    """A retry storm: many records of one trace in one minute, with equal rows."""
+    pick = random.Random(11)
+    rows = [("hot", START + pick.randrange(200), pick.randrange(1, 3)) for _ in range(1000)]
+    rows += [(f"t{i % 300}", START + pick.randrange(600_000), 1) for i in range(2000)] + [("hot", None, 1)]
+    df = spark.createDataFrame(rows, "trace_id string, event_ms bigint, hop_count int")
+    found = sorted((r.trace_id, r.pos, r.event_ms, r.hop_count) for r in trails.in_order(df, ["hop_count"]).collect())
+    expected = [
+        (trace, pos, *step)
+        for trace, steps in by_trace([r for r in rows if r[1] is not None]).items()
+        for pos, step in enumerate(steps, 1)
+    ]
+    assert found == sorted([*expected, ("hot", 1001, None, 1)], key=lambda x: x[:2])
+
+
+def test_percentiles_far_from_zero(spark):
+    """Values with a large common offset still spread over narrow steps."""
+    values = [1_704_067_200_000 + random.Random(5).randrange(10**9) + i for i in range(3000)] + [-(2**62), 2**62]
+    df = spark.createDataFrame([("a", v) for v in values], "key string, v bigint")
+    row = exact_percentiles(df, ["key"], "v").first()
+    for q, got in zip((0.5, 0.95, 0.99), (row.p50_ms, row.p95_ms, row.p99_ms)):
+        assert got == pytest.approx(interpolated(values, q), rel=1e-12)

@@ -195,3 +195,41 @@ def test_stuck_by_arrival_keeps_the_last_arrival(spark, tmp_path):
         ("0", wire.PLACED, START + 1000, 60_000),
         ("b", wire.PLACED, START + 62_000, 60_000),
     }
+
+
+def report_of(spark, raw):
+    return reports.coverage(views.produce_view(with_watermark(files.read_raw(spark, raw, stream=True))))
+
+
+def finish(report, out, **options):
+    sinks.start_report(report, "coverage_report_1m", out, every=None, **options).awaitTermination()
+    return sinks.read_report(report.sparkSession, out, "coverage_report_1m")
+
+
+def test_default_checkpoints_survive_restarts_and_keep_jobs_apart(spark, tmp_path):
+    add_file(frame(spark, [record(START)]), f"{tmp_path}/a")
+    add_file(flush(spark), f"{tmp_path}/a")
+    assert finish(report_of(spark, f"{tmp_path}/a"), f"{tmp_path}/x").count() == 1
+    add_file(frame(spark, [record(FLUSH + 120_000)]), f"{tmp_path}/a")
+    add_file(frame(spark, [record(FLUSH + 600_000)]), f"{tmp_path}/a")
+    assert finish(report_of(spark, f"{tmp_path}/a"), f"{tmp_path}/x").count() == 3
+    add_file(frame(spark, [record(START), record(START + 60_000)]), f"{tmp_path}/b")
+    add_file(flush(spark), f"{tmp_path}/b")
+    assert finish(report_of(spark, f"{tmp_path}/b"), f"{tmp_path}/y").count() == 2
+
+
+def test_a_new_checkpoint_on_a_filled_table_is_refused(spark, tmp_path):
+    add_file(frame(spark, [record(START)]), f"{tmp_path}/a")
+    add_file(flush(spark), f"{tmp_path}/a")
+    finish(report_of(spark, f"{tmp_path}/a"), f"{tmp_path}/x")
+    with pytest.raises(ValueError, match="another checkpoint"):
+        finish(report_of(spark, f"{tmp_path}/a"), f"{tmp_path}/x", checkpoint=f"{tmp_path}/fresh")
+
+
+def test_the_job_lands_once_and_reports_from_there(spark, ran, tmp_path):
+    raw = files.read_raw(spark, f"{ran}/raw", stream=True, files_per_trigger=1)
+    for query in jobs.start_landed_streams(raw, str(tmp_path), every=None):
+        query.awaitTermination()
+    found = sinks.read_report(spark, str(tmp_path), "latency_report_1m")
+    assert found.exceptAll(sinks.read_report(spark, f"{ran}/batch", "latency_report_1m")).count() == 0
+    assert found.count() == sinks.read_report(spark, f"{ran}/batch", "latency_report_1m").count()

@@ -66,7 +66,8 @@ def test_stages(spark, small):
 
 
 def test_edges(spark, tmp_path):
-    good = [(10 + i, f"good text {i} " + " ".join(f"{w}{i}" for w in "abcdefghijklmnopqrstuvwxyz" * 3), "s", 1) for i in range(3)]
+    good = [(10 + i, f"good text {i} " + " ".join(f"{w}{i}" for w in range(1000, 1080)), "s", 1)
+            for i in range(3)]
     docs = spark.createDataFrame(cases.EDGES + good, cases.SCHEMA)
     labels = cases.labels(spark, [(10, 1, 0), (11, 1, 0)])
     bench = spark.createDataFrame([(1, "nothing of the kind is in here")], "item_id long, text string")

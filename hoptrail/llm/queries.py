@@ -5,7 +5,19 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from hoptrail.llm import bpe, chunks, decontaminate, html_text, near_dedup, personal_data, quality_model, quality_rules, repeats, toxicity
+from hoptrail.llm import (
+    bpe,
+    chunks,
+    decontaminate,
+    html_text,
+    near_dedup,
+    oracles,
+    personal_data,
+    quality_model,
+    quality_rules,
+    repeats,
+    toxicity,
+)
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -83,4 +95,8 @@ QUERIES = {
     )
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op3_benchmark_windows": oracles.BENCHMARK_WINDOWS,
+    "op6_near_dedup": oracles.NEAR_DEDUP,
+    "op9_repeated_strings": oracles.REPEATED_STRINGS,
+}

@@ -138,7 +138,9 @@ def in_order(
         rows.withColumn("at", F.coalesce("event_ms", F.lit(2**63 - 1)))
         .groupBy(*columns, "at")
         .agg(F.count(F.lit(1)).alias("n"))
-        .withColumn("slot", floor_ms(F.col("at"), slot_ms))
+        # Never null, and said so: else the join below would filter one of the two
+        # frames made from this one, and Spark could not share its shuffle.
+        .withColumn("slot", F.coalesce(floor_ms(F.col("at"), slot_ms), F.lit(0)))
     )
 
     def running(df: DataFrame, within: Sequence[str], by: Sequence[str], name: str) -> DataFrame:

@@ -25,29 +25,41 @@ _FIELDS = {
 }
 
 
-def header_texts(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Look up all scalar headers of each record once, as a struct ``tag``.
+def header_texts(raw: DataFrame, keep: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
+    """Look up the scalar headers of each record once, as a struct ``tag``: all of
+    them or those of ``fields``, the others being null.
 
     Filters on a decoded column would be pushed below a plain projection and
     look its header up again for every condition. They stay above a generator,
     so the lookups happen in one place and the rest works on plain columns.
     """
-    lookups = header_struct_sql(_FIELDS, keys="header_keys")
-    return raw.selectExpr("*", f"{reversed_keys_sql()} as header_keys").selectExpr(
+    wanted = {field: _FIELDS[field] for field in (_FIELDS if fields is None else fields)}
+    lookups = header_struct_sql(wanted, keys="header_keys")
+    found = raw.selectExpr("*", f"{reversed_keys_sql()} as header_keys").selectExpr(
         *keep, f"explode(array({lookups})) as tag"
     )
+    if fields is None:
+        return found
+    texts = [f"'{f}', " + (f"tag.{f}" if f in wanted else "cast(null as string)") for f in _FIELDS]
+    return found.selectExpr(*keep, f"named_struct({', '.join(texts)}) as tag")
 
 
-def signals(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+# What tells a produced record from a marker, and both from untagged records.
+_ALWAYS = ("trace_id", "consumer_service")
+
+
+def signals(raw: DataFrame, keep: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
     """All tagged records, produced ones and consume markers together.
 
     ``consumer_service`` is null on produced records. Reports over both kinds
     read this frame once instead of reading the raw records twice. ``keep``
     names further raw columns to carry along. A number that cannot be read is
-    null rather than the end of the job.
+    null rather than the end of the job. A report that names its ``fields`` has only
+    those looked up.
     """
+    wanted = None if fields is None else (*_ALWAYS, *fields)
     return (
-        header_texts(raw, ["event_time", *keep])
+        header_texts(raw, ["event_time", *keep], wanted)
         .where("tag.trace_id is not null")
         .selectExpr(
             "tag.trace_id",
@@ -101,8 +113,8 @@ def consumed(signal_rows: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     )
 
 
-def produce_view(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    return produced(signals(raw, keep), keep)
+def produce_view(raw: DataFrame, keep: Sequence[str] = (), fields: Sequence[str] | None = None) -> DataFrame:
+    return produced(signals(raw, keep, fields), keep)
 
 
 def consume_view(raw: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,16 +48,25 @@ def _rounded(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in names})
 
 
+def _records(spark: SparkSession, folder: str, with_trail: bool = False) -> DataFrame:
+    """Raw records: those written before, if the session names their folder, or else
+    derived from ``events``."""
+    written = spark.conf.get("hoptrail.records", None)
+    return spark.read.parquet(written) if written else raw_records(spark, folder, with_trail)
+
+
 def _raw(query: Callable[[DataFrame], DataFrame], with_trail: bool = False) -> Query:
-    return lambda spark, folder: query(raw_records(spark, folder, with_trail))
+    return lambda spark, folder: query(_records(spark, folder, with_trail))
 
 
 def _signals(query: Callable[[DataFrame], DataFrame]) -> Query:
     return _raw(lambda raw: query(views.signals(raw)))
 
 
-def _produce(query: Callable[[DataFrame], DataFrame], *keep: str) -> Query:
-    return _raw(lambda raw: query(views.produce_view(raw, keep)))
+def _produce(
+    query: Callable[[DataFrame], DataFrame], *keep: str, fields: Sequence[str] | None = None
+) -> Query:
+    return _raw(lambda raw: query(views.produce_view(raw, keep, fields)))
 
 
 def _consume(query: Callable[[DataFrame], DataFrame]) -> Query:
@@ -128,13 +137,13 @@ def _answered(produce: DataFrame) -> DataFrame:
 def _correlated(spark: SparkSession, folder: str) -> DataFrame:
     event_id = F.conv(F.substring("trace_id", 14, 19), 16, 10).cast("bigint")
     business = read_events(spark, folder).select("event_id", "user_id", "event_type")
-    produce = views.produce_view(raw_records(spark, folder))
+    produce = views.produce_view(_records(spark, folder))
     return questions.correlate(produce, business, event_id, "event_id")
 
 
 def _drift(spark: SparkSession, folder: str) -> DataFrame:
     documented = spark.createDataFrame(DOCUMENTED, "edge_type string, service string, topic string")
-    return questions.topology_drift(views.signals(raw_records(spark, folder)), documented)
+    return questions.topology_drift(views.signals(_records(spark, folder)), documented)
 
 
 def _judged(produce: DataFrame, method: str, error: float) -> DataFrame:
@@ -159,7 +168,7 @@ def _topic_fan_in(raw: DataFrame) -> DataFrame:
 def _dated_path(spark: SparkSession, folder: str) -> DataFrame:
     """The paths of stated days, read off the landed table of all days."""
     landing = scratch_path(spark, "landed")
-    files.land(raw_records(spark, folder), landing)
+    files.land(_records(spark, folder), landing)
     days = files.landed_days(files.read_landed(spark, landing), *DAYS)
     return trails.trace_path(views.produced(days))
 
@@ -189,11 +198,11 @@ QUERIES: dict[str, Query] = {
         lambda p: p.select("trace_id", id_origin_ms(F.col("trace_id")).alias("id_ms")).distinct()
     ),
     # Reports.
-    "latency_1m": _produce(reports.latency),
-    "topology_1m": _produce(reports.topology),
+    "latency_1m": _produce(reports.latency, fields=["origin_ts", *HOP_DIMS]),
+    "topology_1m": _produce(reports.topology, fields=EDGE_DIMS),
     "bipartite_topology_1m": _signals(reports.bipartite_topology),
-    "hop_distribution_1m": _produce(reports.hop_distribution),
-    "coverage_1m": _produce(reports.coverage),
+    "hop_distribution_1m": _produce(reports.hop_distribution, fields=["pipeline", "this_topic", "hop_count"]),
+    "coverage_1m": _produce(reports.coverage, fields=HOP_DIMS),
     "latency_percentiles_1m": _produce(lambda p: _rounded(percentiles.latency_percentiles(p))),
     "latency_percentiles_approx": _produce(lambda p: _judged(p, "approx", percentiles.APPROX_ERROR)),
     "latency_percentiles_kll": _produce(lambda p: _judged(p, "kll", percentiles.KLL_ERROR)),
@@ -231,15 +240,15 @@ QUERIES: dict[str, Query] = {
     "k09_failure_ratio": _produce(meters.failure_ratio, "status"),
     "k10_completion_share": _produce(meters.completion_share),
     "k11_lagging_consumers": _consume(meters.lagging_consumers),
-    "k12_silent_services": _produce(meters.silent_services),
+    "k12_silent_services": _produce(meters.silent_services, fields=["this_service"]),
     "k12_silent_by_pipeline": _produce(
         lambda p: meters.silent_services(p, dims=["pipeline", "this_service"])
     ),
     "k13_drop_off": _signals(lambda s: meters.drop_off(s, wire.ENRICHED, wire.FULFILLED)),
     "k14_end_to_end_latency": _consume(meters.end_to_end_latency),
     "k15_hop_ceiling": _produce(meters.at_hop_ceiling),
-    "k16_pipeline_records": _produce(lambda p: meters.counted(p, ["pipeline"])),
-    "k17_topic_records": _produce(lambda p: meters.counted(p, ["this_topic"])),
+    "k16_pipeline_records": _produce(lambda p: meters.counted(p, ["pipeline"]), fields=["pipeline"]),
+    "k17_topic_records": _produce(lambda p: meters.counted(p, ["this_topic"]), fields=["this_topic"]),
     "k18_latency_change": _produce(meters.latency_change),
     "k19_pass_through": _signals(meters.pass_through),
     "k20_new_services": _produce(meters.new_services),

@@ -26,3 +26,18 @@ def test_reports_read_only_the_columns_they_need(spark, small):
     plan = physical(QUERIES["coverage_1m"](spark, small))
     scan = [line for line in plan.splitlines() if "FileScan" in line][0]
     assert scan.split("ReadSchema: ")[1].strip() == "struct<event_id:bigint,ts:timestamp_ntz>"
+
+
+def test_reports_look_up_only_the_headers_they_need(spark, small):
+    """Five of the eight: the trace, the consumer and three dimensions."""
+    plan = QUERIES["coverage_1m"](spark, small)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_position(") == 5
+
+
+def test_paths_decode_once(spark, small):
+    for name in ("trace_path", "l28_trace_journey"):
+        df = QUERIES[name](spark, small)
+        df.write.format("noop").mode("overwrite").save()
+        df.collect()
+        plan = physical(df).split("Initial Plan")[0]
+        assert plan.count("FileScan parquet") == 1

@@ -89,9 +89,9 @@ def latency_around(produce: DataFrame, moment_ms: int, span_ms: int = 2 * HOUR)
     )
 
 
-def completion(signal_rows: DataFrame) -> DataFrame:
+def completion(signal_rows: DataFrame, first: str = wire.PLACED, terminal: str = wire.SHIPPING) -> DataFrame:
     """Share of the traces placed at the first topic that the terminal consumer got."""
-    placed, done = _produced_on(wire.PLACED), _consumed_by(wire.SHIPPING)
+    placed, done = _produced_on(first), _consumed_by(terminal)
     traces = signal_rows.where(placed | done).groupBy("trace_id").agg(
         F.max("pipeline").alias("pipeline"), F.bool_or(placed).alias("placed"), F.bool_or(done).alias("done")
     )
@@ -138,9 +138,9 @@ def duplicates(consume: DataFrame, terminal: str = wire.SHIPPING) -> DataFrame:
     )
 
 
-def unfinished(produce: DataFrame) -> DataFrame:
-    """Traces that fell silent before the last topic, and where they were last seen."""
-    return stuck_traces(produce, terminal_topics=(wire.FULFILLED,))
+def unfinished(produce: DataFrame, last: Sequence[str] = (wire.FULFILLED,)) -> DataFrame:
+    """Traces that fell silent before the last topics, and where they were last seen."""
+    return stuck_traces(produce, terminal_topics=last)
 
 
 def first_appearance(produce: DataFrame) -> DataFrame:
@@ -242,14 +242,16 @@ def missed_services(produce: DataFrame, expected: Sequence[str] = wire.CHAIN[:3]
     )
 
 
-def audit(signal_rows: DataFrame) -> DataFrame:
+def audit(
+    signal_rows: DataFrame, first: str = wire.PLACED, last: str = wire.FULFILLED, terminal: str = wire.SHIPPING
+) -> DataFrame:
     """Placed traces by outcome: completed, stuck, or neither, which is a violation.
 
     A trace counts as stuck if it fell silent before the last topic.
     """
-    placed, done = _produced_on(wire.PLACED), _consumed_by(wire.SHIPPING)
+    placed, done = _produced_on(first), _consumed_by(terminal)
     spells = silent_spells(signal_rows, F.bool_or(placed).alias("placed"), F.bool_or(done).alias("done"))
-    silent = F.col("silent") & ~F.col("last.topic").eqNullSafe(wire.FULFILLED)
+    silent = F.col("silent") & ~F.col("last.topic").eqNullSafe(last)
     traces = spells.groupBy("trace_id").agg(
         F.bool_or("placed").alias("placed"), F.bool_or("done").alias("done"), F.bool_or(silent).alias("stuck")
     )

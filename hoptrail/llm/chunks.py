@@ -4,8 +4,8 @@ A gear hash rolls over the bytes; where its mask bits are zero a chunk ends. The
 hash sees the last 32 bytes only, so the ends depend on the content around them and
 an insertion moves the ends near it, not those behind it. Chunks are compared by a
 128-bit digest. The first chunk of a digest (smallest doc_id, then offset) stays and
-the others are repeats; neighbouring repeats are removed when together they reach
-``least_run`` bytes, so a common phrase in an otherwise clean text stays.
+all others are removed, however short: also a copy of a text of a few bytes, and a
+lone chunk between new text.
 
 Counts and minima per digest combine before the shuffle, so a chunk that a third of
 all documents share is no hot spot.
@@ -35,6 +35,7 @@ from hoptrail.llm.workers import ship
 MASK_BITS = 5
 LEAST_CHUNK = 16
 MOST_CHUNK = 256
+# A former minimum of removed bytes; dedup_chunks has none any more, a test reads it.
 LEAST_RUN = 100
 WINDOW = 32
 
@@ -115,7 +116,6 @@ def dedup_chunks(
     bits: int = MASK_BITS,
     least: int = LEAST_CHUNK,
     most: int = MOST_CHUNK,
-    least_run: int = LEAST_RUN,
 ) -> DataFrame:
     """``doc_id``, the bytes left (``kept``), their digest and counts of every document."""
     ship(docs.sparkSession)
@@ -136,7 +136,6 @@ def dedup_chunks(
     )
 
     def tell(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
-        spans = joined_spans(list(zip(first.tolist(), last.tolist())))
-        return [(a, b) for a, b in spans if b - a >= least_run]
+        return joined_spans(list(zip(first.tolist(), last.tolist())))
 
     return cut_spans(docs, spool(repeats), ["first", "last"], tell)

@@ -128,3 +128,22 @@ def test_chunks_resist_insertions(spark):
     assert got[0][1] == 0
     assert all(got[i][1] >= 100 for i in range(1, 12))
     assert all(got[100 + i][1] == 0 for i in range(8))
+
+
+def test_every_repeated_chunk_goes(spark, small):
+    seen, expected = set(), {}
+    for doc_id, text in cases.texts(spark, small):
+        data = text.encode()
+        gone = np.zeros(len(data), bool)
+        for a, b in plain_chunks(data):
+            gone[a:b] = data[a:b] in seen
+            seen.add(data[a:b])
+        expected[doc_id] = summary(data, gone)
+    assert found(queries.op4_chunk_dedup(spark, small)) == expected
+    assert any(0 < e[1] < 100 for e in expected.values())
+
+
+def test_short_copies_go(spark):
+    rows = [(1, "A short text."), (2, "A short text."), (3, "Another one."), (4, "x"), (5, "x")]
+    got = found(chunks.dedup_chunks(spark.createDataFrame(rows, SCHEMA)))
+    assert {i: got[i][1] for i in got} == {1: 0, 2: 13, 3: 0, 4: 0, 5: 1}

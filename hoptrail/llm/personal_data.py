@@ -3,7 +3,9 @@
 The fixed patterns find e-mail addresses, IP addresses, payment cards and phone
 numbers. These are the seeds. Every identifier-like word (one with a digit or an at
 sign) is an instance; the two words before it, or the word before and the word
-after, are its lexical patterns. The graph of patterns and instances is scored in
+after, are its lexical patterns. One word will do for the first where a text begins
+or an identifier stands before it; an identifier is itself the word only where no
+other is between, and an address then counts as ``@``. The graph of patterns and instances is scored in
 turns: a pattern by the share of its instances that are known to be of its kind, an
 instance by its patterns, if several agree. Patterns above ``LEAST_CONFIDENCE`` with enough different
 seeds mark the other words they surround as personal data of the same kind.
@@ -42,6 +44,7 @@ PATTERNS = {
 }
 _HINTS = {"email": "@", "phone": "+"}
 _SPACE = r"\x20\x09-\x0D"
+_BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 IDENTIFIER = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
 
 
@@ -90,9 +93,22 @@ def fixed_spans(docs: DataFrame) -> DataFrame:
             f"if({hint}, regexp_extract_all(_t, {_literal(pattern)}, 0), array()) as _m_{kind}",
             f"if({hint}, split(_t, {_literal(pattern)}, -1), array()) as _g_{kind}",
         )
-    last_two = rf"([^{_SPACE}]+)[{_SPACE}]+([^{_SPACE}]+)[{_SPACE}]+$"
-    context = f""", 'before', regexp_extract(lower(right(_g_words[i - 1], 100)), {_literal(last_two)}, 0),
-        'after', regexp_extract(lower(left(_g_words[i], 60)), {_literal(rf"^[{_SPACE}]+([^{_SPACE}]+)")}, 1)"""
+    # Of the gap before, up to two words; with none in it, the identifier before it
+    # and the word before that. Of the gap after, one word or else the identifier.
+    last_two, last = rf"(?:[^{_SPACE}]+[{_SPACE}]+)?[^{_SPACE}]+$", rf"[^{_SPACE}]+$"
+    ends = {
+        side: f"lower({cut}(trim({side} {_literal(_BLANKS)} from %s), {n}))"
+        for side, cut, n in (("trailing", "right", 100), ("leading", "left", 60))
+    }
+    other = "if(contains(get(_m_words, %s), '@'), '@', lower(%s(get(_m_words, %s), %s)))"
+    context = f""", 'before', if(trim(both {_literal(_BLANKS)} from _g_words[i - 1]) <> '',
+            regexp_extract({ends["trailing"] % "_g_words[i - 1]"}, {_literal(last_two)}, 0),
+            if(i = 1, '', concat(
+                regexp_extract({ends["trailing"] % "get(_g_words, i - 2)"}, {_literal(last)}, 0), ' ',
+                {other % ("i - 2", "right", "i - 2", 100)}))),
+        'after', if(trim(both {_literal(_BLANKS)} from _g_words[i]) <> '',
+            regexp_extract({ends["leading"] % "_g_words[i]"}, {_literal(rf"^[^{_SPACE}]+")}, 0),
+            if(i = size(_m_words), '', {other % ("i", "left", "i", 60)}))"""
     places = {k: _places(f"_m_{k}", f"_g_{k}", context if k == "words" else "") for k in (*KINDS, "words")}
     empty = "cast(array() as array<struct<start:int,end:int,text:string>>)"
     found = found.selectExpr(
@@ -118,7 +134,7 @@ def occurrences(found: DataFrame) -> DataFrame:
     ) + " end"
     lead = "length(regexp_extract(w.text, '^[^A-Za-z0-9]*', 0))"
     core = "regexp_replace(w.text, '^[^A-Za-z0-9]+|(?<![^A-Za-z0-9])[^A-Za-z0-9]+$', '')"
-    one = rf"regexp_extract(w.before, {_literal(rf'([^{_SPACE}]+)[{_SPACE}]+$')}, 1)"
+    one = rf"regexp_extract(w.before, {_literal(rf'[^{_SPACE}]+$')}, 0)"
     rows = found.selectExpr("_row", *(f"_{k}" for k in KINDS), "explode(_words) as w").selectExpr(
         "_row",
         f"{seed} as seed",

@@ -92,3 +92,39 @@ def test_edges(spark):
         check(row, next(e[1] for e in cases.EDGES if e[0] == row["doc_id"]))
     empty = personal_data.find_personal_data(cases.empty_documents(spark), ["doc_id"])
     assert personal_data.span_columns(empty).count() == 0
+
+
+def found_in(spark, texts):
+    df = spark.createDataFrame(list(enumerate(texts)), SCHEMA)
+    found = personal_data.find_personal_data(df, ["doc_id", "text"])
+    return {r["doc_id"]: r for r in found.withColumn("clean", personal_data.redacted_text()).collect()}
+
+
+def test_contexts_of_one_word(spark):
+    """Label-value lists, the first word of a text, and identifiers side by side."""
+    address = "Email: user%d@mail.example.com Phone: 555-12%02d Badge: A123%02d"
+    listed_ = [address % (i, i, i) for i in range(8)] + ["Email: user9(at)mail-example Phone: 555-1299 Badge: A12399"]
+    out = found_in(spark, listed_)
+    assert out[8]["clean"] == "Email: [EMAIL] Phone: 555-1299 Badge: A12399"
+    assert out[3]["clean"] == "Email: [EMAIL] Phone: 555-1203 Badge: A12303"
+
+    first = [f"Mail user{i}@mail.example.com" for i in range(8)] + ["Mail user9(at)mail-example"]
+    assert found_in(spark, first)[8]["clean"] == "Mail [EMAIL]"
+
+    beside = [f"Write to user{i}@mail.example.com 10.1.2.{i}" for i in range(8)]
+    beside += ["Write to user9@mail.example.com 10-1-2-9"]
+    assert found_in(spark, beside)[8]["clean"] == "Write to [EMAIL] [IP]"
+
+
+def test_patterns_of_neighbours(spark):
+    df = spark.createDataFrame([("Email: bob@x.com\n Phone: 555-1234   Badge: A12345 C7777 now", 0)], "_t string, _row int")
+    found = personal_data.occurrences(personal_data.fixed_spans(df)).collect()
+    patterns = {}
+    for r in found:
+        patterns.setdefault(r["instance"], set()).add(r["pattern"])
+    assert patterns == {
+        "bob@x.com": {"before email:", "around email: phone:"},
+        "555-1234": {"before phone:", "around phone: badge:"},
+        "A12345": {"before badge:", "around badge: c7777"},
+        "C7777": {"before badge: a12345", "around a12345 now"},
+    }

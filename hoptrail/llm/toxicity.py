@@ -9,8 +9,10 @@ The sum over pairs is computed from sums of vectors, in time linear in the terms
 Weights and vectors are fitted by adaptive gradient steps on at most
 ``FITTING_ROWS`` labelled documents (whole texts), those with the smallest hash of
 their id, as one task bounded by parameters. Terms of fewer than ``LEAST_TEXTS`` of
-these documents, and terms that are about as frequent in toxic ones as in all, are
-left out, so chance decides nothing. Scoring covers every row in place, without a
+these documents are left out, and so are terms that are about as frequent in toxic
+ones as in all, both among all texts and among those with any one telling term, so
+chance decides nothing. A group's name that matters only beside an insult stays; a
+pair of which neither term tells anything by itself is not learnt. Scoring covers every row in place, without a
 shuffle.
 
 Defined cases: null and empty texts have no terms and get the score of the
@@ -85,10 +87,32 @@ def telling_terms(rows: list[np.ndarray], y: np.ndarray, share: float, buckets:
     return (texts >= LEAST_TEXTS) & (apart >= LEAST_DEVIATIONS * np.sqrt(texts * share * (1 - share)))
 
 
+def terms_beside(rows: list[np.ndarray], y: np.ndarray, telling: np.ndarray) -> np.ndarray:
+    """The telling terms, and those that change the share of toxic texts beside one of
+    them beyond chance. Every telling term asks all others again, so the bound grows
+    with their number; one more text of variance keeps rare pairs from deciding."""
+    kept = telling.copy()
+    least = np.sqrt(LEAST_DEVIATIONS**2 + 2 * np.log(max(1, telling.sum())))
+    every = np.concatenate([np.zeros(0, np.int64), *rows])
+    owner = np.arange(len(rows)).repeat([len(r) for r in rows])[telling[every]]
+    order = np.argsort(every[telling[every]], kind="stable")
+    found, first = np.unique(every[telling[every]][order], return_index=True)
+    for having in np.split(owner[order], first[1:]) if len(found) else []:
+        share = y[having].mean()
+        if 0 < share < 1:
+            beside = np.concatenate([rows[i] for i in having])
+            toxic = y[having].repeat([len(rows[i]) for i in having])
+            texts = np.bincount(beside, minlength=len(telling))
+            apart = np.abs(np.bincount(beside, toxic, minlength=len(telling)) - share * texts)
+            spread = np.sqrt(texts * share * (1 - share) + 1)
+            kept |= (texts >= LEAST_TEXTS) & (apart >= least * spread)
+    return kept
+
+
 def fit(rows: list[np.ndarray], y: np.ndarray, buckets: int) -> Machine:
     """A machine from the term buckets of labelled texts, in order."""
     share = np.clip(y.mean() if len(y) else 0.0, 1e-9, 1 - 1e-9)
-    telling = telling_terms(rows, y, share, buckets)
+    telling = terms_beside(rows, y, telling_terms(rows, y, share, buckets))
     rows = [r[telling[r]] for r in rows]
     start = np.random.default_rng(7).normal(0.0, SPREAD, (buckets, FACTORS))
     start[~telling] = 0.0

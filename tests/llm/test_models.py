@@ -66,6 +66,24 @@ def test_machine_learns_a_pair_that_weights_cannot_tell():
     assert abs(raw[2] - (machine.bias + weights[5] + weights[9])) > 0.5
 
 
+def test_machine_learns_a_term_that_tells_only_beside_another():
+    """Term 9 is as frequent in toxic texts as in all, but decides beside term 5."""
+    rng = np.random.default_rng(4)
+    chance = {(1, 1): 0.9, (1, 0): 0.3, (0, 1): 0.0, (0, 0): 0.25}
+    rows, y = [], []
+    for _ in range(4000):
+        one, other = (int(x) for x in rng.random(2) < 0.3)
+        rows.append(np.unique(np.array([5] * one + [9] * other + list(rng.integers(20, 40, 4)), np.int64)))
+        y.append(float(rng.random() < chance[one, other]))
+    y = np.array(y)
+    telling = toxicity.telling_terms(rows, y, y.mean(), 64)
+    assert telling[5] and not telling[9]
+    machine = toxicity.fit(rows, y, 64)
+    raw, _ = machine.raw(np.array([0, 1, 2, 2]), np.array([5, 9, 5, 9]), 3)
+    score = quality_model.probability(raw)
+    assert score[2] > 0.7 and score[0] < 0.5 and score[1] < 0.3
+
+
 def test_pair_sum_is_the_sum_over_pairs():
     rng = np.random.default_rng(2)
     machine = toxicity.Machine(0.3, rng.normal(size=32), rng.normal(size=(32, 3)))

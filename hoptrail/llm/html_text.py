@@ -1,7 +1,8 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree. Elements that are never part of an article (menus, forms,
-adverts, scripts, ...) leave it. Every paragraph then passes points for its length
+adverts, scripts, ...) leave it. A class or id says so only as a whole, and never for
+headings, articles and what holds an article: ``market-share`` is no share bar. Every paragraph then passes points for its length
 and commas to its ancestors, fewer with each level, and an element's points are
 discounted by the share of its text that lies in links. The element with the most
 points is the container; it grows to the article around it, and siblings that
@@ -58,7 +59,11 @@ _NEVER = frozenset(
     " pagination pager toolbar login signup search masthead skip".split()
 )
 _UNLIKELY = frozenset("header footer foot sidebar side notice notices alert widget rail meta tags copyright".split())
-_LIKELY = frozenset("article body content main post entry story text".split())
+_BOILERPLATE = _NEVER | _UNLIKELY
+_FILLERS = frozenset(
+    "left right top bottom bar bars box boxes block blocks container wrapper wrap inner outer area list item items"
+    " link links button buttons form site page global primary secondary".split()
+)
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split()
 )
@@ -129,9 +134,10 @@ def parse(html: str) -> Element:
     return tree.root
 
 
-def _names(element: Element) -> set[str]:
-    given = f"{element.attrs.get('class') or ''} {element.attrs.get('id') or ''}"
-    return {x.lower() for x in _NAME_PARTS.findall(given)} if given != " " else set()
+def _named(token: str) -> bool:
+    """Whether a whole class or id says boilerplate: no other words beside but fillers."""
+    words = {x.lower() for x in _NAME_PARTS.findall(token)}
+    return bool(words & _BOILERPLATE) and words <= _BOILERPLATE | _FILLERS
 
 
 def boilerplate(element: Element, in_article: bool) -> bool:
@@ -144,10 +150,16 @@ def boilerplate(element: Element, in_article: bool) -> bool:
         return True
     if (attrs.get("role") or "").lower() in _ROLES:
         return True
-    names = _names(element)
-    if names & _NEVER:
-        return True
-    return bool(names & _UNLIKELY) and not names & _LIKELY and tag not in _ARTICLES
+    if tag in _ARTICLES or tag in _HEADINGS:
+        return False
+    names = (attrs.get("class") or "").split()
+    if not in_article and tag not in _PARAGRAPHS:  # there an id is the slug of a heading
+        names.append(attrs.get("id") or "")
+    return any(_named(x) for x in names) and not _holds_article(element)
+
+
+def _holds_article(element: Element) -> bool:
+    return any(e.tag in _ARTICLES for e in _in_order(element))
 
 
 def prune(root: Element) -> None:

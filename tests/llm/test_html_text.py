@@ -50,6 +50,16 @@ def test_good_siblings_are_kept():
     assert [x[-1] for x in html_text.main_text(page).split("\n")] == list("12345")
 
 
+def test_slugs_and_theme_classes_drop_nothing():
+    page = """<body><div id="page" class="social-enabled"><article><h2 id="market-share">Market share</h2>
+<p class="side-effects">Effects.</p><section id="related-work"><h3 id="search">Search</h3><p>Work.</p></section>
+<section id="comments"><p>Remarks.</p></section><div class="share-buttons">Share!</div></article></div></body>"""
+    assert html_text.main_text(page) == "Market share\nEffects.\nSearch\nWork.\nRemarks."
+    assert html_text.main_text('<div class="menu"><main><p>The whole page.</p></main></div>') == "The whole page."
+    plain = '<body><div class="no-sidebar skip-intro"><h2 id="login">Login</h2><p id="banner">Text, of a page.</p></div></body>'
+    assert html_text.main_text(plain) == "Login\nText, of a page."
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "<p>deep, deep text that is long enough</p>"
     rows = [

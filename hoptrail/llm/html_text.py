@@ -6,7 +6,8 @@ headings, articles and what holds an article: ``market-share`` is no share bar.
 and commas to its ancestors, fewer with each level, and an element's points are
 discounted by the share of its text that lies in links. The element with the most
 points is the container; it grows to the article around it, and siblings that
-score well or carry plain paragraphs are kept too.
+score well or carry plain paragraphs are kept too. Without such an article it grows
+to all text of the body, however short, that is not mostly links.
 
 Defined cases: null, empty and text-free pages give an empty text; broken markup
 is read as browsers read it (open elements end with their parent, an unfinished
@@ -216,6 +217,21 @@ def _final(element: Element) -> float:
     return element.points * (1 - element.linked / max(1, element.length))
 
 
+def _with_surroundings(best: Element) -> Element:
+    """The container with all text around it, up to the body, except blocks that are
+    mostly links: what is never part of an article has left the page already."""
+    at, whole = best, best
+    while at.parent is not None and at.tag not in ("body", "html"):
+        group = Element(at.parent.tag, {}, None)
+        for c in at.parent.children:
+            if c is at:
+                group.children.append(whole)
+            elif isinstance(c, str) or c.tag in _INLINE or 2 * c.linked <= c.length:
+                group.children.append(c)
+        at, whole = at.parent, group
+    return whole
+
+
 def containers(root: Element) -> list[Element]:
     """The best container and the siblings that belong to it, in page order."""
     elements = _in_order(root)
@@ -228,7 +244,9 @@ def containers(root: Element) -> list[Element]:
     while above is not None:
         around = above if above.tag in _ARTICLES and not (above.tag == "main" and around) else around
         above = above.parent
-    best = around or best
+    if around is None:
+        return [_with_surroundings(best)]
+    best = around
     if best.parent is None:
         return [best]
     least, kept = max(10.0, 0.2 * _final(best)), []
@@ -237,8 +255,7 @@ def containers(root: Element) -> list[Element]:
             kept.append(sibling)
         elif not isinstance(sibling, str) and sibling.length:
             plain = sibling.linked < 0.25 * sibling.length
-            leads = sibling.tag in _HEADINGS and best not in kept and best.tag not in _ARTICLES
-            if plain and (_final(sibling) >= least or leads or (sibling.tag == "p" and sibling.length > 80)):
+            if plain and (_final(sibling) >= least or (sibling.tag == "p" and sibling.length > 80)):
                 kept.append(sibling)
     return kept
 

@@ -60,6 +60,17 @@ def test_slugs_and_theme_classes_drop_nothing():
     assert html_text.main_text(plain) == "Login\nText, of a page."
 
 
+def test_short_siblings_are_kept():
+    items = [f"{i} " + "plain words " * 8 for i in range(8)]
+    listed = "".join(f"<li>{x}</li>" for x in items)
+    inner = f"<div><h2>A</h2><p>Intro.</p><ul>{listed}</ul><p>Short end.</p></div>"
+    expected = ["A", "Intro.", *(x.strip() for x in items), "Short end."]
+    assert html_text.main_text(f"<body>{inner}</body>") == "\n".join(expected)
+    links = "<ul><li><a href=/1>Some other page</a></li><li><a href=/2>One more page</a></li></ul>"
+    page = f"<body><h1>T</h1>Bare <b>words</b> here.{inner}{links}<section><h2>B</h2><p>Last.</p></section></body>"
+    assert html_text.main_text(page) == "\n".join(["T", "Bare words here.", *expected, "B", "Last."])
+
+
 def test_edges(spark):
     deep = "<div>" * 3000 + "<p>deep, deep text that is long enough</p>"
     rows = [

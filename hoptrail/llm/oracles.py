@@ -96,3 +96,65 @@ scored AS (
 SELECT doc_id, item_id, max(similarity) AS similarity, CAST(arg_min(place, (-similarity, place)) AS BIGINT) AS first_word
 FROM judged WHERE similarity >= 0.8 GROUP BY doc_id, item_id
 """
+
+_WHOLE = """len(embedding) = list_count(embedding)
+    AND coalesce(list_bool_and(list_transform(embedding, lambda x: isfinite(x))), len(embedding) = 0)"""
+
+
+def _centroids(k: int, rounds: int) -> str:
+    nearest = """a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, j, c, d FROM (
+    SELECT r, vec_id, v, j, c,
+      CAST(list_sum(list_transform(list_zip(v, c), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) AS BIGINT) AS d
+    FROM kept CROSS JOIN c{i})
+  QUALIFY row_number() OVER (PARTITION BY r ORDER BY d, j) = 1
+)"""
+    update = """c{i} AS MATERIALIZED (
+  SELECT j, coalesce(m.c, o.c) AS c FROM c{o} o LEFT JOIN (
+    SELECT j, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY pos) AS c FROM (
+      SELECT j, pos, sum(x) AS s, count(*) AS n
+      FROM (SELECT j, unnest(v) AS x, generate_subscripts(v, 1) AS pos FROM a{o}) GROUP BY j, pos)
+    GROUP BY j) m USING (j)
+)"""
+    steps = [nearest.format(i=0)]
+    for i in range(1, rounds + 1):
+        steps += [update.format(i=i, o=i - 1), nearest.format(i=i)]
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id,
+    list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = 64 AND {_WHOLE}
+), c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('3:' || vec_id), v) - 1 AS j, v AS c
+  FROM kept WHERE vec_id IS NOT NULL ORDER BY j LIMIT {k}
+), {", ".join(steps)}
+SELECT vec_id, CAST(j AS INTEGER) AS cluster, d AS distance,
+  CAST(sum(d) OVER (PARTITION BY j) AS BIGINT) AS cluster_inertia, CAST(sum(d) OVER () AS BIGINT) AS inertia,
+  sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{rounds}
+"""
+
+
+CENTROID_CLUSTERS = _centroids(8, 10)
+
+HARD_NEGATIVES = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND {_WHOLE}
+), scored AS MATERIALIZED (
+  SELECT a.r AS anchor, a.vec_id AS anchor_id, b.r, b.vec_id, a.label = b.label AS same,
+    coalesce(CAST(list_sum(list_transform(list_zip(a.v, b.v), lambda p: p[1] * p[2])) AS BIGINT), 0) AS score
+  FROM kept a JOIN kept b ON a.vec_id % 50 = 0 AND a.r <> b.r
+), positives AS (
+  SELECT anchor, anchor_id, r AS positive, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor ORDER BY score DESC, vec_id, r) <= 5
+), ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, s.vec_id AS negative_id, s.score AS negative_score,
+    row_number() OVER (PARTITION BY p.anchor, p.positive ORDER BY s.score DESC, s.vec_id, s.r) AS rank
+  FROM positives p JOIN scored s ON s.anchor = p.anchor AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3
+"""

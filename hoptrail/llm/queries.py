@@ -4,11 +4,14 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from hoptrail.llm import (
     bpe,
+    centroids,
     chunks,
     decontaminate,
+    hard_negatives,
     html_text,
     near_dedup,
     oracles,
@@ -79,6 +82,15 @@ def op10_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     return personal_data.span_columns(found)
 
 
+def op11_centroids(spark: SparkSession, folder: str) -> DataFrame:
+    return centroids.cluster_report(table(spark, folder, "embeddings"))
+
+
+def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    shifted = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine_negatives(table(spark, folder, "embeddings").withColumn("label", shifted))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -92,6 +104,8 @@ QUERIES = {
         op8_toxicity,
         op9_repeated_strings,
         op10_personal_data,
+        op11_centroids,
+        op12_hard_negatives,
     )
 }
 
@@ -99,4 +113,6 @@ ORACLE_SQL: dict[str, str] = {
     "op3_benchmark_windows": oracles.BENCHMARK_WINDOWS,
     "op6_near_dedup": oracles.NEAR_DEDUP,
     "op9_repeated_strings": oracles.REPEATED_STRINGS,
+    "op11_centroids": oracles.CENTROID_CLUSTERS,
+    "op12_hard_negatives": oracles.HARD_NEGATIVES,
 }

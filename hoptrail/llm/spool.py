@@ -24,15 +24,30 @@ def shared_folder(spark: SparkSession) -> str:
     return folder
 
 
-def spool(df: DataFrame) -> DataFrame:
+def spool(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` and read it back: it is computed once, survives the loss of
-    executors and has sizes the planner knows. Spark removes it at its end."""
+    executors and has sizes the planner knows. Spark removes it at its end.
+    ``options`` go to the writer."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hoptrail-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    df.write.options(**options).parquet(path)
+    system, target = _located(spark, path)
+    system.deleteOnExit(target)
+    table = spark.read.schema(df.schema).parquet(path)
+    table._spooled_at = path
+    return table
+
+
+def _located(spark: SparkSession, path: str):
     target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).deleteOnExit(target)
-    return spark.read.schema(df.schema).parquet(path)
+    return target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), target
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove tables made by ``spool`` that nothing reads any more."""
+    for table in tables:
+        system, target = _located(table.sparkSession, table._spooled_at)
+        system.delete(target, True)
 
 
 def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:

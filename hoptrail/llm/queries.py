@@ -13,6 +13,7 @@ from hoptrail.llm import (
     decontaminate,
     hard_negatives,
     html_text,
+    language_id,
     near_dedup,
     oracles,
     personal_data,
@@ -91,6 +92,10 @@ def op12_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
     return hard_negatives.mine_negatives(table(spark, folder, "embeddings").withColumn("label", shifted))
 
 
+def op13_language(spark: SparkSession, folder: str) -> DataFrame:
+    return language_id.identify_language(table(spark, folder, "documents"))
+
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -106,6 +111,7 @@ QUERIES = {
         op10_personal_data,
         op11_centroids,
         op12_hard_negatives,
+        op13_language,
     )
 }
 

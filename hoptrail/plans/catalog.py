@@ -12,7 +12,7 @@ from hoptrail.functions.ids import id_origin_ms
 from hoptrail.functions.headers import header_text
 from hoptrail.functions.windows import event_ms, floor_ms, tumble
 from hoptrail.operators import annotate, meters, percentiles, relay, reports, stuck, trails, views
-from hoptrail.plans import questions
+from hoptrail.plans import questions, replays
 from hoptrail.session import scratch_path
 from hoptrail.sources import files
 from hoptrail.sources.events import raw_records, read_events
@@ -278,4 +278,11 @@ QUERIES: dict[str, Query] = {
     "l28_trace_journey": _signals(trails.trace_journey),
     "l29_audit": _signals(questions.audit),
     "l30_correlated": _correlated,
+    # The same asked of streams that work off the stored records.
+    "stuck_trace_replayed": _raw(replays.stuck),
+    "k12_silent_services_replayed": _raw(replays.silent),
+    "k13_drop_off_replayed": _raw(replays.drop_off),
+    "k20_new_services_replayed": _raw(replays.sightings),
+    "l14_completion_replayed": _raw(replays.completion),
+    "l29_audit_replayed": _raw(replays.audit),
 }

@@ -548,5 +548,43 @@ def _questions() -> dict[str, str]:
     }
 
 
+def _replays(batch: dict[str, str]) -> dict[str, str]:
+    """What streams say once a day without records has passed."""
+    minutes = """minutes AS (
+      SELECT this_service, window_start, lag(window_start) OVER s AS before, lead(window_start) OVER s AS after
+      FROM (SELECT DISTINCT this_service, window_start FROM produce)
+      WINDOW s AS (PARTITION BY this_service ORDER BY window_start)
+    )"""
+    return {
+        "stuck_trace_replayed": batch["stuck_trace"],
+        "l14_completion_replayed": batch["l14_completion"],
+        "l29_audit_replayed": batch["l29_audit"],
+        "k12_silent_services_replayed": _query(
+            """SELECT this_service, unnest(range(window_start + 60000,
+                 least(coalesce(after - 120000, window_start + 3600000), window_start + 3540000) + 1, 60000))
+                 AS window_start
+               FROM minutes""",
+            minutes,
+        ),
+        "k20_new_services_replayed": _query(
+            """SELECT m.this_service, m.window_start, before IS NULL OR window_start - before >= 86400000 AS first
+               FROM minutes m WHERE before IS NULL OR window_start - before >= 86400000 OR NOT EXISTS (
+                 SELECT 1 FROM minutes e
+                 WHERE e.this_service = m.this_service AND e.window_start = m.window_start - 3600000)""",
+            minutes,
+        ),
+        "k13_drop_off_replayed": _query(
+            f"""SELECT window_start, consumed, count(*) AS traces, count(*) FILTER (WHERE NOT came) AS dropped
+                FROM (SELECT s.window_start, s.trace_id, s.consumer_service IS NOT NULL AS consumed,
+                        bool_or(c.trace_id IS NOT NULL) AS came
+                      FROM sig s LEFT JOIN sig c ON c.trace_id = s.trace_id AND c.this_topic = '{FULFILLED}'
+                        AND (c.consumer_service IS NULL) = (s.consumer_service IS NULL)
+                        AND c.event_ms BETWEEN s.event_ms - 300000 AND s.event_ms + 300000
+                      WHERE s.this_topic = '{ENRICHED}' GROUP BY ALL) GROUP BY ALL"""
+        ),
+    }
+
+
 def all_queries() -> dict[str, str]:
-    return _reports() | _trails() | _meters() | _questions()
+    batch = _reports() | _trails() | _meters() | _questions()
+    return batch | _replays(batch)

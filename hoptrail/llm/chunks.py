@@ -29,14 +29,12 @@ from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
 from hoptrail.llm.cutting import cut_spans, joined_spans
-from hoptrail.llm.spool import MOST_BROADCAST_IDS, spool
+from hoptrail.llm.spool import passing, spool
 from hoptrail.llm.workers import ship
 
 MASK_BITS = 5
 LEAST_CHUNK = 16
 MOST_CHUNK = 256
-# A former minimum of removed bytes; dedup_chunks has none any more, a test reads it.
-LEAST_RUN = 100
 WINDOW = 32
 
 _GEAR = (arrays.mix(np.arange(1, 257, dtype=np.uint64)) >> np.uint64(32)).astype(np.uint32)
@@ -121,21 +119,22 @@ def dedup_chunks(
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
     chunks = chunk_digests(docs, bits, least, most)
-    heads = spool(
-        chunks.groupBy("d1", "d2")
-        .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("head"))
-        .where("n > 1")
-        .select("d1", "d2", "head")
-    )
-    few = heads.count() <= MOST_BROADCAST_IDS
-    repeats = (
-        chunks.join(F.broadcast(heads) if few else heads, ["d1", "d2"])
-        .where("doc_id <> head.doc_id or first <> head.first")
-        .groupBy("doc_id")
-        .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
-    )
+    with passing() as held:
+        heads = spool(
+            chunks.groupBy("d1", "d2")
+            .agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "first")).alias("head"))
+            .where("n > 1")
+            .select("d1", "d2", "head")
+        )
+        repeats = spool(
+            chunks.join(heads, ["d1", "d2"])
+            .where("doc_id <> head.doc_id or first <> head.first")
+            .groupBy("doc_id")
+            .agg(F.collect_list(F.struct("first", "last")).alias("spans"))
+        )
+        held.append(repeats)
 
     def tell(first: np.ndarray, last: np.ndarray) -> list[tuple[int, int]]:
         return joined_spans(list(zip(first.tolist(), last.tolist())))
 
-    return cut_spans(docs, spool(repeats), ["first", "last"], tell)
+    return cut_spans(docs, repeats, ["first", "last"], tell)

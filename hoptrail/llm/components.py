@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.spool import spool
+from hoptrail.llm.spool import discard, passing, spool
 
 
 def _mark(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v") % 1_000_003)).first())
+    """Number of edges and two sums of 64-bit hashes, the same only for the same edges."""
+    marks = [F.sum(F.xxhash64(*way).cast("decimal(38,0)")) for way in (("u", "v"), ("v", "u"))]
+    return tuple(edges.agg(F.count("*"), *marks).first())
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -21,27 +23,32 @@ def components(links: DataFrame) -> DataFrame:
     combine before the shuffle, so a node with very many links is no hot spot, and
     the number of rounds grows with the logarithm of the longest path.
     """
-    edges = spool(
-        links.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v").distinct()
-    )
-    seen = None
-    while (mark := _mark(edges)) != seen:
-        seen = mark
-        both = edges.union(edges.selectExpr("v", "u"))
-        least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-        large = (
-            both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        ).where("u <> v").distinct()
-        large = spool(large)
-        least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = (
-            large.join(least, "u")
-            .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-            .select("e.u", "e.v")
-            .where("u <> v")
-            .distinct()
+    with passing() as held:
+        edges = spool(
+            links.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v").distinct()
         )
-        edges = spool(small)
-    stars = edges.groupBy("u").agg(F.min("v").alias("component"))
-    roots = stars.selectExpr("component as node", "component").distinct()
-    return spool(stars.selectExpr("u as node", "component").union(roots))
+        seen = None
+        while (mark := _mark(edges)) != seen:
+            seen = mark
+            both = edges.union(edges.selectExpr("v", "u"))
+            least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+            large = (
+                both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            ).where("u <> v").distinct()
+            large = spool(large)
+            least = large.groupBy("u").agg(F.min("v").alias("m"))
+            small = (
+                large.join(least, "u")
+                .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
+                .select("e.u", "e.v")
+                .where("u <> v")
+                .distinct()
+            )
+            later = spool(small)
+            discard(edges, large)
+            edges = later
+        stars = edges.groupBy("u").agg(F.min("v").alias("component"))
+        roots = stars.selectExpr("component as node", "component").distinct()
+        found = spool(stars.selectExpr("u as node", "component").union(roots))
+        held.append(found)
+    return found

@@ -8,9 +8,6 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-from hoptrail.llm.spool import MOST_BROADCAST_IDS, spool
 
 _SCHEMA = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
 
@@ -30,16 +27,18 @@ def cut_spans(
     docs: DataFrame, found: DataFrame, fields: list[str], tell: Callable[..., list[tuple[int, int]]]
 ) -> DataFrame:
     """Every document without the spans that ``tell`` makes of the fields of its
-    ``spans`` in ``found`` (spooled). Documents without any are not shuffled while
-    the ids of the others are few."""
+    ``spans`` in ``found``. Texts meet their spans by one shuffle of both. A document's
+    spans are one list, as its text is one value."""
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, lists = [], batch.column("spans")
             for i, text in enumerate(batch.column("text").to_pylist()):
                 data = (text or "").encode()
-                columns: list[np.ndarray] = [lists[i].values.field(c).to_numpy() for c in fields]
-                gone = [(a, min(b, len(data))) for a, b in tell(*columns) if a < len(data)]
+                gone: list[tuple[int, int]] = []
+                if lists[i].is_valid:
+                    columns: list[np.ndarray] = [lists[i].values.field(c).to_numpy() for c in fields]
+                    gone = [(a, min(b, len(data))) for a, b in tell(*columns) if a < len(data)]
                 kept, at = [], 0
                 for a, b in gone:
                     kept.append(data[at:a])
@@ -53,17 +52,4 @@ def cut_spans(
                 ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"],
             )
 
-    ids = spool(found.select("doc_id"))
-    few = ids.count() <= MOST_BROADCAST_IDS
-    marked = docs.join((F.broadcast(ids) if few else ids).withColumn("hit", F.lit(True)), "doc_id", "left")
-    touched = marked.where("hit").drop("hit").join(found, "doc_id").select("doc_id", "text", "spans")
-    plain = F.coalesce("text", F.lit("")).cast("binary")
-    whole = marked.where("hit is null").select(
-        "doc_id",
-        F.octet_length(plain).cast("long").alias("n_bytes"),
-        F.lit(0).cast("long").alias("n_removed"),
-        F.lit(0).cast("long").alias("n_spans"),
-        F.sha2(plain, 256).alias("kept_sha256"),
-        plain.alias("kept"),
-    )
-    return touched.mapInArrow(cut, _SCHEMA).union(whole)
+    return docs.select("doc_id", "text").join(found, "doc_id", "left").mapInArrow(cut, _SCHEMA)

@@ -25,7 +25,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.spool import MOST_BROADCAST_IDS, only_ids, spool
+from hoptrail.llm.spool import only_ids, spool
 
 SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
@@ -69,11 +69,6 @@ def _counted_shingles(words: str, n: int) -> str:
             s, ' ', size(filter(slice(all, 1, i + 1), x -> x = s))))))"""
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """A spooled table, marked for broadcast when counting shows that it is small."""
-    return F.broadcast(df) if df.count() <= MOST_BROADCAST_IDS else df
-
-
 def contaminated(
     docs: DataFrame,
     items: DataFrame,
@@ -96,7 +91,7 @@ def contaminated(
     texts = docs.where("doc_id is not null and text is not null").selectExpr("doc_id", f"{_words('text')} as words")
     starts = (
         texts.selectExpr("doc_id", "size(words) as n", f"posexplode({_shingle_hashes('words', shingle)}) as (at, hash)")
-        .join(_bounded(sought), "hash")
+        .join(sought, "hash")
         .selectExpr("doc_id", "greatest(least(at, n - width), 0) as at", "width")
         .groupBy("doc_id")
         .agg(F.collect_set(F.struct("at", "width")).alias("places"))
@@ -131,7 +126,7 @@ def contaminated(
     blocks = spool(marked.selectExpr("item_id", "width", "item_mark", _blocks("item_mark", radius)))
     near = (
         distinct.selectExpr("one", "two", "width", "mark", _blocks("mark", radius))
-        .join(_bounded(blocks), ["width", "block", "value"])
+        .join(blocks, ["width", "block", "value"])
         .where(f"bit_count(mark ^ item_mark) <= {radius}")
         .select("one", "two", "width", "item_id")
         .distinct()

@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
 from hoptrail.llm.components import components
-from hoptrail.llm.spool import only_ids, spool
+from hoptrail.llm.spool import only_ids, passing, spool
 from hoptrail.llm.workers import ship
 
 SHINGLE_WORDS = 5
@@ -336,28 +336,30 @@ def open_pairs(members: DataFrame, docs: DataFrame, words: int, percent: int) ->
 def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int = SIMILARITY_PERCENT) -> DataFrame:
     """``doc_id``, ``n_shingles``, ``component_id`` and ``kept`` of every document."""
     ship(docs.sparkSession)
-    sketched = spool(sketches(docs, words))
-    classes = spool(
-        sketched.where("n > 0 and doc_id is not null")
-        .groupBy("n", "d1", "d2")
-        .agg(F.min(F.struct("doc_id", "registers", *LOW_BITS)).alias("first"), F.count("*").alias("copies"))
-        .select(F.col("first.doc_id").alias("rep"), "n", "d1", "d2", "copies", "first.registers",
-                *(F.col(f"first.{c}").alias(c) for c in LOW_BITS))
-    )
-    all_members = bands(classes)
-    shared = all_members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
-    members = spool(all_members.join(shared, "band").join(classes.select("rep", "n", *LOW_BITS), "rep"))
-    links = known = tried = None
-    for turn in range(LEADER_ROUNDS + 1):
-        tagged = _with_component(members, known)
-        pairs = leader_pairs(tagged, turn, percent) if turn < LEADER_ROUNDS else open_pairs(tagged, docs, words, percent)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = spool(pairs)
-        found = spool(verified(spool(promising(pairs, classes, percent)), docs, words, percent))
-        links = found if links is None else links.union(found)
-        tried = pairs if tried is None else tried.union(pairs)
-        known = components(links)
+    with passing() as held:
+        sketched = spool(sketches(docs, words))
+        classes = spool(
+            sketched.where("n > 0 and doc_id is not null")
+            .groupBy("n", "d1", "d2")
+            .agg(F.min(F.struct("doc_id", "registers", *LOW_BITS)).alias("first"), F.count("*").alias("copies"))
+            .select(F.col("first.doc_id").alias("rep"), "n", "d1", "d2", "copies", "first.registers",
+                    *(F.col(f"first.{c}").alias(c) for c in LOW_BITS))
+        )
+        all_members = bands(classes)
+        shared = all_members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
+        members = spool(all_members.join(shared, "band").join(classes.select("rep", "n", *LOW_BITS), "rep"))
+        links = known = tried = None
+        for turn in range(LEADER_ROUNDS + 1):
+            tagged = _with_component(members, known)
+            pairs = leader_pairs(tagged, turn, percent) if turn < LEADER_ROUNDS else open_pairs(tagged, docs, words, percent)
+            if tried is not None:
+                pairs = pairs.join(tried, ["a", "b"], "left_anti")
+            pairs = spool(pairs)
+            found = spool(verified(spool(promising(pairs, classes, percent)), docs, words, percent))
+            links = found if links is None else links.union(found)
+            tried = pairs if tried is None else tried.union(pairs)
+            known = components(links)
+        held += [sketched, classes, known]
     copies = classes.where("copies > 1").select("n", "d1", "d2", "rep")
     joined = sketched.select("doc_id", "n", "d1", "d2").join(copies, ["n", "d1", "d2"], "left")
     joined = _with_component(joined.withColumn("rep", F.coalesce("rep", "doc_id")), known)

@@ -123,8 +123,9 @@ def _repeated_lines(piece: arrays.Piece, i: int) -> int:
     return len(lines) - len(set(lines))
 
 
-def score_texts(docs: DataFrame, ratios: np.ndarray, keep: list[str]) -> DataFrame:
-    """The columns ``keep`` of every row with its base counts and score."""
+def score_texts(docs: DataFrame, ratios: np.ndarray, keep: list[str], text_in: str | None = None) -> DataFrame:
+    """The columns ``keep`` of every row with its base counts and score. The text is
+    read from the struct ``text_in`` if it is kept as a part of that anyway."""
     buckets = len(ratios)
     shared = docs.sparkSession.sparkContext.broadcast(ratios)
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select(*keep).schema)
@@ -132,7 +133,8 @@ def score_texts(docs: DataFrame, ratios: np.ndarray, keep: list[str]) -> DataFra
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = shared.value
         for batch in batches:
-            for piece in arrays.pieces(batch.column("_scored_text")):
+            texts = batch.column(text_in).field("text") if text_in else batch.column("_scored_text")
+            for piece in arrays.pieces(texts):
                 n = len(piece)
                 base = base_counts(piece)
                 found, text = ngram_buckets(piece, buckets)
@@ -145,7 +147,8 @@ def score_texts(docs: DataFrame, ratios: np.ndarray, keep: list[str]) -> DataFra
                     [*keep, *base, "score"],
                 )
 
-    return docs.select(*keep, F.col("text").alias("_scored_text")).mapInArrow(score, f"{schema}, {_SCORED}")
+    texts = [] if text_in else [F.col("text").alias("_scored_text")]
+    return docs.select(*keep, *texts).mapInArrow(score, f"{schema}, {_SCORED}")
 
 
 def quality_rules(
@@ -155,10 +158,12 @@ def quality_rules(
     least_score: float = LEAST_SCORE,
     buckets: int = BUCKETS,
     prior: float = PRIOR,
+    text_in: str | None = None,
 ) -> DataFrame:
     """Judge every document. The trusted target is the documents of ``docs`` that
     ``labels`` marks with quality 1; as labels grow with the corpus, the two meet by
-    a shuffle at any size. ``keep`` names columns to carry along."""
+    a shuffle at any size. ``keep`` names columns to carry along, ``text_in`` one of
+    them that holds the text."""
     ship(docs.sparkSession)
     keep = ["doc_id"] if keep is None else keep
     trusted = labels.where("quality = 1").select("doc_id").distinct().withColumn("target", F.lit(True))
@@ -170,7 +175,7 @@ def quality_rules(
         100 * F.col("n_repeat_words") > MOST_REPEATED_PERCENT * F.col("n_words")
     )
     return (
-        score_texts(docs, ratios, keep)
+        score_texts(docs, ratios, keep, text_in)
         .withColumn("base_failed", failed)
         .withColumn("kept", ~failed & (F.col("score") >= least_score))
     )

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
 from hoptrail.llm.cutting import cut_spans, joined_spans
-from hoptrail.llm.spool import MOST_BROADCAST_IDS, only_ids, spool
+from hoptrail.llm.spool import only_ids, passing, spool
 from hoptrail.llm.workers import ship
 
 LENGTH = 100
@@ -131,8 +131,7 @@ def run_bytes(docs: DataFrame, opened: DataFrame, length: int, digit: int) -> Da
     ids = spool(opened.select("doc_id").distinct())
     texts = only_ids(docs.where("text is not null"), ids, "doc_id")
     every = texts.mapInArrow(cut, "doc_id long, first int, last int, place int, part binary")
-    few = opened.count() <= MOST_BROADCAST_IDS
-    return every.join(F.broadcast(opened) if few else opened, ["doc_id", "first", "last"])
+    return every.join(opened, ["doc_id", "first", "last"])
 
 
 def _part_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -200,10 +199,7 @@ def single_strings(parts: DataFrame, opened: DataFrame, length: int) -> DataFram
                 )
 
     wanted = opened.selectExpr("doc_id", "run", "first as low", "last as high")
-    few = opened.count() <= MOST_BROADCAST_IDS
-    held = parts.selectExpr("doc_id", "first as run", "part").join(
-        F.broadcast(wanted) if few else wanted, ["doc_id", "run"]
-    )
+    held = parts.selectExpr("doc_id", "first as run", "part").join(wanted, ["doc_id", "run"])
     return held.select("doc_id", "run", "low", "high", "part").mapInArrow(take, "string long, doc_id long, start int")
 
 
@@ -267,5 +263,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, digit: int = DIGIT) ->
     """``doc_id``, the bytes left (``kept``), their digest and counts of every document."""
     ship(docs.sparkSession)
     docs = docs.select("doc_id", "text")
-    found = spool(repeated_starts(docs, length, digit))
+    with passing() as held:
+        found = spool(repeated_starts(docs, length, digit))
+        held.append(found)
     return cut_spans(docs, found, ["kind", "first", "last"], lambda *spans: removed_spans(*spans, length))

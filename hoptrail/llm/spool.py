@@ -2,32 +2,21 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-# Ids that may be broadcast to filter a scan; more of them meet it by a shuffle.
-MOST_BROADCAST_IDS = 4_000_000
+from hoptrail.session import shared_folder
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; only a local session may do without it."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder
-    if not spark.sparkContext.master.startswith("local[") and spark.sparkContext.master != "local":
-        raise ValueError("set spark.checkpoint.dir to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="hoptrail-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+_SCOPES: list[list[DataFrame]] = []
 
 
 def spool(df: DataFrame, **options) -> DataFrame:
     """Write ``df`` and read it back: it is computed once, survives the loss of
-    executors and has sizes the planner knows. Spark removes it at its end.
-    ``options`` go to the writer."""
+    executors and has sizes the planner knows. Spark removes it at its end, or
+    :func:`passing` before. ``options`` go to the writer."""
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/hoptrail-{uuid.uuid4().hex}"
     df.write.options(**options).parquet(path)
@@ -35,6 +24,8 @@ def spool(df: DataFrame, **options) -> DataFrame:
     system.deleteOnExit(target)
     table = spark.read.schema(df.schema).parquet(path)
     table._spooled_at = path
+    if _SCOPES:
+        _SCOPES[-1].append(table)
     return table
 
 
@@ -50,16 +41,28 @@ def discard(*tables: DataFrame) -> None:
         system.delete(target, True)
 
 
+@contextmanager
+def passing() -> Iterator[list[DataFrame]]:
+    """Remove the tables spooled inside, but for those put into the list it gives.
+    What is made of them lazily must be spooled inside as well."""
+    kept: list[DataFrame] = []
+    _SCOPES.append([])
+    try:
+        yield kept
+    finally:
+        made = _SCOPES.pop()
+        stay = {table._spooled_at for table in kept}
+        discard(*(table for table in made if table._spooled_at not in stay))
+        if _SCOPES:
+            _SCOPES[-1].extend(kept)
+
+
 def only_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is among ``ids`` (spooled, distinct). The ids
-    are broadcast when counting shows that they are few."""
-    if ids.count() <= MOST_BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """Rows of ``df`` whose ``column`` is among ``ids``. The join shuffles both, unless
+    Spark itself finds one side below its own threshold for a broadcast."""
     return df.join(ids, column, "left_semi")
 
 
 def without_ids(df: DataFrame, ids: DataFrame, column: str) -> DataFrame:
-    """Rows of ``df`` whose ``column`` is not among ``ids`` (spooled, distinct)."""
-    if ids.count() <= MOST_BROADCAST_IDS:
-        ids = F.broadcast(ids)
+    """Rows of ``df`` whose ``column`` is not among ``ids``."""
     return df.join(ids, column, "left_anti")

@@ -104,21 +104,6 @@ def plain_chunks(data):
     return out + [(last, len(data))] * (last < len(data))
 
 
-def test_chunks_of_all_documents(spark, small):
-    seen, expected = set(), {}
-    for doc_id, text in cases.texts(spark, small):
-        data, gone = text.encode(), []
-        for a, b in plain_chunks(data):
-            if data[a:b] in seen:
-                gone = gone[:-1] + [(gone[-1][0], b)] if gone and gone[-1][1] == a else gone + [(a, b)]
-            seen.add(data[a:b])
-        marks = np.zeros(len(data), bool)
-        for a, b in gone:
-            marks[a:b] = b - a >= chunks.LEAST_RUN
-        expected[doc_id] = summary(data, marks)
-    assert found(queries.op4_chunk_dedup(spark, small)) == expected
-
-
 def test_chunks_resist_insertions(spark):
     rng = random.Random(9)
     passage = " ".join("".join(rng.choice("abcdefgh") for _ in range(rng.randint(2, 9))) for _ in range(60))

@@ -3,6 +3,12 @@
 Every stage takes the documents that its predecessor kept, with all their columns,
 and its decisions take effect: rejected documents, copies and documents that quote a
 benchmark go, personal data is replaced by its kind. The last stage returns ids.
+
+Defined cases: null and empty texts fail the quality rules, so no later stage sees them.
+Rows without doc_id are judged and redacted, but are nobody's copy and cannot be named
+as a leak. Rows that repeat a doc_id go or stay together. Further columns are carried
+along whatever their names; an empty table gives an empty table. Tables between and
+within the stages are removed as soon as the next stage has its own.
 """
 
 from __future__ import annotations
@@ -12,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hoptrail.llm import bpe, decontaminate, near_dedup, personal_data, quality_rules
-from hoptrail.llm.spool import spool, without_ids
+from hoptrail.llm.spool import discard, passing, spool, without_ids
 
 RANK_FILE = "byte_bpe_50k.tiktoken"
 
@@ -28,20 +34,26 @@ def _whole_rows(docs: DataFrame) -> DataFrame:
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the base rules and the log ratio."""
-    judged = quality_rules.quality_rules(_whole_rows(docs), _table(spark, sf_dir, "labels"), keep=["_doc"])
+    labels = _table(spark, sf_dir, "labels")
+    judged = quality_rules.quality_rules(_whole_rows(docs), labels, keep=["_doc"], text_in="_doc")
     return judged.where("kept").select("_doc.*")
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of each group of near copies."""
-    copies = near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct()
-    return without_ids(docs, spool(copies), "doc_id").select(docs.columns)
+    with passing() as held:
+        copies = spool(near_dedup.near_duplicates(docs).where("not kept").select("doc_id").distinct())
+        held.append(copies)
+    return without_ids(docs, copies, "doc_id").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a benchmark passage."""
-    leaks = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
-    return without_ids(docs, spool(leaks.select("doc_id").distinct()), "doc_id").select(docs.columns)
+    with passing() as held:
+        leaks = decontaminate.contaminated(docs, _table(spark, sf_dir, "benchmark"))
+        leaking = spool(leaks.select("doc_id").distinct())
+        held.append(leaking)
+    return without_ids(docs, leaking, "doc_id").select(docs.columns)
 
 
 def redaction(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +83,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents")
+    docs, before = _table(spark, sf_dir, "documents"), []
     for _, stage in STAGES[:-1]:
-        docs = spool(stage(spark, docs, sf_dir))
+        with passing() as held:
+            docs = spool(stage(spark, docs, sf_dir))
+            held.append(docs)
+        discard(*before)
+        before = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -1,18 +1,25 @@
 """Main text of web pages by tree scoring.
 
 A page becomes a tree. Elements that are never part of an article (menus, forms,
-adverts, scripts, ...) leave it. A class or id says so only as a whole, and never for
-headings, articles and what holds an article: ``market-share`` is no share bar. Every paragraph then passes points for its length
-and commas to its ancestors, fewer with each level, and an element's points are
-discounted by the share of its text that lies in links. The element with the most
-points is the container; it grows to the article around it, and siblings that
-score well or carry plain paragraphs are kept too. Without such an article it grows
-to all text of the body, however short, that is not mostly links.
+adverts, scripts, ...) leave it, by tag, role or the words of a class or id. Every
+paragraph then passes points for its length and commas to its ancestors, fewer with
+each level, and an element's points are discounted by the share of its text that lies
+in links. The element with the most points is the container; it grows to the article
+element around it. Without one it grows upwards, at each level by plain paragraphs,
+headings, lists and sections beside it and by further containers whose points come near its own.
+
+Words of names count like this. Words of reader comments drop an element anywhere.
+Plain words (``ad``, ``menu``, ``sidebar``) do so in any compound but for layout flags
+(``no-sidebar``); ambiguous words (``share``, ``related``) only if the whole name
+consists of such words. Headings and paragraphs are never dropped by name, nor is what
+holds an article element or most of the page's text, nor a section with a heading by
+its id, which is the heading's slug.
 
 Defined cases: null, empty and text-free pages give an empty text; broken markup
-is read as browsers read it (open elements end with their parent, an unfinished
+is read as browsers read it (open elements end with their parent, an unknown
+declaration is a comment up to ``>``, a comment ends with ``--!>`` too, an unfinished
 tag at the end is dropped); a page without paragraphs falls back to its body;
-repeated rows are each extracted. Work is per row, so no group can grow.
+repeated rows are each extracted. Work is per row and linear in the page.
 """
 
 from __future__ import annotations
@@ -42,29 +49,34 @@ _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 _PARAGRAPHS = frozenset("p pre blockquote td li dd".split())
 _HOLDERS = frozenset("div section article main body".split())
 _ARTICLES = frozenset(("article", "main"))
-# Opening one of the first ends an open one of the second, up to the given limits.
-_ENDS_ITEM = {
-    "li": ({"li"}, {"ul", "ol", "menu"}),
-    "dt": ({"dt", "dd"}, {"dl"}),
-    "dd": ({"dt", "dd"}, {"dl"}),
-    "tr": ({"tr", "td", "th"}, {"table"}),
-    "td": ({"td", "th"}, {"tr", "table"}),
-    "th": ({"td", "th"}, {"tr", "table"}),
-}
+# Kinds of elements that one of their kind ends, up to the given limits.
 _SCOPES = frozenset("html body table td th caption button object".split())
+_KINDS = (
+    (frozenset(("p",)), _SCOPES),
+    (frozenset(("a",)), _SCOPES),
+    (frozenset(("li",)), frozenset("ul ol menu".split())),
+    (frozenset(("dt", "dd")), frozenset(("dl",))),
+    (frozenset(("tr",)), frozenset(("table",))),
+    (frozenset(("td", "th")), frozenset("tr table".split())),
+)
+_KIND_OF = {tag: kind for kind, (tags, _) in enumerate(_KINDS) for tag in tags}
 
-_NEVER = frozenset(
-    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion comment comments"
-    " respond disqus cookie cookies consent gdpr newsletter subscribe subscription banner popup modal overlay"
-    " breadcrumb breadcrumbs share sharing social related recommended recommendations menu nav navbar navigation"
-    " pagination pager toolbar login signup search masthead skip".split()
+_COMMENTS = frozenset("comment comments commentlist commentary commenter disqus respond replies".split())
+_PLAIN = frozenset(
+    "ad ads adv advert adverts advertisement advertising adsense sponsor sponsored promo promotion cookie cookies"
+    " gdpr newsletter popup modal breadcrumb breadcrumbs menu nav navbar navigation pagination pager sidebar"
+    " masthead footer".split()
+)
+_AMBIGUOUS = frozenset(
+    "consent subscribe subscription banner overlay share sharing social related recommended recommendations"
+    " toolbar login signup search skip header foot side notice notices alert widget rail meta tags copyright".split()
 )
-_UNLIKELY = frozenset("header footer foot sidebar side notice notices alert widget rail meta tags copyright".split())
-_BOILERPLATE = _NEVER | _UNLIKELY
 _FILLERS = frozenset(
     "left right top bottom bar bars box boxes block blocks container wrapper wrap inner outer area list item items"
-    " link links button buttons form site page global primary secondary".split()
+    " link links button buttons form site page global primary secondary section column media post posts article"
+    " articles story stories content contents news more column panel slot icons follow us".split()
 )
+_FLAGS = frozenset("no not has with without is enabled disabled hide hidden show layout theme on off".split())
 _ROLES = frozenset(
     "navigation banner contentinfo complementary search form alert alertdialog dialog menu menubar".split()
 )
@@ -75,47 +87,61 @@ _NAME_PARTS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
 
 
 class Element:
-    __slots__ = ("tag", "attrs", "parent", "children", "points", "length", "linked", "commas")
+    __slots__ = (
+        "tag", "attrs", "parent", "children", "points", "length", "linked", "commas", "near", "article", "plain", "heading"
+    )
 
     def __init__(self, tag: str, attrs: dict, parent: Element | None):
         self.tag, self.attrs, self.parent = tag, attrs, parent
         self.children: list[Element | str] = []
         self.points, self.length, self.linked, self.commas = 0.0, 0, 0, 0
+        # The open element of each kind that a tag in here would end.
+        self.near: tuple[Element | None, ...] = (None,) * len(_KINDS)
+        self.article, self.plain, self.heading = False, 0, False
+
+
+_COMMENT_END = re.compile("--!?>")
 
 
 class _Tree(HTMLParser):
+    """The whole page is fed at once, so what has no end runs to the end of the page."""
+
     def __init__(self):
         super().__init__(convert_charrefs=True)
         self.root = self.open = Element("#root", {}, None)
+        self.depths: dict[str, int] = {}
 
-    def _end(self, tags, limits) -> None:
-        at = self.open
-        while at.parent is not None and at.tag not in limits:
-            if at.tag in tags:
-                self.open = at.parent
-                return
-            at = at.parent
+    def _end(self, element: Element) -> None:
+        """Close an open element and all in it."""
+        while self.open is not element.parent:
+            self.depths[self.open.tag] -= 1
+            self.open = self.open.parent
 
     def handle_starttag(self, tag, attrs):
-        if tag not in _INLINE:
-            self._end(("p",), _SCOPES)
-            if tag in _ENDS_ITEM:
-                self._end(*_ENDS_ITEM[tag])
-        elif tag == "a":
-            self._end(("a",), _SCOPES)
+        ends = [0] if tag not in _INLINE else []
+        if tag in _KIND_OF and tag != "p":
+            ends.append(_KIND_OF[tag])
+        for kind in ends:
+            if (element := self.open.near[kind]) is not None:
+                self._end(element)
         element = Element(tag, dict(attrs), self.open)
         self.open.children.append(element)
         if tag not in _VOID:
+            element.near = tuple(
+                element if tag in tags else None if tag in limits else held
+                for (tags, limits), held in zip(_KINDS, self.open.near)
+            )
+            self.depths[tag] = self.depths.get(tag, 0) + 1
             self.open = element
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
 
     def handle_endtag(self, tag):
-        at = self.open
+        at = self.open if self.depths.get(tag) else self.root
         while at.parent is not None:
             if at.tag == tag:
-                self.open = at.parent
+                self._end(at)
                 return
             if tag in _INLINE and at.tag not in _INLINE:
                 return
@@ -124,6 +150,22 @@ class _Tree(HTMLParser):
     def handle_data(self, data):
         self.open.children.append(data)
 
+    def parse_comment(self, i, report=1):
+        end = _COMMENT_END.search(self.rawdata, i + 2)
+        return end.end() if end else len(self.rawdata)
+
+    def parse_html_declaration(self, i):
+        if self.rawdata.startswith("<!--", i):
+            return self.parse_comment(i)
+        return self.parse_pi(i)
+
+    def parse_bogus_comment(self, i, report=1):
+        return self.parse_pi(i)
+
+    def parse_pi(self, i):
+        end = self.rawdata.find(">", i + 2)
+        return end + 1 if end >= 0 else len(self.rawdata)
+
 
 def parse(html: str) -> Element:
     last = html.rfind("<")
@@ -135,13 +177,23 @@ def parse(html: str) -> Element:
     return tree.root
 
 
-def _named(token: str) -> bool:
-    """Whether a whole class or id says boilerplate: no other words beside but fillers."""
-    words = {x.lower() for x in _NAME_PARTS.findall(token)}
-    return bool(words & _BOILERPLATE) and words <= _BOILERPLATE | _FILLERS
+def _words(name: str) -> set[str]:
+    return {x.lower() for x in _NAME_PARTS.findall(name)}
+
+
+def _says_comments(words: set[str]) -> bool:
+    return bool(words & _COMMENTS) and not words & _FLAGS
 
 
-def boilerplate(element: Element, in_article: bool) -> bool:
+def _says_boilerplate(words: set[str]) -> bool:
+    if words & _FLAGS:
+        return False
+    known = _PLAIN | _AMBIGUOUS
+    return bool(words & _PLAIN) or (bool(words & _AMBIGUOUS) and words <= known | _FILLERS)
+
+
+def boilerplate(element: Element, in_article: bool, whole: int) -> bool:
+    """``whole`` is the length of the page's text outside links."""
     tag, attrs = element.tag, element.attrs
     if tag in _DROPPED or (tag == "header" and not in_article):
         return True
@@ -151,25 +203,41 @@ def boilerplate(element: Element, in_article: bool) -> bool:
         return True
     if (attrs.get("role") or "").lower() in _ROLES:
         return True
-    if tag in _ARTICLES or tag in _HEADINGS:
+    if tag in _ARTICLES or tag in _HEADINGS or tag in _PARAGRAPHS - {"td", "li"} or element.article:
         return False
-    names = (attrs.get("class") or "").split()
-    if not in_article and tag not in _PARAGRAPHS:  # there an id is the slug of a heading
-        names.append(attrs.get("id") or "")
-    return any(_named(x) for x in names) and not _holds_article(element)
+    names = [_words(x) for x in (attrs.get("class") or "").split()]
+    slug = _words(attrs.get("id") or "")
+    # A slug of comments alone is theirs, of more words it may be a heading's.
+    if any(map(_says_comments, names)) or (_says_comments(slug) and (not element.heading or slug <= _COMMENTS | _FILLERS)):
+        return True
+    if not element.heading:
+        names.append(slug)
+    return any(map(_says_boilerplate, names)) and 2 * element.plain <= whole
 
 
-def _holds_article(element: Element) -> bool:
-    return any(e.tag in _ARTICLES for e in _in_order(element))
+def survey(root: Element) -> None:
+    """What each element holds: an article, a heading, text outside links."""
+    for element in reversed(_in_order(root)):
+        element.article = element.tag in _ARTICLES
+        for child in element.children:
+            if isinstance(child, str):
+                element.plain += len(child.strip())
+            elif child.tag not in _DROPPED:
+                element.article |= child.article
+                element.heading |= child.heading or child.tag in _HEADINGS
+                element.plain += 0 if child.tag == "a" else child.plain
 
 
 def prune(root: Element) -> None:
     """Take out what is never part of an article."""
+    survey(root)
     waiting = [(root, False)]
     while waiting:
         element, inside = waiting.pop()
         inside = inside or element.tag in _ARTICLES
-        element.children = [c for c in element.children if isinstance(c, str) or not boilerplate(c, inside)]
+        element.children = [
+            c for c in element.children if isinstance(c, str) or not boilerplate(c, inside, root.plain)
+        ]
         waiting.extend((c, inside) for c in element.children if not isinstance(c, str))
 
 
@@ -217,16 +285,29 @@ def _final(element: Element) -> float:
     return element.points * (1 - element.linked / max(1, element.length))
 
 
+_BESIDE = _PARAGRAPHS | _HEADINGS | frozenset("ul ol dl table figure tbody tr th dt details section".split())
+
+
+def _belongs(element: Element | str, best: Element) -> bool:
+    """Whether what stands beside the container is a part of the article: paragraphs,
+    headings, lists and sections that are not mostly links, and containers near it in
+    points."""
+    if isinstance(element, str) or element.tag in _INLINE:
+        return True
+    if 2 * element.linked > element.length:
+        return False
+    return element.tag in _BESIDE or _final(element) >= max(10.0, 0.2 * _final(best))
+
+
 def _with_surroundings(best: Element) -> Element:
-    """The container with all text around it, up to the body, except blocks that are
-    mostly links: what is never part of an article has left the page already."""
+    """The container with what belongs to it on each level, up to the body."""
     at, whole = best, best
     while at.parent is not None and at.tag not in ("body", "html"):
         group = Element(at.parent.tag, {}, None)
         for c in at.parent.children:
             if c is at:
                 group.children.append(whole)
-            elif isinstance(c, str) or c.tag in _INLINE or 2 * c.linked <= c.length:
+            elif _belongs(c, best):
                 group.children.append(c)
         at, whole = at.parent, group
     return whole
@@ -240,7 +321,7 @@ def containers(root: Element) -> list[Element]:
     if not candidates:
         return [root]
     best = max(candidates, key=_final)
-    above, around = best.parent, None
+    above, around = best.parent, best if best.tag in _ARTICLES else None
     while above is not None:
         around = above if above.tag in _ARTICLES and not (above.tag == "main" and around) else around
         above = above.parent
@@ -255,7 +336,8 @@ def containers(root: Element) -> list[Element]:
             kept.append(sibling)
         elif not isinstance(sibling, str) and sibling.length:
             plain = sibling.linked < 0.25 * sibling.length
-            if plain and (_final(sibling) >= least or (sibling.tag == "p" and sibling.length > 80)):
+            more = sibling.tag in ("article", "section") and _final(sibling) >= least
+            if plain and (more or (sibling.tag == "p" and sibling.length > 80)):
                 kept.append(sibling)
     return kept
 

@@ -2,8 +2,10 @@
 
 Every event becomes one trace through the three stages of the chain, with the
 irregularities the reports must cope with: untagged records, a missing
-pipeline, an unreadable origin time, traces that stop early, repeated last
-hops, long silences, records at the hop ceiling and lost markers.
+pipeline, an unreadable origin time or hop count, a pipeline that changes on the
+way, traces that stop early, repeated last hops, long silences, a service that is
+down for a while, records at the hop ceiling and beyond it, trails that disagree
+with their headers, lost markers, and records of the days before and after.
 """
 
 from __future__ import annotations
@@ -17,12 +19,18 @@ from hoptrail.wire import CHAIN, MARKER_TOPIC, STAGE_TOPICS
 START_MS = 1704067200000  # 2024-01-01T00:00:00Z
 
 _STEP_MS = "(200 + (event_id * 7919) % 4000)"
+# Minutes of the day in which the last producing service is down.
+_DOWN = "elapsed div 60 >= 11400000 and elapsed div 60 < 12000000 and event_id % 700 <> 11"
+_DAYS_OFF = "case event_id % 41 when 0 then 1 when 1 then -1 else 0 end"
 _HOPS_SEEN = f"""case when event_id % 10 = 9 then array(1)
-     when event_id % 20 = 8 then array(1, 2)
+     when event_id % 20 = 8 or {_DOWN} then array(1, 2)
      when event_id % 97 = 0 then array(1, 2, 3, 4)
      else array(1, 2, 3) end"""
 
 
+_PIPELINE = "case when event_id % 200 = 5 then null when event_id % 4 = 0 then 'location' else 'orders' end"
+
+
 def _texts(values: tuple[str, ...]) -> str:
     return "array(" + ", ".join(f"'{v}'" for v in values) + ")"
 
@@ -42,7 +50,7 @@ def _hops(spark: SparkSession, folder: str) -> DataFrame:
         events.selectExpr(
             "event_id",
             "status",
-            f"{START_MS} + (elapsed - elapsed % 60) div 60 as origin_ms",
+            f"{START_MS} + (elapsed - elapsed % 60) div 60 + 86400000 * {_DAYS_OFF} as origin_ms",
             f"explode({_HOPS_SEEN}) as k",
         )
         .selectExpr("*", "least(k, 3) as s")
@@ -57,24 +65,37 @@ def _hops(spark: SparkSession, folder: str) -> DataFrame:
                 lpad(lower(hex(event_id)), 19, '0'))) as trace_id""",
             "if(event_id % 500 = 13, 'bad', string(origin_ms)) as origin_ts",
             f"'{CHAIN[0]}' as origin_service",
-            """case when event_id % 200 = 5 then null when event_id % 4 = 0 then 'location'
-                else 'orders' end as pipeline""",
+            f"case when event_id % 900 = 17 and s = 2 then 'returns' else {_PIPELINE} end as pipeline",
             f"element_at({_texts(CHAIN[:3])}, s) as this_service",
             f"element_at({_texts(STAGE_TOPICS)}, s) as this_topic",
-            "if(event_id % 1000 = 1, 32, s) as hop_count",
+            """case when event_id % 700 = 11 and s = 2 then 'many' when event_id % 1000 = 1 then '32'
+                else string(s) end as hop_count""",
             f"element_at({_texts(CHAIN[1:])}, s) as next_service",
         )
     )
 
 
+def _broken(remainder: int) -> str:
+    """Which last stages carry a trail with one certain thing wrong."""
+    return f"s = 3 and event_id % 1300 = {remainder}"
+
+
 def _trail_sql() -> str:
-    """JSON trail of a produced record: all hops up to its own stage."""
+    """JSON trail of a produced record: all hops up to its own stage. The first record
+    of some traces has been through as many hops as a trail keeps."""
+    hops = f"""transform(sequence(1, s), k -> named_struct(
+             's', if(k = s and {_broken(24)}, 'other-service', element_at({_texts(CHAIN[:3])}, k)),
+             't', if(k = s and {_broken(25)}, 'other.topic', element_at({_texts(STAGE_TOPICS)}, k)),
+             'm', case when k = s then sent_ms when k = 1 and {_broken(26)} then sent_ms + 1000
+                  else origin_ms + (k - 1) * {_STEP_MS} end))"""
+    before = f"""transform(sequence(1, {wire.MAX_HOPS - 1}), k -> named_struct(
+             's', '{CHAIN[0]}', 't', '{STAGE_TOPICS[0]}', 'm', origin_ms - ({wire.MAX_HOPS} - k)))"""
     return f"""if(trace_id is null, null, to_json(named_struct(
-        't', base64(unhex(trace_id)), 'o', origin_ms, 's', origin_service, 'p', pipeline,
-        'h', transform(sequence(1, s), k -> named_struct(
-             's', element_at({_texts(CHAIN[:3])}, k), 't', element_at({_texts(STAGE_TOPICS)}, k),
-             'm', if(k = s, sent_ms, origin_ms + (k - 1) * {_STEP_MS}))),
-        'x', hop_count >= {wire.MAX_HOPS})))"""
+        't', base64(unhex(if({_broken(21)}, overlay(trace_id placing 'f' from 14 for 1), trace_id))),
+        'o', origin_ms + if({_broken(22)}, 1, 0),
+        's', if({_broken(23)}, 'unknown', origin_service), 'p', {_PIPELINE},
+        'h', if(s = 1 and event_id % 1000 = 1, concat({before}, {hops}), {hops}),
+        'x', event_id % 1000 = 1)))"""
 
 
 def raw_records(spark: SparkSession, folder: str, with_trail: bool = False) -> DataFrame:

@@ -10,7 +10,9 @@ PLACED, ENRICHED, FULFILLED = STAGE_TOPICS
 _TRACES = f"""
 b AS (
   SELECT event_id, event_type,
-         1704067200000 + CAST((ms0 - ms0 % 60) / 60 AS BIGINT) AS origin_ms
+         1704067200000 + CAST((ms0 - ms0 % 60) / 60 AS BIGINT)
+           + 86400000 * CASE event_id % 41 WHEN 0 THEN 1 WHEN 1 THEN -1 ELSE 0 END AS origin_ms,
+         ms0 // 60 >= 11400000 AND ms0 // 60 < 12000000 AND event_id % 700 <> 11 AS down
   FROM (SELECT event_id, event_type,
                CAST((epoch_us(ts) - epoch_us(ts) % 1000) / 1000 AS BIGINT) - 1704067200000 AS ms0
         FROM events) m
@@ -19,8 +21,8 @@ b AS (
   FROM b CROSS JOIN (SELECT 1 AS k UNION ALL SELECT 2 UNION ALL SELECT 3 UNION ALL SELECT 4) k
   WHERE k.k = 1
      OR (k.k = 2 AND event_id % 10 <> 9)
-     OR (k.k = 3 AND event_id % 10 <> 9 AND event_id % 20 <> 8)
-     OR (k.k = 4 AND event_id % 97 = 0 AND event_id % 10 <> 9 AND event_id % 20 <> 8)
+     OR (k.k = 3 AND event_id % 10 <> 9 AND event_id % 20 <> 8 AND NOT down)
+     OR (k.k = 4 AND event_id % 97 = 0 AND event_id % 10 <> 9 AND event_id % 20 <> 8 AND NOT down)
 ), p AS (
   SELECT event_id, k, origin_ms, s,
     CASE WHEN event_type = 'error' THEN 'failed' ELSE 'success' END AS status,
@@ -29,10 +31,12 @@ b AS (
     END AS trace_id,
     CASE WHEN event_id % 500 = 13 THEN 'bad' ELSE CAST(origin_ms AS VARCHAR) END AS origin_ts,
     '{INTAKE}' AS origin_service,
-    CASE WHEN event_id % 200 = 5 THEN NULL WHEN event_id % 4 = 0 THEN 'location' ELSE 'orders' END AS pipeline,
+    CASE WHEN event_id % 900 = 17 AND s = 2 THEN 'returns' WHEN event_id % 200 = 5 THEN NULL
+         WHEN event_id % 4 = 0 THEN 'location' ELSE 'orders' END AS pipeline,
     CASE s WHEN 1 THEN '{INTAKE}' WHEN 2 THEN '{ENRICHMENT}' ELSE '{FULFILLMENT}' END AS this_service,
     CASE s WHEN 1 THEN '{PLACED}' WHEN 2 THEN '{ENRICHED}' ELSE '{FULFILLED}' END AS this_topic,
-    CAST(CASE WHEN event_id % 1000 = 1 THEN 32 ELSE s END AS INTEGER) AS hop_count,
+    CAST(CASE WHEN event_id % 700 = 11 AND s = 2 THEN NULL WHEN event_id % 1000 = 1 THEN 32 ELSE s END AS INTEGER)
+      AS hop_count,
     CASE s WHEN 1 THEN '{ENRICHMENT}' WHEN 2 THEN '{FULFILLMENT}' ELSE '{SHIPPING}' END AS next_service,
     origin_ms + (s - 1) * (200 + (event_id * 7919) % 4000)
       + CASE WHEN event_id % 25 = 3 AND s = 3 THEN 90000 ELSE 0 END
@@ -151,7 +155,7 @@ def _reports() -> dict[str, str]:
         "rejected_headers": _query(
             """SELECT kafka_topic, count(*) AS tagged,
                count(*) FILTER (WHERE origin_ts = 'bad') AS bad_origin_ts,
-               CAST(0 AS BIGINT) AS bad_hop_count
+               count(*) FILTER (WHERE event_id % 700 = 11 AND hop_count IS NULL) AS bad_hop_count
                FROM raw WHERE trace_id IS NOT NULL GROUP BY 1"""
         ),
         "trace_age": _query(
@@ -168,15 +172,21 @@ _STAGE = f"CASE this_topic WHEN '{PLACED}' THEN 1 WHEN '{ENRICHED}' THEN 2 ELSE
 
 # Hops of the JSON trail of each produced record: earlier stages at their
 # planned time, the last one when it was really sent.
-_HOPS = f"""hops AS (
-  SELECT r.*, j.pos, r.stage,
-    CASE j.pos WHEN 1 THEN '{INTAKE}' WHEN 2 THEN '{ENRICHMENT}' ELSE '{FULFILLMENT}' END AS hop_service,
-    CASE j.pos WHEN 1 THEN '{PLACED}' WHEN 2 THEN '{ENRICHED}' ELSE '{FULFILLED}' END AS hop_topic,
+_HOPS = f"""staged AS (
+  SELECT produce.*, {_STAGE} AS stage, b.origin_ms FROM produce JOIN b ON b.event_id = produce.event_id
+), hops AS (
+  SELECT r.*, j.pos + CASE WHEN r.stage = 1 AND r.event_id % 1000 = 1 THEN 31 ELSE 0 END AS pos,
+    CASE WHEN j.pos = 3 AND r.event_id % 1300 = 24 THEN 'other-service' WHEN j.pos = 1 THEN '{INTAKE}'
+         WHEN j.pos = 2 THEN '{ENRICHMENT}' ELSE '{FULFILLMENT}' END AS hop_service,
+    CASE WHEN j.pos = 3 AND r.event_id % 1300 = 25 THEN 'other.topic' WHEN j.pos = 1 THEN '{PLACED}'
+         WHEN j.pos = 2 THEN '{ENRICHED}' ELSE '{FULFILLED}' END AS hop_topic,
     CASE WHEN j.pos = r.stage THEN r.event_ms
-         ELSE b.origin_ms + (j.pos - 1) * (200 + (r.event_id * 7919) % 4000) END AS hop_ms
-  FROM (SELECT *, {_STAGE} AS stage FROM produce) r
-  JOIN b ON b.event_id = r.event_id
-  JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3) j ON j.pos <= r.stage
+         WHEN j.pos = 1 AND r.stage = 3 AND r.event_id % 1300 = 26 THEN r.event_ms + 1000
+         ELSE r.origin_ms + (j.pos - 1) * (200 + (r.event_id * 7919) % 4000) END AS hop_ms
+  FROM staged r JOIN (SELECT 1 AS pos UNION ALL SELECT 2 UNION ALL SELECT 3) j ON j.pos <= r.stage
+  UNION ALL
+  SELECT r.*, k.pos, '{INTAKE}', '{PLACED}', r.origin_ms - (32 - k.pos)
+  FROM staged r JOIN (SELECT unnest(range(1, 32)) AS pos) k ON r.stage = 1 AND r.event_id % 1000 = 1
 )"""
 
 _ALL_STEPS = """steps AS (
@@ -198,6 +208,10 @@ def _path(rows: str, order: str) -> str:
     return f"SELECT *, row_number() OVER (PARTITION BY trace_id ORDER BY event_ms, {order}) AS pos FROM ({rows})"
 
 
+def _wrong(remainder: int) -> str:
+    return f"count(*) FILTER (WHERE s = 3 AND event_id % 1300 = {remainder})"
+
+
 def _trails() -> dict[str, str]:
     path = _path(
         """SELECT trace_id, event_ms, this_service AS service, this_topic AS topic, hop_count FROM produce""",
@@ -213,7 +227,9 @@ def _trails() -> dict[str, str]:
              substr(digest, 5, 15)) AS new_id
       FROM WITH_PLACED p JOIN b ON b.event_id = p.event_id
     )"""
-    old_hop = f"concat('{INTAKE}>{PLACED}>', CAST(event_ms AS VARCHAR), ',')"
+    old_hop = f"""concat(CASE WHEN event_id % 1000 = 1 THEN list_aggregate(list_transform(range(2, 32), lambda k:
+      concat('{INTAKE}>{PLACED}>', CAST(origin_ms - (32 - k) AS VARCHAR), ',')), 'string_agg', '') ELSE '' END,
+      '{INTAKE}>{PLACED}>', CAST(event_ms AS VARCHAR), ',')"""
     return {
         "id_time": _query(
             "SELECT DISTINCT trace_id, b.origin_ms AS id_ms FROM produce JOIN b ON b.event_id = produce.event_id"
@@ -236,18 +252,22 @@ def _trails() -> dict[str, str]:
         ),
         "trail_hops": _query(
             """SELECT kafka_topic, CAST(event_id % 6 AS INTEGER) AS kafka_partition, event_id AS kafka_offset,
-               trace_id, CAST(pos AS INTEGER) AS pos, hop_service AS service, hop_topic AS topic,
-               hop_ms AS ts_ms, hop_count >= 32 AS truncated FROM hops""",
+               CASE WHEN stage = 3 AND event_id % 1300 = 21
+                 THEN concat(substr(trace_id, 1, 13), 'f', substr(trace_id, 15)) ELSE trace_id END AS trace_id,
+               CAST(pos AS INTEGER) AS pos, hop_service AS service, hop_topic AS topic,
+               hop_ms AS ts_ms, event_id % 1000 = 1 AS truncated FROM hops""",
             _HOPS,
         ),
         "trail_violations": _query(
-            f"""SELECT kafka_topic, count(*) AS trails, CAST(0 AS BIGINT) AS id_differs,
-               count(*) FILTER (WHERE origin_ts = 'bad') AS origin_ts_differs,
-               CAST(0 AS BIGINT) AS origin_service_differs, CAST(0 AS BIGINT) AS pipeline_differs,
-               CAST(0 AS BIGINT) AS service_differs, CAST(0 AS BIGINT) AS topic_differs,
-               count(*) FILTER (WHERE hop_count <> {_STAGE}) AS hop_count_differs,
-               CAST(0 AS BIGINT) AS backwards, CAST(0 AS BIGINT) AS id_time_differs
-               FROM produce GROUP BY 1"""
+            f"""SELECT kafka_topic, count(*) AS trails, {_wrong(21)} AS id_differs,
+               count(*) FILTER (WHERE origin_ts = 'bad' OR (s = 3 AND event_id % 1300 = 22)) AS origin_ts_differs,
+               {_wrong(23)} AS origin_service_differs,
+               count(*) FILTER (WHERE s = 2 AND event_id % 900 = 17) AS pipeline_differs,
+               {_wrong(24)} AS service_differs, {_wrong(25)} AS topic_differs,
+               count(*) FILTER (WHERE coalesce(hop_count <> s, TRUE) AND NOT (s = 1 AND event_id % 1000 = 1))
+                 AS hop_count_differs,
+               {_wrong(26)} AS backwards, {_wrong(22)} AS id_time_differs
+               FROM (SELECT *, {_STAGE} AS s FROM produce) GROUP BY 1"""
         ),
         "untagged_trail_records": _query(
             """SELECT kafka_topic, count(*) AS records FROM raw
@@ -267,7 +287,8 @@ def _trails() -> dict[str, str]:
                 CASE WHEN trace_id IS NULL THEN '{ENRICHMENT}' ELSE origin_service END AS origin_service,
                 CASE WHEN trace_id IS NULL THEN 'orders' ELSE pipeline END AS pipeline,
                 '{ENRICHMENT}' AS this_service, '{ENRICHED}' AS this_topic,
-                CAST(CASE WHEN trace_id IS NULL THEN 1 ELSE 2 END AS INTEGER) AS hop_count,
+                CAST(CASE WHEN trace_id IS NULL THEN 1 WHEN event_id % 1000 = 1 THEN 32 ELSE 2 END AS INTEGER)
+                  AS hop_count,
                 event_id, '{ENRICHED}' AS kafka_topic,
                 concat(CASE WHEN trace_id IS NULL THEN '' ELSE {old_hop} END,
                        '{ENRICHMENT}>{ENRICHED}>', CAST(sent_ms AS VARCHAR)) AS hops,

@@ -18,7 +18,7 @@ from hoptrail.streaming.watermarks import watermark_each, with_watermark
 from tests.records import START, frame, record
 
 SEVEN = [name for name in schemas.REPORTS if name != "trace_rca_1m"]
-FLUSH = START + 86_400_000
+FLUSH = START + 4 * 86_400_000
 
 
 def add_file(df, folder):

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -48,6 +49,78 @@ def answers(alerts: DataFrame, open_model: Callable[[], Model], parallelism: int
     return dealt.mapInPandas(annotate, schemas.REPORTS["trace_rca_1m"])
 
 
+# How long one alert may keep its task: attempts, and seconds before the second one,
+# doubled each time.
+ATTEMPTS, FIRST_WAIT = 3, 1.0
+ASKED_AT_ONCE = 16
+TRIED = "root_cause string, failure string"
+
+
+def patiently(model: Model, asked: list[str], attempts: int, first_wait: float) -> tuple[list, str | None]:
+    """Answers, or none and the last error after so many attempts."""
+    for attempt in range(attempts):
+        try:
+            found = model(asked)
+            if len(found) != len(asked):
+                raise ValueError(f"{len(found)} answers to {len(asked)} prompts")
+            return list(found), None
+        except Exception as error:  # whatever a model client raises
+            failure = f"{type(error).__name__}: {error}"
+            if attempt + 1 < attempts:
+                time.sleep(first_wait * 2**attempt)
+    return [None] * len(asked), failure
+
+
+def tried(
+    alerts: DataFrame,
+    open_model: Callable[[], Model],
+    parallelism: int = PARALLELISM,
+    attempts: int = ATTEMPTS,
+    first_wait: float = FIRST_WAIT,
+    at_once: int = ASKED_AT_ONCE,
+) -> DataFrame:
+    """Every alert with its ``root_cause`` or, if the model failed for it again and
+    again, the ``failure``; the job goes on. Alerts with the same prompt meet in one
+    task, and a batch asks each prompt once, ``at_once`` of them together; a group
+    that fails is asked again one by one, so one bad prompt fails alone."""
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in alerts.schema)
+
+    def annotate(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        model = open_model()
+        for batch in batches:
+            answer, failure = {}, {}
+            waiting = batch["_prompt"].dropna().unique().tolist()
+            for first in range(0, len(waiting), at_once):
+                part = waiting[first : first + at_once]
+                found, error = patiently(model, part, attempts, first_wait)
+                for prompt, one in zip(part, found):
+                    if error is not None and len(part) > 1:
+                        (one,), failure[prompt] = patiently(model, [prompt], attempts, first_wait)
+                    elif error is not None:
+                        failure[prompt] = error
+                    answer[prompt] = one
+            yield batch.drop(columns="_prompt").assign(
+                root_cause=batch["_prompt"].map(answer).astype(object).where(batch["_prompt"].notna(), None),
+                failure=batch["_prompt"].map(failure).astype(object).where(batch["_prompt"].notna(), None),
+            )
+
+    dealt = alerts.withColumn("_prompt", prompt()).repartition(parallelism, F.coalesce("_prompt", "trace_id"))
+    return dealt.mapInPandas(annotate, f"{schema}, {TRIED}")
+
+
+def answered(rows: DataFrame) -> DataFrame:
+    """The report of the alerts that were tried without a failure."""
+    columns = schemas.REPORTS["trace_rca_1m"].names
+    return rows.where("failure is null").withColumn(
+        "root_cause", F.when(acceptable(), F.col("root_cause"))
+    ).select(columns)
+
+
+def failed(rows: DataFrame) -> DataFrame:
+    """The alerts still without an answer, as alerts, with what went wrong."""
+    return rows.where("failure is not null").drop("root_cause")
+
+
 def root_causes(alerts: DataFrame, open_model: Callable[[], Model], parallelism: int = PARALLELISM) -> DataFrame:
     """The answers that keep to the requested form; the others become null."""
     return answers(alerts, open_model, parallelism).withColumn(

@@ -11,7 +11,7 @@ from hoptrail import wire
 from hoptrail.functions.ids import id_origin_ms
 from hoptrail.functions.headers import header_text
 from hoptrail.functions.windows import event_ms, floor_ms, tumble
-from hoptrail.operators import annotate, meters, percentiles, relay, reports, stuck, trails, views
+from hoptrail.operators import annotate, distincts, meters, percentiles, relay, reports, stuck, trails, views
 from hoptrail.plans import questions, replays
 from hoptrail.session import scratch_path
 from hoptrail.sources import files
@@ -49,10 +49,7 @@ def _rounded(df: DataFrame) -> DataFrame:
 
 
 def _records(spark: SparkSession, folder: str, with_trail: bool = False) -> DataFrame:
-    """Raw records: those written before, if the session names their folder, or else
-    derived from ``events``."""
-    written = spark.conf.get("hoptrail.records", None)
-    return spark.read.parquet(written) if written else raw_records(spark, folder, with_trail)
+    return raw_records(spark, folder, with_trail)
 
 
 def _raw(query: Callable[[DataFrame], DataFrame], with_trail: bool = False) -> Query:
@@ -173,6 +170,29 @@ def _dated_path(spark: SparkSession, folder: str) -> DataFrame:
     return trails.trace_path(views.produced(days))
 
 
+def _distinct_across_days(produce: DataFrame) -> DataFrame:
+    """Traces per pipeline over all days, and whether the sketches say the same."""
+    sketches = distincts.trace_sketches(produce)
+    found = distincts.distinct_traces(sketches, ["pipeline"]).withColumnRenamed("distinct_traces", "estimated")
+    exact = produce.groupBy("pipeline", "trace_id").agg(F.lit(1).alias("one")).groupBy("pipeline").agg(
+        F.count("one").alias("distinct_traces")
+    )
+    near = distincts.within_error("estimated", "distinct_traces", "distinct_traces").alias("near")
+    same = F.col("e.pipeline").eqNullSafe(F.col("s.pipeline"))
+    joined = exact.alias("e").join(found.alias("s"), same)
+    return joined.select("e.pipeline", "distinct_traces", near)
+
+
+def _lost_across_days(produce: DataFrame) -> DataFrame:
+    """Traces lost between topics over all days, and whether the sketches say the same."""
+    found = distincts.lost_between(distincts.trace_sketches(produce)).withColumnsRenamed(
+        {"traces": "estimated", "lost": "estimated_lost"}
+    )
+    joined = questions.lost_between(produce).join(found, ["from_topic", "to_topic"])
+    near = distincts.within_error("estimated", "traces", "traces") & distincts.within_error("estimated_lost", "lost", "traces")
+    return joined.select("from_topic", "to_topic", "traces", "lost", near.alias("near"))
+
+
 HOP_DIMS = ["pipeline", "origin_service", "this_topic"]
 EDGE_DIMS = ["pipeline", "origin_service", "this_service", "this_topic"]
 CONSUME_DIMS = ["pipeline", "consumer_service", "this_topic"]
@@ -278,6 +298,8 @@ QUERIES: dict[str, Query] = {
     "l28_trace_journey": _signals(trails.trace_journey),
     "l29_audit": _signals(questions.audit),
     "l30_correlated": _correlated,
+    "l12_traces_across_days": _produce(_distinct_across_days),
+    "l15_lost_across_days": _produce(_lost_across_days),
     # The same asked of streams that work off the stored records.
     "stuck_trace_replayed": _raw(replays.stuck),
     "k12_silent_services_replayed": _raw(replays.silent),

@@ -12,7 +12,7 @@ from hoptrail.operators import annotate, percentiles, reports, stuck
 from hoptrail.operators.views import produced, signals
 from hoptrail.session import scratch_path
 from hoptrail.sources import files
-from hoptrail.streaming import sinks
+from hoptrail.streaming import fates, liveness, sinks, spells
 from hoptrail.streaming.watermarks import with_watermark
 
 
@@ -91,6 +91,47 @@ def start_streams(
     return start_report_streams(signals(with_watermark(raw, delay)), folder, checkpoints, **options)
 
 
+def start_kafka_reports(
+    signal_rows: DataFrame,
+    servers: str,
+    checkpoints: str,
+    percentile_method: str = "kll",
+    every: str | None = wire.CHECKPOINT_EVERY,
+) -> list[StreamingQuery]:
+    """All reports over watermarked decoded records, each to its own topic."""
+    return [
+        sinks.start_report_to_kafka(report, name, servers, f"{checkpoints}/kafka-{name}", every)
+        for name, report in report_frames(signal_rows, percentile_method).items()
+    ]
+
+
+def start_watch_streams(
+    signal_rows: DataFrame,
+    folder: str,
+    checkpoints: str | None = None,
+    every: str | None = wire.CHECKPOINT_EVERY,
+) -> list[StreamingQuery]:
+    """What the reports do not tell, over watermarked decoded records: silent and new
+    services, completions, and stuck traces exact on replay, each to its own table."""
+    produce = produced(signal_rows)
+    frames = {
+        "silent_services": liveness.silent_services(produce),
+        "new_services": liveness.new_services(produce),
+        "completions": fates.completions(signal_rows),
+        "stuck_spells": spells.stuck_spells(produce),
+    }
+    return [
+        sinks.start_append(
+            frame,
+            name,
+            f"{folder}/{name}",
+            f"{checkpoints}/{name}" if checkpoints else sinks.checkpoint_folder(folder, name),
+            every,
+        )
+        for name, frame in frames.items()
+    ]
+
+
 def start_landed_streams(
     raw: DataFrame,
     folder: str,
@@ -111,6 +152,32 @@ def start_landed_streams(
     return [landing, *start_report_streams(rows, folder, checkpoints, percentile_method, every)]
 
 
+def start_patient_annotation(
+    spark: SparkSession,
+    folder: str,
+    open_model: Callable[[], annotate.Model],
+    every: str | None = wire.CHECKPOINT_EVERY,
+    **patience,
+) -> list[StreamingQuery]:
+    """The same, past a model that fails: what was tried goes to one table, each alert
+    once, and two streams follow it, to the causes and to the alerts that failed."""
+    alerts = sinks.read_report(spark, folder, "stuck_trace_alerts_1m", stream=True)
+    asked = annotate.tried(alerts, open_model, **patience)
+    started = []
+
+    def start(name: str, frame: DataFrame) -> None:
+        query = sinks.start_append(frame, name, f"{folder}/{name}", sinks.checkpoint_folder(folder, name), every)
+        if not every:
+            query.awaitTermination()
+        started.append(query)
+
+    start("trace_rca_tried", asked)
+    rows = spark.readStream.schema(asked.schema).parquet(f"{folder}/trace_rca_tried")
+    start("trace_rca_1m", annotate.answered(rows))
+    start("trace_rca_failed", annotate.failed(rows))
+    return started
+
+
 def start_annotation(
     spark: SparkSession,
     folder: str,

@@ -59,25 +59,38 @@ def start_report(
     return start_append(report, name, f"{folder}/{name}", checkpoint or checkpoint_folder(folder, name), every)
 
 
+# Named here so that a test can put another sink in its place.
+KAFKA = "kafka"
+
+
+def start_records(
+    records: DataFrame, name: str, servers: str, checkpoint: str, every: str | None = wire.CHECKPOINT_EVERY
+) -> StreamingQuery:
+    """Send a stream of records (``topic``, ``value`` and, if there, ``key`` and
+    ``headers``) to Kafka, each at least once."""
+    trigger = {"processingTime": every} if every else {"availableNow": True}
+    return (
+        records.writeStream.queryName(name)
+        .outputMode("append")
+        .format(KAFKA)
+        .option("kafka.bootstrap.servers", servers)
+        .option("includeHeaders", str("headers" in records.columns).lower())
+        .option("checkpointLocation", checkpoint)
+        .trigger(**trigger)
+        .start()
+    )
+
+
 def start_report_to_kafka(
     report: DataFrame,
     name: str,
     servers: str,
     checkpoint: str,
-    every: str = wire.CHECKPOINT_EVERY,
+    every: str | None = wire.CHECKPOINT_EVERY,
 ) -> StreamingQuery:
     """Append a streaming report to its topic, each row at least once."""
     schemas.conform(report, schemas.REPORTS[name])
-    return (
-        report_records(report, name)
-        .writeStream.queryName(name)
-        .outputMode("append")
-        .format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every)
-        .start()
-    )
+    return start_records(report_records(report, name), name, servers, checkpoint, every)
 
 
 def write_report(report: DataFrame, name: str, folder: str) -> None:

@@ -37,16 +37,9 @@ def run_stage_to_kafka(
     servers: str,
     checkpoint: str,
     marker_topic: str = wire.MARKER_TOPIC,
-    every: str = wire.CHECKPOINT_EVERY,
+    every: str | None = wire.CHECKPOINT_EVERY,
 ) -> StreamingQuery:
-    """The same to Kafka topics, keys and headers included, at least once."""
-    return (
-        kafka.stage_records(stage_output(raw, service, out_topic, marker_topic))
-        .writeStream.queryName(f"stage-{service}")
-        .format("kafka")
-        .option("kafka.bootstrap.servers", servers)
-        .option("includeHeaders", "true")
-        .option("checkpointLocation", checkpoint)
-        .trigger(processingTime=every)
-        .start()
-    )
+    """The same to Kafka topics, keys and headers included, at least once; a stage that
+    reads them can drop the repeats with :mod:`hoptrail.streaming.once`."""
+    sent = kafka.stage_records(stage_output(raw, service, out_topic, marker_topic))
+    return sinks.start_records(sent, f"stage_{service}".replace("-", "_"), servers, checkpoint, every)

@@ -561,6 +561,17 @@ def _questions() -> dict[str, str]:
             _STUCK,
             unfinished,
         ),
+        "l12_traces_across_days": _query(
+            """SELECT pipeline, count(DISTINCT trace_id) AS distinct_traces, TRUE AS near FROM produce GROUP BY 1"""
+        ),
+        "l15_lost_across_days": _query(
+            f"""SELECT f.topic AS from_topic, f.next AS to_topic, count(*) AS traces,
+                count(*) FILTER (WHERE NOT EXISTS (
+                  SELECT 1 FROM produce n WHERE n.trace_id = f.trace_id AND n.this_topic = f.next)) AS lost, TRUE AS near
+                FROM (SELECT DISTINCT trace_id, this_topic AS topic,
+                        CASE this_topic WHEN '{PLACED}' THEN '{ENRICHED}' ELSE '{FULFILLED}' END AS next
+                      FROM produce WHERE this_topic <> '{FULFILLED}') f GROUP BY 1, 2"""
+        ),
         "l30_correlated": _query(
             """SELECT t.event_id, t.trace_id, t.records, t.last_ms, e.user_id, e.event_type
                FROM (SELECT event_id, trace_id, count(*) AS records, max(event_ms) AS last_ms

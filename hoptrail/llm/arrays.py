@@ -17,6 +17,8 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
+from hoptrail.llm.workers import forget
+
 PIECE_BYTES = 1 << 19
 
 _U = np.uint64
@@ -43,6 +45,7 @@ class Piece:
 
 
 def pieces(texts: pa.Array | pa.ChunkedArray, most: int = PIECE_BYTES) -> Iterator[Piece]:
+    forget()
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
     texts = pc.fill_null(texts, "")

@@ -25,15 +25,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hoptrail.llm.workers import ship
+from hoptrail.llm.workers import held, ship
 
 MOST_KNOWN = 400_000
 MOST_KNOWN_BYTES = 64
 BATCH_ROWS = 64
 
-
-
-
 _BITS = [1 << i for i in range(64)]
 
 
@@ -168,16 +165,10 @@ class Tokenizer:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
 
-_TOKENIZERS: dict[tuple[int, str], Tokenizer] = {}
-
-
 def tokenizer(lines: bytes, pattern: str) -> Tokenizer:
-    """One tokenizer per worker and rank table, with what it has learnt so far."""
-    key = (hash(lines), pattern)
-    if key not in _TOKENIZERS:
-        _TOKENIZERS.clear()
-        _TOKENIZERS[key] = Tokenizer(read_ranks(lines), pattern)
-    return _TOKENIZERS[key]
+    """One tokenizer per worker and rank table, with what it has learnt so far, until
+    the worker turns to another operator."""
+    return held(("tokenizer", hash(lines), pattern), lambda: Tokenizer(read_ranks(lines), pattern))
 
 
 def encode_texts(docs: DataFrame, rank_file: str, pattern: str, keep: list[str], with_ids: bool = False) -> DataFrame:

@@ -39,6 +39,7 @@ SEGMENT = 128
 SEGMENTS_AT_ONCE = 2_048
 FITTING_ROWS = 300
 FITTING_SEGMENTS = 8
+SALTS = 32
 PASSES = 3
 BATCH = 128
 RATE, DECAY, SQUARES_DECAY, LONGEST_STEP = 0.015, 0.9, 0.999, 1.0
@@ -248,9 +249,13 @@ def training_rows(docs: DataFrame, most: int) -> DataFrame:
     """``doc_id``, ``lang`` and ``text`` of at most ``most`` documents per language."""
     allowed = (remainder("doc_id", FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & (F.length("text") > 0)
     usable = docs.select("doc_id", "lang", "text").where(allowed)
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
-    picked = usable.select("doc_id", "lang").distinct().withColumn("nth", F.row_number().over(order))
-    picked = spool(picked.where(F.col("nth") <= most).drop("nth"))
+    order = (F.xxhash64("doc_id"), "doc_id")
+    picked = usable.select("doc_id", "lang").distinct().withColumn("salt", F.pmod("doc_id", F.lit(SALTS)))
+    # The first of each salt, then the first of all: a common language is no single task.
+    for dims in (("lang", "salt"), ("lang",)):
+        nth = F.row_number().over(Window.partitionBy(*dims).orderBy(*order))
+        picked = picked.withColumn("nth", nth).where(F.col("nth") <= most).drop("nth")
+    picked = spool(picked.drop("salt"))
     return usable.join(F.broadcast(picked), ["doc_id", "lang"]).groupBy("doc_id", "lang").agg(F.min("text").alias("text"))
 
 

@@ -138,6 +138,13 @@ def sketches(docs: DataFrame, words: int) -> DataFrame:
     )
 
 
+def parts(batches: Iterator[pa.RecordBatch], most: int = 1024) -> Iterator[pa.RecordBatch]:
+    """Batches of a few rows, which keeps the matrices made of them small."""
+    for batch in batches:
+        for first in range(0, batch.num_rows, most):
+            yield batch.slice(first, most)
+
+
 def _rows(column: pa.Array) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), np.uint16).reshape(-1, REGISTERS)
 
@@ -147,9 +154,7 @@ def bands(classes: DataFrame) -> DataFrame:
     count = REGISTERS // BAND_ROWS
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches):
             rows = _rows(batch.column("registers"))[:, : count * BAND_ROWS].reshape(-1, count, BAND_ROWS)
             key = np.broadcast_to(np.arange(1, count + 1, dtype=_U), rows.shape[:2])
             for i in range(BAND_ROWS):
@@ -181,9 +186,7 @@ def promising(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs whose estimated similarity may reach the threshold."""
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in parts(batches):
             sizes = [batch.column(c).to_numpy().astype(float) for c in ("n_a", "n_b")]
             found = likely_similarity(_rows(batch.column("r_a")), _rows(batch.column("r_b")), *sizes)
             yield batch.select(["a", "b"]).filter(pa.array(found >= percent / 100 - MARGIN))

@@ -1,9 +1,12 @@
 """Personal data: fixed patterns, and contextual patterns bootstrapped from them.
 
 The fixed patterns find e-mail addresses, IP addresses, payment cards and phone
-numbers. These are the seeds. Every identifier-like word (one with a digit or an at
-sign) is an instance; the two words before it, or the word before and the word
-after, are its lexical patterns. One word will do for the first where a text begins
+numbers. These are the seeds, and long mixed strings of letters and digits are seeds
+of the kind ``secret``, which are no personal data yet: only a confident pattern
+makes them so. Every identifier-like word (one with a digit or an at
+sign) is an instance. Its lexical patterns are the two words before it; the word
+before and the word after; a label before it (``Badge:``); the word before with the
+shape of the instance. One word will do for the first where a text begins
 or an identifier stands before it; an identifier is itself the word only where no
 other is between, and an address then counts as ``@``. The graph of patterns and instances is scored in
 turns: a pattern by the share of its instances that are known to be of its kind, an
@@ -29,6 +32,9 @@ from pyspark.sql import functions as F
 from hoptrail.llm.spool import spool
 
 KINDS = ("email", "ip", "card", "phone")
+SECRET = "secret"
+SECRET_FORM = "^(?=[^0-9]*[0-9])(?=[^A-Za-z]*[A-Za-z])[A-Za-z0-9_+/-]{24,}$"
+MOST_SHAPE = 40
 LEAST_CONFIDENCE = 0.8
 LEAST_SEEDS = 5
 PRIOR = 1.0
@@ -44,12 +50,13 @@ PATTERNS = {
 }
 _HINTS = {"email": "@", "phone": "+"}
 _SPACE = r"\x20\x09-\x0D"
+# Of a gap between identifiers, the characters next to one that are looked at; a word
+# longer than that is cut in a pattern.
+BEFORE, AFTER = 100, 60
 _BLANKS = "\x20\x09\x0a\x0b\x0c\x0d"
 IDENTIFIER = rf"(?<![^{_SPACE}])[^{_SPACE}0-9@]*+[0-9@][^{_SPACE}]*+"
 
 
-
-
 def _literal(pattern: str) -> str:
     return "r'" + pattern.replace("'", "\\'") + "'"
 
@@ -98,17 +105,17 @@ def fixed_spans(docs: DataFrame) -> DataFrame:
     last_two, last = rf"(?:[^{_SPACE}]+[{_SPACE}]+)?[^{_SPACE}]+$", rf"[^{_SPACE}]+$"
     ends = {
         side: f"lower({cut}(trim({side} {_literal(_BLANKS)} from %s), {n}))"
-        for side, cut, n in (("trailing", "right", 100), ("leading", "left", 60))
+        for side, cut, n in (("trailing", "right", BEFORE), ("leading", "left", AFTER))
     }
     other = "if(contains(get(_m_words, %s), '@'), '@', lower(%s(get(_m_words, %s), %s)))"
     context = f""", 'before', if(trim(both {_literal(_BLANKS)} from _g_words[i - 1]) <> '',
             regexp_extract({ends["trailing"] % "_g_words[i - 1]"}, {_literal(last_two)}, 0),
             if(i = 1, '', concat(
                 regexp_extract({ends["trailing"] % "get(_g_words, i - 2)"}, {_literal(last)}, 0), ' ',
-                {other % ("i - 2", "right", "i - 2", 100)}))),
+                {other % ("i - 2", "right", "i - 2", BEFORE)}))),
         'after', if(trim(both {_literal(_BLANKS)} from _g_words[i]) <> '',
             regexp_extract({ends["leading"] % "_g_words[i]"}, {_literal(rf"^[^{_SPACE}]+")}, 0),
-            if(i = size(_m_words), '', {other % ("i", "left", "i", 60)}))"""
+            if(i = size(_m_words), '', {other % ("i", "left", "i", AFTER)}))"""
     places = {k: _places(f"_m_{k}", f"_g_{k}", context if k == "words" else "") for k in (*KINDS, "words")}
     empty = "cast(array() as array<struct<start:int,end:int,text:string>>)"
     found = found.selectExpr(
@@ -135,15 +142,22 @@ def occurrences(found: DataFrame) -> DataFrame:
     lead = "length(regexp_extract(w.text, '^[^A-Za-z0-9]*', 0))"
     core = "regexp_replace(w.text, '^[^A-Za-z0-9]+|(?<![^A-Za-z0-9])[^A-Za-z0-9]+$', '')"
     one = rf"regexp_extract(w.before, {_literal(rf'[^{_SPACE}]+$')}, 0)"
-    rows = found.selectExpr("_row", *(f"_{k}" for k in KINDS), "explode(_words) as w").selectExpr(
-        "_row",
-        f"{seed} as seed",
-        f"{core} as instance",
-        f"w.start + {lead} as start",
-        f"""filter(array(
-            if(w.before = '', null, concat('before ', regexp_replace(trim(w.before), {_literal(f"[{_SPACE}]+")}, ' '))),
-            if({one} = '' or w.after = '', null, concat('around ', {one}, ' ', w.after))),
-            p -> p is not null) as patterns""",
+    shape = "regexp_replace(regexp_replace(instance, '[0-9]', '9'), '[A-Za-z]', 'a')"
+    rows = (
+        found.selectExpr("_row", *(f"_{k}" for k in KINDS), "explode(_words) as w")
+        .selectExpr("*", f"{core} as instance", f"{one} as last")
+        .selectExpr(
+            "_row",
+            f"coalesce({seed}, if(instance rlike {_literal(SECRET_FORM)}, '{SECRET}', null)) as seed",
+            "instance",
+            f"w.start + {lead} as start",
+            f"""filter(array(
+                if(w.before = '', null, concat('before ', regexp_replace(trim(w.before), {_literal(f"[{_SPACE}]+")}, ' '))),
+                if(last = '' or w.after = '', null, concat('around ', last, ' ', w.after)),
+                if(last rlike '[^:=#].*[:=#]$', concat('label ', last), null),
+                if(last = '' or length(instance) > {MOST_SHAPE}, null, concat('shape ', last, ' ', {shape}))),
+                p -> p is not null) as patterns""",
+        )
     )
     return rows.where("length(instance) >= 4").selectExpr(
         "_row", "seed", "instance", "start", "start + length(instance) as end", "explode(patterns) as pattern"
@@ -200,14 +214,14 @@ def find_personal_data(docs: DataFrame, keep: list[str]) -> DataFrame:
     seen = spool(occurrences(found))
     patterns = confident_patterns(seen)
     more = (
-        seen.where("seed is null")
+        seen.where(f"seed is null or seed = '{SECRET}'")
         .join(patterns.select("pattern", "kind"), "pattern")
         .groupBy("_row", "start", "end")
         .agg(F.min("kind").alias("kind"))
         .groupBy("_row")
         .agg(F.collect_list(F.struct("kind", "start", "end")).alias("_more"))
     )
-    order = f"cast(array_position(array({', '.join(repr(k) for k in KINDS)}), %s.kind) as int)"
+    order = f"cast(array_position(array({', '.join(repr(k) for k in (*KINDS, SECRET))}), %s.kind) as int)"
     ordered = (
         "array_sort(%s, (x, y) -> case "
         f"when {order % 'x'} <> {order % 'y'} then {order % 'x'} - {order % 'y'} "
@@ -229,10 +243,15 @@ def find_personal_data(docs: DataFrame, keep: list[str]) -> DataFrame:
 
 
 def span_columns(found: DataFrame) -> DataFrame:
-    """Counts and digests of the spans of each document."""
+    """Counts and digests of the spans of each document; ``n_context`` counts those
+    that the patterns add."""
     counts = [f"cast(size(filter(base, s -> s.kind = '{k}')) as bigint) as n_{k}" for k in KINDS]
     return found.selectExpr(
-        "doc_id", *counts, f"sha2({_listed('base')}, 256) as base_sha256", f"{_listed('spans')} as spans"
+        "doc_id",
+        *counts,
+        f"sha2({_listed('base')}, 256) as base_sha256",
+        f"{_listed('spans')} as spans",
+        "cast(size(spans) - size(base) as bigint) as n_context",
     )
 
 

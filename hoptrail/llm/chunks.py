@@ -33,7 +33,7 @@ from hoptrail.llm.spool import passing, spool
 from hoptrail.llm.workers import ship
 
 MASK_BITS = 5
-LEAST_CHUNK = 16
+LEAST_CHUNK = 64
 MOST_CHUNK = 256
 WINDOW = 32
 

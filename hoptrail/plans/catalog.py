@@ -170,6 +170,16 @@ def _dated_path(spark: SparkSession, folder: str) -> DataFrame:
     return trails.trace_path(views.produced(days))
 
 
+def _looked_up(spark: SparkSession, folder: str) -> DataFrame:
+    """Everything that happened to the first trace with 32 hops, read off a compacted
+    table of all days by its id."""
+    landing, compacted = scratch_path(spark, "landed"), scratch_path(spark, "compacted")
+    files.land(_records(spark, folder), landing)
+    table = files.compact(files.read_landed(spark, landing), compacted, "1970-01-01", "9999-12-31")
+    wanted = table.where(F.col("hop_count") == wire.MAX_HOPS).agg(F.min("trace_id")).first()[0]
+    return trails.trace_journey(files.trace_records(table, wanted or "0" * 32))
+
+
 def _distinct_across_days(produce: DataFrame) -> DataFrame:
     """Traces per pipeline over all days, and whether the sketches say the same."""
     sketches = distincts.trace_sketches(produce)
@@ -294,6 +304,7 @@ QUERIES: dict[str, Query] = {
     "l23_stuck_rate": _produce(lambda p: questions.stuck_rate_around(p, DEPLOY)),
     "l24_stuck_breakdown": _produce(questions.stuck_breakdown, "kafka_partition"),
     "l26_dated_path": _dated_path,
+    "l26_one_trace": _looked_up,
     "l27_missed_services": _produce(questions.missed_services),
     "l28_trace_journey": _signals(trails.trace_journey),
     "l29_audit": _signals(questions.audit),

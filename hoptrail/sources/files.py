@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -62,6 +64,49 @@ def land(raw: DataFrame, folder: str, mode: str = "overwrite", tasks_per_day: in
     dealt.write.mode(mode).partitionBy("event_date").parquet(folder)
 
 
+# What makes a file of landed records quick to search for one trace: records lie in
+# order of their trace, so most row groups are ruled out by their bounds, and a Bloom
+# filter per row group rules out the rest.
+LOOKUP = {
+    "parquet.bloom.filter.enabled#trace_id": "true",
+    "parquet.bloom.filter.expected.ndv#trace_id": "500000",
+    "parquet.block.size": str(16 << 20),
+}
+
+
+def compact(
+    landed: DataFrame, folder: str, first: str, last: str, tasks_per_day: int = 16
+) -> DataFrame:
+    """Rewrite the given landed days, however many small files a stream left of them,
+    into ``tasks_per_day`` files each, clustered by trace; gives the compacted table.
+    Days already there are replaced as a whole, others are left alone."""
+    days = landed_days(landed, first, last)
+    part = F.pmod(F.xxhash64("trace_id"), F.lit(tasks_per_day))
+    (
+        days.repartition("event_date", part)
+        .sortWithinPartitions("event_date", "trace_id")
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .options(**LOOKUP)
+        .partitionBy("event_date")
+        .parquet(folder)
+    )
+    return read_landed(landed.sparkSession, folder)
+
+
+def trace_records(landed: DataFrame, trace_id: str, days: int = 1) -> DataFrame:
+    """The landed records of one trace. Its id tells the moment it began, so only that
+    day and ``days`` more are looked at, and the day before for clocks that are behind.
+    An id that tells no time is looked for on all days."""
+    own = landed.where(F.col("trace_id") == trace_id)
+    try:
+        began = dt.datetime.fromtimestamp(int(trace_id[:12], 16) / 1000, dt.timezone.utc).date()
+        first, last = began - dt.timedelta(days=1), began + dt.timedelta(days=days)
+    except (ValueError, OverflowError):
+        return own
+    return own.where(F.col("event_date").between(F.lit(first), F.lit(last)))
+
+
 def start_landing(
     raw: DataFrame, folder: str, checkpoint: str, every: str | None = wire.CHECKPOINT_EVERY
 ) -> StreamingQuery:

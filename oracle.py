@@ -280,6 +280,12 @@ def _trails() -> dict[str, str]:
                 JOIN b USING (event_id)
                 WHERE q.event_ms >= epoch_ms(DATE '2024-01-01') AND q.event_ms < epoch_ms(DATE '2024-01-02')"""
         ),
+        "l26_one_trace": _query(
+            "SELECT * FROM ("
+            + _path("FROM steps", "hop_count, step, topic, service")
+            + ") WHERE trace_id = (SELECT min(trace_id) FROM produce WHERE hop_count = 32)",
+            _ALL_STEPS,
+        ),
         "l28_trace_journey": _query(_path("FROM steps", "hop_count, step, topic, service"), _ALL_STEPS),
         "relay_output": _query(
             f"""SELECT coalesce(trace_id, new_id) AS trace_id,

@@ -3,6 +3,7 @@ from __future__ import annotations
 import datetime as dt
 import os
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -88,7 +89,7 @@ def test_fan_in_keeps_every_topic(spark):
 def test_derived_records_match_the_raw_schema(spark, small):
     raw = events.raw_records(spark, small).select(*schemas.RAW.names)
     schemas.conform(raw, schemas.RAW)
-    assert raw.where(F.col("event_time") < F.timestamp_millis(F.lit(START))).count() == 0
+    assert raw.where(F.col("event_time") < F.timestamp_millis(F.lit(START - 86_400_000))).count() == 0
 
 
 class ClusterSession:
@@ -109,3 +110,30 @@ def test_only_a_local_session_may_do_without():
     assert folder and session.shared_folder(ClusterSession("local[8]", None)) == folder
     with pytest.raises(ValueError):
         session.shared_folder(ClusterSession("yarn", None))
+
+
+def test_one_trace_reads_its_days_and_few_rows(spark, small, tmp_path):
+    raw = events.raw_records(spark, small)
+    for i in range(3):  # as streams leave them: several files per day
+        files.land(raw.where(F.col("kafka_offset") % 3 == i), f"{tmp_path}/landed", "append", tasks_per_day=4)
+    landed = files.read_landed(spark, f"{tmp_path}/landed")
+    table = files.compact(landed, f"{tmp_path}/compacted", "1970-01-01", "9999-12-31", tasks_per_day=2)
+    assert table.exceptAll(landed).count() == 0 and table.count() == landed.count()
+    days = [d for d in os.listdir(f"{tmp_path}/compacted") if d.startswith("event_date=")]
+    assert len(days) == 3
+    for day in days:
+        written = [f for f in os.listdir(f"{tmp_path}/compacted/{day}") if f.endswith(".parquet")]
+        assert 1 <= len(written) <= 2
+        for name in written:
+            ids = pq.read_table(f"{tmp_path}/compacted/{day}/{name}", columns=["trace_id"]).column(0).to_pylist()
+            assert ids == sorted(ids)
+    one = table.where("event_date = '2024-01-01'").agg(F.max("trace_id")).first()[0]
+    found = files.trace_records(table, one, days=0)
+    assert found.exceptAll(landed.where(F.col("trace_id") == one)).count() == 0 and found.count() > 0
+    scan = [x for x in found._jdf.queryExecution().executedPlan().toString().splitlines() if "FileScan" in x][0]
+    assert "event_date" in scan.split("PartitionFilters")[1].split("]")[0] and f"EqualTo(trace_id,{one})" in scan
+    # A day is replaced as a whole, the others stay.
+    files.compact(landed.where("event_date = '2024-01-01'"), f"{tmp_path}/compacted", "2024-01-01", "2024-01-01")
+    assert files.read_landed(spark, f"{tmp_path}/compacted").count() == landed.count()
+    for odd in ("nonsense", "f" * 32, ""):
+        assert files.trace_records(table, odd).count() == 0

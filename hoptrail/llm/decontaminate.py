@@ -5,10 +5,12 @@ window can only resemble an item if they share a shingle, and sliding it on to i
 first shared shingle loses none, so only windows that start at a shingle of an item
 of their size (or end with the document) are looked at.
 
-Each window gets a 64-bit SimHash of its shingles. The fingerprint is cut into one
-block more than the radius; two fingerprints within the radius agree in a block, so
-a join per block finds all of them. What is within the radius is verified with the
-exact weighted Jaccard similarity of the shingles, weighted by their counts.
+Each window gets a 64-bit SimHash of its shingles. The fingerprint is cut into four
+blocks of 16 bits; two fingerprints within a radius of 15 differ by 3 bits at most in
+one of them. So every item stands under all 697 values near each of its blocks, every
+window under its own four, and a join finds all pairs within the radius, and of other
+pairs some 4 in 100. What is within the radius is verified with the exact weighted
+Jaccard similarity of the shingles, weighted by their counts.
 
 Windows with the same words are compared once, so a passage that a third of all
 documents quote costs no more than one. Everything is built-in functions.
@@ -30,7 +32,7 @@ from hoptrail.llm.spool import only_ids, spool
 SHINGLE_WORDS = 5
 LEAST_SIMILARITY = 0.8
 RADIUS = 15
-BITS = 64
+BITS, BLOCK_BITS = 64, 16
 
 
 def _words(column: str) -> str:
@@ -49,16 +51,25 @@ def _simhash(hashes: str) -> str:
         shiftleft(1L, bit), 0L))"""
 
 
-def _blocks(fingerprint: str, radius: int) -> str:
-    """The fingerprint in radius + 1 blocks, as (number, value)."""
-    cuts = [round(i * BITS / (radius + 1)) for i in range(radius + 2)]
+def _blocks(fingerprint: str) -> str:
+    """The fingerprint in blocks, as (number, value)."""
+    low = (1 << BLOCK_BITS) - 1
     parts = [
-        f"named_struct('block', {i}, 'value', shiftrightunsigned({fingerprint}, {a}) & {(1 << (b - a)) - 1}L)"
-        for i, (a, b) in enumerate(zip(cuts, cuts[1:]))
+        f"named_struct('block', {i}, 'value', shiftrightunsigned({fingerprint}, {i * BLOCK_BITS}) & {low}L)"
+        for i in range(BITS // BLOCK_BITS)
     ]
     return f"inline(array({', '.join(parts)}))"
 
 
+def _near_blocks(table: DataFrame, radius: int) -> DataFrame:
+    """Rows of ``table`` under every value that a block of a fingerprint within the
+    radius has in at least one place."""
+    most = radius // (BITS // BLOCK_BITS)
+    flips = f"filter(sequence(0L, {(1 << BLOCK_BITS) - 1}L), flip -> bit_count(flip) <= {most})"
+    rest = [c for c in table.columns if c != "value"]
+    return table.selectExpr(*rest, f"explode(transform({flips}, flip -> value ^ flip)) as value")
+
+
 def _counted_shingles(words: str, n: int) -> str:
     """The shingles of a word list as a set that keeps their counts: the second and
     later occurrences of a shingle carry their number."""
@@ -100,9 +111,12 @@ def contaminated(
     hit = only_ids(docs.select("doc_id", "text"), spool(starts.select("doc_id")), "doc_id")
     windows = (
         hit.join(starts, "doc_id")
-        .selectExpr("doc_id", f"{_words('text')} as words", "places")
-        .selectExpr("doc_id", "words", "explode(places) as place")
-        .selectExpr("doc_id", "place.at as at", "place.width", "slice(words, place.at + 1, place.width) as words")
+        .selectExpr("doc_id", f"{_words('text')} as all_words", "places")
+        .selectExpr(
+            "doc_id",
+            """inline(transform(places, p -> named_struct(
+                'at', p.at, 'width', p.width, 'words', slice(all_words, p.at + 1, p.width))))""",
+        )
         .where(f"size(words) >= {shingle}")
         .selectExpr("*", "xxhash64(words) as one", "xxhash64(width, words, 1) as two")
     )
@@ -123,9 +137,9 @@ def contaminated(
             f"{_counted_shingles('item_words', shingle)} as sought",
         )
     )
-    blocks = spool(marked.selectExpr("item_id", "width", "item_mark", _blocks("item_mark", radius)))
+    blocks = spool(_near_blocks(marked.selectExpr("item_id", "width", "item_mark", _blocks("item_mark")), radius))
     near = (
-        distinct.selectExpr("one", "two", "width", "mark", _blocks("mark", radius))
+        distinct.selectExpr("one", "two", "width", "mark", _blocks("mark"))
         .join(blocks, ["width", "block", "value"])
         .where(f"bit_count(mark ^ item_mark) <= {radius}")
         .select("one", "two", "width", "item_id")

@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 from collections import Counter, defaultdict
 
 import regex
@@ -81,9 +82,33 @@ def test_changed_passages_and_edges(spark):
     assert decontaminate.contaminated(docs, bench.limit(0)).count() == 0
 
 
-def test_blocks_cover_the_fingerprint(spark):
-    for radius in (3, 7, 15, 20):
-        df = spark.sql(f"select {decontaminate._blocks('-1L', radius)}")
-        rows = df.collect()
-        assert len(rows) == radius + 1
-        assert sum(bin(r["value"]).count("1") for r in rows) == 64
+def test_blocks_find_every_fingerprint_within_the_radius(spark):
+    """Pairs at each distance up to the radius meet in a block; few beyond it do."""
+    rng = random.Random(2)
+    rows = []
+    for i in range(400):
+        mark, far = rng.getrandbits(64), i % 24
+        other = mark
+        for bit in rng.sample(range(64), far):
+            other ^= 1 << bit
+        signed = [x - (1 << 64) if x >> 63 else x for x in (mark, other)]
+        rows.append((i, *signed, far))
+    df = spark.createDataFrame(rows, "item_id int, item_mark long, mark long, far int")
+    items = decontaminate._near_blocks(df.selectExpr("item_id", decontaminate._blocks("item_mark")), decontaminate.RADIUS)
+    windows = df.selectExpr("item_id as own", "far", decontaminate._blocks("mark"))
+    met = windows.join(items, ["block", "value"]).select("own", "item_id", "far").distinct().collect()
+    assert {i for i, _, _, far in rows if far <= decontaminate.RADIUS} <= {r["own"] for r in met if r["own"] == r["item_id"]}
+    assert sum(r["own"] != r["item_id"] for r in met) < 0.06 * 400 * 400
+
+
+def test_a_very_long_text(spark):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(rng.randint(3, 8)))
+    item = [word() for _ in range(40)]
+    text = [word() for _ in range(30_000)]
+    for at in (0, 9_000, 29_960):
+        text[at : at + 40] = item
+    docs = spark.createDataFrame([(1, " ".join(text)), (2, " ".join(text[40:8_000]))], "doc_id long, text string")
+    items = spark.createDataFrame([(7, " ".join(item))], "item_id long, text string")
+    found = decontaminate.contaminated(docs, items).collect()
+    assert [(r["doc_id"], r["item_id"], r["similarity"], r["first_word"]) for r in found] == [(1, 7, 1.0, 0)]

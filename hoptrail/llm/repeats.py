@@ -112,14 +112,25 @@ def suffix_runs(docs: DataFrame, length: int, digit: int) -> DataFrame:
 
 
 def run_bytes(docs: DataFrame, opened: DataFrame, length: int, digit: int) -> DataFrame:
-    """The bytes of the given runs, with the place of their digit."""
+    """The bytes of the given runs, with the place of their digit. The runs of a
+    document meet its text as one list, so only the texts are shuffled, and no bytes
+    but those of the runs asked for leave the task."""
+
+    def keys(row: np.ndarray, first: np.ndarray, last: np.ndarray) -> np.ndarray:
+        place = (first.astype(_U) << _U(32)) + last.astype(_U)
+        return arrays.mix(place + row.astype(_U) * _U(0xD6E8FEB86659FD93))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column("doc_id").to_numpy()
+            ids, lists = batch.column("doc_id").to_numpy(), batch.column("wanted")
+            sought, counts = lists.flatten(), np.diff(lists.offsets.to_numpy())
+            sought = keys(np.arange(len(ids)).repeat(counts), *(sought.field(c).to_numpy() for c in ("first", "last")))
             for piece in arrays.pieces(batch.column("text")):
                 text, place, first, last, _ = anchored_runs(piece, length, digit)
-                begin, data = piece.at[text], piece.data.tobytes()
+                begin = piece.at[text]
+                hit = np.isin(keys(piece.first + text, first - begin, last - begin), sought)
+                text, place, first, last, begin = (x[hit] for x in (text, place, first, last, begin))
+                data = piece.data.tobytes()
                 parts = [data[a : b + length] for a, b in zip(first.tolist(), last.tolist())]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(ids[piece.first + text])]
@@ -128,10 +139,9 @@ def run_bytes(docs: DataFrame, opened: DataFrame, length: int, digit: int) -> Da
                     ["doc_id", "first", "last", "place", "part"],
                 )
 
-    ids = spool(opened.select("doc_id").distinct())
-    texts = only_ids(docs.where("text is not null"), ids, "doc_id")
-    every = texts.mapInArrow(cut, "doc_id long, first int, last int, place int, part binary")
-    return every.join(opened, ["doc_id", "first", "last"])
+    wanted = opened.groupBy("doc_id").agg(F.collect_list(F.struct("first", "last")).alias("wanted"))
+    texts = docs.select("doc_id", "text").where("text is not null").join(wanted, "doc_id")
+    return texts.mapInArrow(cut, "doc_id long, first int, last int, place int, part binary")
 
 
 def _part_hashes(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:

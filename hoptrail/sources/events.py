@@ -17,6 +17,7 @@ from hoptrail.functions.headers import header_list_sql
 from hoptrail.wire import CHAIN, MARKER_TOPIC, STAGE_TOPICS
 
 START_MS = 1704067200000  # 2024-01-01T00:00:00Z
+TASKS_PER_CORE = 2
 
 _STEP_MS = "(200 + (event_id * 7919) % 4000)"
 # Minutes of the day in which the last producing service is down.
@@ -40,11 +41,18 @@ def read_events(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _hops(spark: SparkSession, folder: str) -> DataFrame:
-    """One row per hop a trace makes: ``s`` is the stage, ``k`` counts repeats."""
-    events = read_events(spark, folder).selectExpr(
-        "event_id",
-        f"unix_millis(cast(ts as timestamp)) - {START_MS} as elapsed",
-        "if(event_type = 'error', 'failed', 'success') as status",
+    """One row per hop a trace makes: ``s`` is the stage, ``k`` counts repeats.
+
+    A file is read by as many tasks as it has row groups, often one, and an event becomes
+    five records and more. So the events are dealt out before they do."""
+    events = (
+        read_events(spark, folder)
+        .selectExpr(
+            "event_id",
+            f"unix_millis(cast(ts as timestamp)) - {START_MS} as elapsed",
+            "if(event_type = 'error', 'failed', 'success') as status",
+        )
+        .repartition(TASKS_PER_CORE * spark.sparkContext.defaultParallelism, "event_id")
     )
     return (
         events.selectExpr(
@@ -113,7 +121,12 @@ def raw_records(spark: SparkSession, folder: str, with_trail: bool = False) -> D
         wire.THIS_TOPIC: "this_topic",
         wire.HOP_COUNT: "hop_count",
     }
-    trail = {wire.TRAIL: _trail_sql()} if with_trail else {}
+    # A column of its own: a generator would write the JSON out once to see whether it is
+    # null and once more for the header.
+    trail = {wire.TRAIL: "trail"} if with_trail else {}
+    hops = _hops(spark, folder)
+    if with_trail:
+        hops = hops.selectExpr("*", f"{_trail_sql()} as trail")
     produced = f"""named_struct('value', cast(string(event_id) as binary),
         'key', cast(concat('k', event_id % 100) as binary),
         'headers', {header_list_sql(trail | scalars)},
@@ -123,8 +136,7 @@ def raw_records(spark: SparkSession, folder: str, with_trail: bool = False) -> D
         'headers', {header_list_sql(scalars | {wire.CONSUMER_SERVICE: "next_service"})},
         'ms', sent_ms + 50 + event_id % 300, 'kafka_topic', '{MARKER_TOPIC}')"""
     return (
-        _hops(spark, folder)
-        .selectExpr(
+        hops.selectExpr(
             "event_id",
             "status",
             f"explode(array({produced}, if(event_id % 40 = 2, null, {marker}))) as record",

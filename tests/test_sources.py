@@ -92,6 +92,14 @@ def test_derived_records_match_the_raw_schema(spark, small):
     assert raw.where(F.col("event_time") < F.timestamp_millis(F.lit(START - 86_400_000))).count() == 0
 
 
+def test_records_are_derived_by_many_tasks_and_trails_written_once(spark, small):
+    one = events.read_events(spark, small).rdd.getNumPartitions()
+    raw = events.raw_records(spark, small, with_trail=True)
+    assert raw.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism > one
+    plan = raw.select("headers")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("StructsToJson") == 1
+
+
 class ClusterSession:
     """The two things a session tells about its cluster."""
 

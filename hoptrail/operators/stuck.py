@@ -84,8 +84,9 @@ def stuck_traces(
     """One alert per silent spell of a trace: session windows on a stream, slots
     on a static frame."""
     if produce.isStreaming:
+        # Session windows also join records that are exactly their gap apart.
         spells = produce.groupBy(
-            F.session_window("event_time", f"{gap_ms} milliseconds"), "trace_id"
+            F.session_window("event_time", f"{gap_ms * 1000 - 1} microseconds"), "trace_id"
         ).agg(F.max(_seen(keep)).alias("last"))
     else:
         spells = silent_spells(produce, gap_ms=gap_ms, keep=keep).where("silent")

@@ -1,31 +1,21 @@
 """Stuck traces on a stream, exact live and on replay.
 
-State holds a trace's arrivals in event-time order, as spells: runs of records closer
-than the gap, each with its first moment and its last record. A record that arrives
-out of order joins, extends or bridges spells. The state is also the timer queue: one
-timer per trace stands at the end of its earliest spell and is replaced as spells
-change. When the watermark passes it, every spell that has ended by then gives its
-alert, so a single catch-up batch with hours of records gives each of them, like a
-live stream does. State per trace is its open spells, not its records.
+A spell is a run of records closer than the gap, kept as its first moment and its last
+record. Spark's session windows hold a trace's open spells in order of event time, and a
+record that arrives out of order joins, extends or bridges them. When the watermark
+passes the end of a spell it gives its alert, so a single catch-up batch with hours of
+records gives each of them, like a live stream does. State per trace is its open spells,
+not its records.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
-from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql import DataFrame
 
-from hoptrail import schemas, wire
-from hoptrail.functions.windows import event_ms
-from hoptrail.shipping import ship
-
-_LAST = ("seen_ms", "hop_count", "topic", "service", "origin_service", "pipeline")
-_STATE = (
-    "spells array<struct<first_ms: bigint, seen_ms: bigint, hop_count: int, topic: string, service: string,"
-    " origin_service: string, pipeline: string>>"
-)
+from hoptrail import wire
+from hoptrail.operators.stuck import stuck_traces
 
 
 def _order(last: tuple) -> tuple:
@@ -34,8 +24,9 @@ def _order(last: tuple) -> tuple:
 
 
 def joined(spells: list[tuple], record: tuple, gap_ms: int) -> list[tuple]:
-    """Spells with one more record, a tuple of the columns ``_LAST``. A spell is
-    (first_ms, last record); they stay in order and at least the gap apart."""
+    """Spells with one more record, which begins with its moment: by hand, for tests to
+    hold the windows against. A spell is (first_ms, last record); they stay in order and
+    at least the gap apart."""
     seen = record[0]
     before = [s for s in spells if s[1][0] <= seen - gap_ms]
     after = [s for s in spells if s[0] >= seen + gap_ms]
@@ -45,88 +36,9 @@ def joined(spells: list[tuple], record: tuple, gap_ms: int) -> list[tuple]:
     return [*before, (first, last), *after]
 
 
-class Spells(StatefulProcessor):
-    """Keeps a trace's open spells and alerts when one has ended."""
-
-    def __init__(self, gap_ms: int):
-        self.gap_ms = gap_ms
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.held = handle.getValueState("spells", _STATE)
-
-    def _read(self) -> list[tuple]:
-        held = self.held.get()
-        return [(s[0], tuple(s[1:])) for s in held[0]] if held else []
-
-    def _timer(self, spells: list[tuple]) -> int | None:
-        return spells[0][1][0] + self.gap_ms if spells else None
-
-    def _keep(self, spells: list[tuple], old: int | None) -> None:
-        """Hold the spells and replace the timer ``old`` if the first spell changed."""
-        new = self._timer(spells)
-        if old is not None and old != new:
-            self.handle.deleteTimer(old)
-        if new is None:
-            self.held.clear()
-            return
-        self.held.update(([(first, *last) for first, last in spells],))
-        if old != new:
-            self.handle.registerTimer(new)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        spells = self._read()
-        old = self._timer(spells)
-        for row in rows:
-            spells = joined(spells, tuple(row[name] for name in _LAST), self.gap_ms)
-        self._keep(spells, old)
-        return iter(())
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        now, spells = timerValues.getCurrentWatermarkInMs(), self._read()
-        ended = [last for _, last in spells if last[0] + self.gap_ms <= now]
-        # A timer that has fired is gone already.
-        self._keep(spells[len(ended) :], None)
-        for seen_ms, hop_count, topic, service, origin_service, pipeline in ended:
-            yield Row(
-                trace_id=key[0],
-                origin_service=origin_service,
-                pipeline=pipeline,
-                last_service=service,
-                last_topic=topic,
-                last_hop_count=hop_count,
-                last_seen_ts_ms=seen_ms,
-                stuck_for_ms=self.gap_ms,
-            )
-
-    def close(self) -> None:
-        pass
-
-
 def stuck_spells(
     produce: DataFrame, gap_ms: int = wire.STUCK_AFTER_MS, terminal_topics: Sequence[str] = ()
 ) -> DataFrame:
-    """Alerts of a watermarked produce stream, one per silent spell."""
-    ship(produce.sparkSession)
-    alerts = (
-        produce.select(
-            "trace_id",
-            event_ms().alias("seen_ms"),
-            "hop_count",
-            F.col("this_topic").alias("topic"),
-            F.col("this_service").alias("service"),
-            "origin_service",
-            "pipeline",
-            "event_time",
-        )
-        .groupBy("trace_id")
-        .transformWithState(
-            statefulProcessor=Spells(gap_ms),
-            outputStructType=schemas.REPORTS["stuck_trace_alerts_1m"],
-            outputMode="append",
-            timeMode="eventTime",
-        )
-    )
-    if terminal_topics:
-        alerts = alerts.where(~F.coalesce(F.col("last_topic").isin(*terminal_topics), F.lit(False)))
-    return alerts
+    """Alerts of a watermarked produce stream, one per silent spell. Event times are whole
+    milliseconds, as a log stamps them."""
+    return stuck_traces(produce, gap_ms, terminal_topics)

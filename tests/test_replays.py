@@ -92,6 +92,25 @@ def test_spells_in_any_order():
             assert last == max(at_once, key=lambda r: (r[1] is not None, r[1]))
 
 
+def test_spells_of_a_stream_equal_those_by_hand(spark, tmp_path):
+    """Window by window in the JVM: a trace does not cross to Python to keep its state."""
+    records = restless(8, 60)
+    folder = in_batches(spark, random.Random(1).sample(records, len(records)), tmp_path / "raw", 1)
+    stream = spells.stuck_spells(produced(replays._signals(spark, folder, wire.WATERMARK_DELAY, None)))
+    plan = stream._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "session_window" in plan
+    expected = []
+    for r in signals(files.read_raw(spark, f"{folder}/records")).collect():
+        expected.append((r["trace_id"], (int(r["event_time"].timestamp() * 1000 + 0.5), r["hop_count"])))
+    by_trace = {}
+    for trace, last in expected:
+        by_trace[trace] = spells.joined(by_trace.get(trace, []), last, 60_000)
+    ended = sorted((trace, *last) for trace, held in by_trace.items() for _, last in held)
+    found = replays._worked_off(stream, "out", str(tmp_path / "out"))
+    columns = ["trace_id", "last_seen_ts_ms", "last_hop_count"]
+    assert sorted(tuple(r) for r in found.select(columns).collect()) == ended and len(ended) > 60
+
+
 def services(minutes):
     """Records of services by the minutes they are active in."""
     return [

@@ -5,7 +5,8 @@ rank waits in the bucket of that rank under its position. Three levels of 64-bit
 words mark the buckets in use, so a find-first-set per level gives the lowest rank
 in constant time. A popped entry whose pair has changed since is stale and skipped.
 A merge costs O(log n) at most, for the order of positions within a bucket, which
-keeps pre-tokens of any length cheap.
+keeps pre-tokens of any length cheap. Short ones, which are nearly all, do without the
+queue: the lowest rank of so few pairs is sooner found by looking at all of them.
 
 Pre-tokens repeat, so a worker keeps the ids of those it has seen, up to a bound.
 
@@ -30,7 +31,9 @@ from hoptrail.llm.workers import held, ship
 MOST_KNOWN = 400_000
 MOST_KNOWN_BYTES = 64
 BATCH_ROWS = 64
+SHORT_BYTES = 40
 
+_NO_RANK = 1 << 62
 _BITS = [1 << i for i in range(64)]
 
 
@@ -88,10 +91,27 @@ class Merger:
 
     def merge(self, token: bytes) -> list[int]:
         """The ids of one pre-token."""
-        get, push, pop = self.ranks.get, self.push, self.pop
-        whole = get(token)
+        whole = self.ranks.get(token)
         if whole is not None:
             return [whole]
+        return self.merge_short(token) if len(token) <= SHORT_BYTES else self.merge_long(token)
+
+    def merge_short(self, token: bytes) -> list[int]:
+        get = self.ranks.get
+        parts = [token[i : i + 1] for i in range(len(token))]
+        waits = [get(token[i : i + 2], _NO_RANK) for i in range(len(token) - 1)]
+        while waits and (low := min(waits)) != _NO_RANK:
+            i = waits.index(low)
+            parts[i] = part = parts[i] + parts.pop(i + 1)
+            del waits[i]
+            if i < len(waits):
+                waits[i] = get(part + parts[i + 1], _NO_RANK)
+            if i:
+                waits[i - 1] = get(parts[i - 1] + part, _NO_RANK)
+        return [self.ranks[part] for part in parts]
+
+    def merge_long(self, token: bytes) -> list[int]:
+        get, push, pop = self.ranks.get, self.push, self.pop
         n = len(token)
         after = list(range(1, n + 1))
         before = list(range(-1, n - 1))
@@ -143,6 +163,7 @@ class Tokenizer:
         self.bytes_of = [b""] * (max(ranks.values()) + 1)
         for piece, rank in ranks.items():
             self.bytes_of[rank] = piece
+        self.decimal = [str(rank) for rank in range(len(self.bytes_of))]
         self.known: dict[str, tuple[int, ...]] = {}
 
     def _ids(self, token: str) -> tuple[int, ...]:
@@ -161,6 +182,9 @@ class Tokenizer:
             extend(self._ids(token) if ids is None else ids)
         return out
 
+    def joined(self, ids: list[int]) -> str:
+        return " ".join(map(self.decimal.__getitem__, ids))
+
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
@@ -192,7 +216,7 @@ def encode_texts(docs: DataFrame, rank_file: str, pattern: str, keep: list[str],
                 for text in part.column("_plain_text").to_pylist():
                     ids = own.encode(text or "")
                     counts.append(len(ids))
-                    ids_digests.append(hashlib.sha256(" ".join(map(str, ids)).encode()).hexdigest())
+                    ids_digests.append(hashlib.sha256(own.joined(ids).encode()).hexdigest())
                     digests.append(hashlib.sha256(own.decode(ids)).hexdigest())
                     if with_ids:
                         all_ids.append(ids)

@@ -56,6 +56,15 @@ def test_long_pre_tokens(own, theirs):
         assert own.encode(text) == theirs.encode_ordinary(text)
 
 
+def test_short_pre_tokens_are_merged_as_long_ones(own, theirs):
+    merger = bpe.Merger(own.ranks)
+    words = ["thonerthing"[i % 7 :] * (1 + i % 9) + "éàxq"[i % 4] * (i % 5) for i in range(400)] + ["a", "aa" * 20, "é漢"]
+    for word in words:
+        data = word.encode()
+        assert merger.merge_short(data) == merger.merge_long(data)
+        assert merger.merge(data) == theirs.encode_ordinary(word)
+
+
 def test_edges(spark, theirs):
     docs = cases.edge_documents(spark)
     rows = bpe.encode_texts(docs, FILE, public_tokenizers.PATTERN, ["doc_id", "kept"], with_ids=True).collect()

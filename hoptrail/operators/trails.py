@@ -128,10 +128,11 @@ def in_order(
     """Number the rows of each trace from 1 in event-time order.
 
     ``order`` and the event time must tell apart all rows that differ. Equal rows
-    are counted first, and positions come from running sums of counts through fixed
-    levels: minutes of a trace, milliseconds of a minute (60,000 at most), distinct
-    rows of a millisecond. However many records a trace has in a minute, no task
-    sorts more than that. Rows without an event time come last.
+    are counted first, and positions come from running sums of counts through two
+    levels: minutes of a trace, distinct rows of a minute. However many records a trace
+    has, no task sorts more than its minutes, or what differs among the records of one
+    (60,000 milliseconds, by what ``order`` tells apart). Rows without an event time
+    come last.
     """
     columns = rows.columns
     counted = (
@@ -147,15 +148,10 @@ def in_order(
         window = Window.partitionBy(*within).orderBy(*by).rowsBetween(Window.unboundedPreceding, Window.currentRow)
         return df.withColumn(name, F.sum("n").over(window) - F.col("n"))
 
-    moments = counted.groupBy("trace_id", "slot", "at").agg(F.sum("n").alias("n"))
-    slots = moments.groupBy("trace_id", "slot").agg(F.sum("n").alias("n"))
+    slots = counted.groupBy("trace_id", "slot").agg(F.sum("n").alias("n"))
     slots = running(slots, ["trace_id"], ["slot"], "before_slot").drop("n")
-    moments = running(moments, ["trace_id", "slot"], ["at"], "before_moment").drop("n")
-    before = moments.join(slots, ["trace_id", "slot"]).select(
-        "trace_id", "slot", "at", (F.col("before_slot") + F.col("before_moment")).alias("before")
-    )
-    placed = running(counted, ["trace_id", "slot", "at"], order, "before_row").join(before, ["trace_id", "slot", "at"])
-    first = F.col("before") + F.col("before_row") + 1
+    placed = running(counted, ["trace_id", "slot"], ["at", *order], "before_row").join(slots, ["trace_id", "slot"])
+    first = F.col("before_slot") + F.col("before_row") + 1
     return placed.select(*columns, F.explode(F.sequence(first, first + F.col("n") - 1)).alias("pos"))
 
 

@@ -306,7 +306,9 @@ QUERIES: dict[str, Query] = {
     "l26_dated_path": _dated_path,
     "l26_one_trace": _looked_up,
     "l27_missed_services": _produce(questions.missed_services),
-    "l28_trace_journey": _signals(trails.trace_journey),
+    "l28_trace_journey": _raw(
+        lambda raw: trails.trace_journey(views.signals(raw, fields=["this_service", "this_topic", "hop_count"]))
+    ),
     "l29_audit": _signals(questions.audit),
     "l30_correlated": _correlated,
     "l12_traces_across_days": _produce(_distinct_across_days),

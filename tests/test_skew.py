@@ -144,3 +144,8 @@ def test_percentiles_far_from_zero(spark):
     row = exact_percentiles(df, ["key"], "v").first()
     for q, got in zip((0.5, 0.95, 0.99), (row.p50_ms, row.p95_ms, row.p99_ms)):
         assert got == pytest.approx(interpolated(values, q), rel=1e-12)
+
+
+def test_positions_cost_one_join(produce):
+    plan = trails.trace_path(produce)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join ") == 1

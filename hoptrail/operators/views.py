@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -38,8 +38,11 @@ def header_texts(raw: DataFrame, keep: Sequence[str] = (), fields: Sequence[str]
     found = raw.selectExpr("*", f"{reversed_keys_sql()} as header_keys").selectExpr(
         *keep, f"explode(array({lookups})) as tag"
     )
-    if fields is None:
-        return found
+    return found if fields is None else _filled(found, wanted, keep)
+
+
+def _filled(found: DataFrame, wanted: Iterable[str], keep: Sequence[str]) -> DataFrame:
+    """The same struct ``tag`` with nulls for the headers that nobody looked up."""
     texts = [f"'{f}', " + (f"tag.{f}" if f in wanted else "cast(null as string)") for f in _FIELDS]
     return found.selectExpr(*keep, f"named_struct({', '.join(texts)}) as tag")
 
@@ -58,24 +61,43 @@ def signals(raw: DataFrame, keep: Sequence[str] = (), fields: Sequence[str] | No
     those looked up.
     """
     wanted = None if fields is None else (*_ALWAYS, *fields)
-    return (
-        header_texts(raw, ["event_time", *keep], wanted)
-        .where("tag.trace_id is not null")
-        .selectExpr(
-            "tag.trace_id",
-            "try_cast(tag.origin_ts as bigint) as origin_ts_ms",
-            "tag.origin_service",
-            "tag.pipeline",
-            "tag.this_service",
-            "tag.this_topic",
-            "try_cast(tag.hop_count as int) as hop_count",
-            "tag.consumer_service",
-            "event_time",
-            *keep,
-        )
+    return _typed(header_texts(raw, ["event_time", *keep], wanted), keep)
+
+
+def _typed(texts: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
+    return texts.where("tag.trace_id is not null").selectExpr(
+        "tag.trace_id",
+        "try_cast(tag.origin_ts as bigint) as origin_ts_ms",
+        "tag.origin_service",
+        "tag.pipeline",
+        "tag.this_service",
+        "tag.this_topic",
+        "try_cast(tag.hop_count as int) as hop_count",
+        "tag.consumer_service",
+        "event_time",
+        *keep,
     )
 
 
+def text_columns(raw: DataFrame, fields: Sequence[str], by_trace: bool = True) -> DataFrame:
+    """Event time and the looked-up headers of all records, untagged ones too, as plain
+    columns to be stored for :func:`text_signals`. Ids are most of such a table; without
+    ``by_trace`` an empty one stands for each, which still tells tagged records."""
+    trace = "tag.trace_id" if by_trace else "if(tag.trace_id is null, null, '')"
+    return header_texts(raw, ["event_time"], (*_ALWAYS, *fields)).selectExpr(
+        "event_time", f"{trace} as trace_id", "tag.consumer_service", *[f"tag.{f}" for f in fields]
+    )
+
+
+def text_signals(texts: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The signals of stored text columns. A generator again keeps the filters where they
+    are: pushed below a watermark, they would hide from it the time of untagged records."""
+    wanted = (*_ALWAYS, *fields)
+    pairs = ", ".join(f"'{f}', {f}" for f in wanted)
+    tags = texts.selectExpr("event_time", f"explode(array(named_struct({pairs}))) as tag")
+    return _typed(_filled(tags, wanted, ["event_time"]))
+
+
 def with_latency(df: DataFrame) -> DataFrame:
     """Milliseconds from the trace's origin to this record; null when unknown."""
     return df.withColumn("latency_ms", F.expr(_LATENCY))

@@ -81,6 +81,13 @@ CONSUME = _table(
     "hop_count_at_consume int, event_time timestamp"
 )
 
+# Headers of a record as they were looked up, before any number is read.
+TEXTS = _table(
+    "event_time timestamp, trace_id string, origin_ts string, origin_service string,"
+    "pipeline string, this_service string, this_topic string, hop_count string,"
+    "consumer_service string"
+)
+
 REPORTS = {
     "latency_report_1m": _table(
         "window_start bigint, window_end bigint, pipeline string, origin_service string,"

@@ -42,8 +42,21 @@ def read_raw(
     spark: SparkSession, folder: str, stream: bool = False, files_per_trigger: int | None = None
 ) -> DataFrame:
     """Raw records from Parquet files, as a table or as a stream of new files."""
+    return _read(spark, schemas.RAW, folder, stream, files_per_trigger)
+
+
+def read_texts(
+    spark: SparkSession, folder: str, stream: bool = False, files_per_trigger: int | None = None
+) -> DataFrame:
+    """Stored text columns of records; those that were not stored are null."""
+    return _read(spark, schemas.TEXTS, folder, stream, files_per_trigger)
+
+
+def _read(
+    spark: SparkSession, schema: StructType, folder: str, stream: bool, files_per_trigger: int | None
+) -> DataFrame:
     reader = spark.readStream if stream else spark.read
-    reader = reader.schema(schemas.RAW).option("recursiveFileLookup", "true")
+    reader = reader.schema(schema).option("recursiveFileLookup", "true")
     if stream and files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
     return reader.parquet(folder)

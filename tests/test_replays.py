@@ -228,3 +228,56 @@ def test_what_comes_after_the_horizon_does_not_count(spark, tmp_path):
     folder = in_batches(spark, rows, tmp_path / "raw", 1)
     found = run(spark, folder, fates.completions, tmp_path / "out", 1).collect()
     assert {r["trace_id"][-1]: r["done_time"] is not None for r in found} == {"0": True, "1": False}
+
+
+def untagged(ms):
+    return record(ms, trace=None)
+
+
+REPLAYS = {
+    "silent": (lambda s: liveness.silent_services(produced(s)), {"this_service"}, False),
+    "sightings": (lambda s: liveness.new_services(produced(s)), {"this_service"}, False),
+    "stuck": (lambda s: spells.stuck_spells(produced(s)), set(replays._ALERTED), True),
+    "drop_off": (fates.drop_off, {"this_topic"}, True),
+    "completion": (fates.completions, set(replays._PLACED), True),
+}
+
+
+@pytest.mark.parametrize("name", REPLAYS)
+def test_a_replay_stores_what_its_stream_needs(spark, tmp_path, monkeypatch, name):
+    """No payload, no list of headers, no header that is not asked for, and ids only if
+    the stream goes by them; the rows are those of a stream over whole records, with
+    untagged records, markers and records without a time among them."""
+    build, needed, by_trace = REPLAYS[name]
+    records = services(ACTIVE) + chain(12) + [untagged(START - 5), untagged(START + 40_000_000)]
+    whole = frame(spark, records).unionByName(
+        frame(spark, [record(START, trace="f" * 32)]).withColumn("event_time", F.lit(None).cast("timestamp"))
+    )
+    monkeypatch.setattr(replays, "scratch_path", lambda spark, kind: str(tmp_path / kind))
+    found = getattr(replays, name)(whole)
+    kept = spark.read.parquet(str(tmp_path / "replay" / "records"))
+    assert set(kept.columns) == {"event_time", "trace_id", "consumer_service"} | needed
+    assert kept.count() == len(records) + 1 and kept.where("trace_id is null").count() == 2
+    assert (kept.select("trace_id").distinct().count() > 2) == by_trace
+    expected = run(spark, in_batches(spark, records, tmp_path / "raw", 1), build, tmp_path / "whole", 1)
+    finish = {"drop_off": fates.drop_off_per_minute, "completion": fates.completion_share}.get(name, lambda df: df)
+    same(found, finish(expected))
+
+
+def test_the_audit_stores_its_headers_once(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(replays, "scratch_path", lambda spark, kind: str(tmp_path / kind))
+    rows = frame(spark, chain(13))
+    found = replays.audit(rows)
+    kept = spark.read.parquet(str(tmp_path / "replay" / "records"))
+    assert set(kept.columns) == {"event_time", "trace_id", "consumer_service", *replays._PLACED, *replays._ALERTED}
+    same(found, questions.audit(signals(rows)))
+
+
+def test_untagged_records_move_the_watermark_of_stored_columns(spark, tmp_path):
+    """Service ``a`` comes once; only the untagged closing record tells that it is silent."""
+    folder = replays.stored(frame(spark, [record(START, service="a")]), ["this_service"], False)
+    closing = files.read_texts(spark, f"{folder}/closing").first()
+    assert closing["trace_id"] is None and closing["this_service"] is None
+    stream = replays._stored_signals(spark, folder, wire.WATERMARK_DELAY, None, ["this_service"])
+    found = replays._worked_off(liveness.silent_services(produced(stream)), "out", str(tmp_path / "out"))
+    assert sorted((r["window_start"] - START) // MINUTE for r in found.collect()) == list(range(1, 60))

@@ -8,47 +8,49 @@ from pyspark.sql import functions as F
 from hoptrail.llm.spool import discard, passing, spool
 
 
-def _mark(edges: DataFrame) -> tuple:
-    """Number of edges and two sums of 64-bit hashes, the same only for the same edges."""
-    marks = [F.sum(F.xxhash64(*way).cast("decimal(38,0)")) for way in (("u", "v"), ("v", "u"))]
-    return tuple(edges.agg(F.count("*"), *marks).first())
-
-
-def components(links: DataFrame) -> DataFrame:
-    """Rows (``node``, ``component``) for the nodes of ``links`` (``a``, ``b``); the
-    component is its smallest node.
-
-    Large and small stars alternate until the edges stay the same: every node hands
-    its smallest neighbour to the larger ones, then to the smaller ones. Minima
-    combine before the shuffle, so a node with very many links is no hot spot, and
-    the number of rounds grows with the logarithm of the longest path.
+def _ragged(edges: DataFrame) -> bool:
+    """Whether some node has a smaller neighbour and another neighbour besides. Without
+    such a node every edge leads straight to the smallest node of its component."""
+    both = edges.union(edges.select("v", "u"))
+    ends = both.groupBy("u").agg(F.min("v").alias("least"), F.max("v").alias("most"))
+    return ends.where("least < u and least < most").count() > 0
+
+
+def _drawn_together(edges: DataFrame) -> DataFrame:
+    """Every node hands its smallest neighbour to the larger ones, then to the smaller ones."""
+    back = edges.selectExpr("v as u", "u as v")
+    least = edges.union(back).groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+    large = back.join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+    least = large.groupBy("u").agg(F.min("v").alias("m"))
+    ends = F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))
+    return large.join(least, "u").select(F.explode(ends).alias("e")).select("e.u", "e.v").where("u <> v").distinct()
+
+
+def stars(links: DataFrame) -> DataFrame:
+    """Rows (``node``, ``component``) for the nodes of ``links`` (``a``, ``b``) that are
+    not the smallest of their component, which is the component's name. ``links`` is
+    read several times; stars found before may be among them, so that more links cost
+    few rounds.
+
+    Large and small stars alternate, in one job a round, until the edges are stars.
+    Minima combine before the shuffle; the links of a node meet its minimum in one
+    task. The number of rounds grows with the logarithm of the longest path.
     """
     with passing() as held:
-        edges = spool(
-            links.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v").distinct()
-        )
-        seen = None
-        while (mark := _mark(edges)) != seen:
-            seen = mark
-            both = edges.union(edges.selectExpr("v", "u"))
-            least = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
-            large = (
-                both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-            ).where("u <> v").distinct()
-            large = spool(large)
-            least = large.groupBy("u").agg(F.min("v").alias("m"))
-            small = (
-                large.join(least, "u")
-                .select(F.explode(F.array(F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct("u", F.col("m").alias("v")))).alias("e"))
-                .select("e.u", "e.v")
-                .where("u <> v")
-                .distinct()
-            )
-            later = spool(small)
-            discard(edges, large)
-            edges = later
-        stars = edges.groupBy("u").agg(F.min("v").alias("component"))
-        roots = stars.selectExpr("component as node", "component").distinct()
-        found = spool(stars.selectExpr("u as node", "component").union(roots))
+        edges, found = links.selectExpr("greatest(a, b) as u", "least(a, b) as v").where("u <> v"), None
+        while _ragged(edges):
+            later = spool(_drawn_together(edges).toDF("node", "component"))
+            if found is not None:
+                discard(found)
+            edges, found = later.toDF("u", "v"), later
+        if found is None:
+            found = spool(edges.distinct().toDF("node", "component"))
         held.append(found)
     return found
+
+
+def components(links: DataFrame) -> DataFrame:
+    """Rows (``node``, ``component``) for all nodes of ``links`` (``a``, ``b``); the
+    component is its smallest node."""
+    found = stars(links)
+    return found.union(found.selectExpr("component as node", "component").distinct())

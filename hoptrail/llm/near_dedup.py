@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hoptrail.llm import arrays
-from hoptrail.llm.components import components
+from hoptrail.llm.components import stars
 from hoptrail.llm.spool import only_ids, passing, spool
 from hoptrail.llm.workers import ship
 
@@ -323,7 +323,9 @@ def leading_shingles(nodes: DataFrame, docs: DataFrame, words: int, percent: int
 def open_pairs(members: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
     """All pairs in different components that may be linked, of the documents that
     share a bucket with another component."""
-    nodes = spool(open_buckets(members).select("rep", "component", "n", *LOW_BITS).distinct())
+    spread = members.groupBy("band").agg(F.min("component").alias("low"), F.max("component").alias("high"))
+    several = members.join(spread.where("low < high"), "band", "left_semi")
+    nodes = spool(several.select("rep", "component", "n", *LOW_BITS).distinct())
     held = spool(open_buckets(leading_shingles(nodes, docs, words, percent)))
     # Before their first common shingle the two share nothing, and behind it at most
     # what is left of the shorter rest.
@@ -351,17 +353,17 @@ def near_duplicates(docs: DataFrame, words: int = SHINGLE_WORDS, percent: int =
         all_members = bands(classes)
         shared = all_members.groupBy("band").agg(F.count("*").alias("size")).where("size > 1").select("band")
         members = spool(all_members.join(shared, "band").join(classes.select("rep", "n", *LOW_BITS), "rep"))
-        links = known = tried = None
+        known = tried = None
         for turn in range(LEADER_ROUNDS + 1):
             tagged = _with_component(members, known)
             pairs = leader_pairs(tagged, turn, percent) if turn < LEADER_ROUNDS else open_pairs(tagged, docs, words, percent)
             if tried is not None:
                 pairs = pairs.join(tried, ["a", "b"], "left_anti")
-            pairs = spool(pairs)
+            if turn < LEADER_ROUNDS:
+                pairs = spool(pairs)
+                tried = pairs if tried is None else tried.union(pairs)
             found = spool(verified(spool(promising(pairs, classes, percent)), docs, words, percent))
-            links = found if links is None else links.union(found)
-            tried = pairs if tried is None else tried.union(pairs)
-            known = components(links)
+            known = stars(found if known is None else known.toDF("a", "b").union(found))
         held += [sketched, classes, known]
     copies = classes.where("copies > 1").select("n", "d1", "d2", "rep")
     joined = sketched.select("doc_id", "n", "d1", "d2").join(copies, ["n", "d1", "d2"], "left")

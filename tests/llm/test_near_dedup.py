@@ -105,3 +105,42 @@ def test_components(spark):
     expected = {i: 0 for i in range(41)} | {100 + i: 100 for i in range(30)} | {160: 100, 200: 200, 300: 200}
     assert found == expected
     assert components.components(df.limit(0)).count() == 0
+
+
+def test_links_that_are_stars_need_no_round_and_a_round_is_written_once(spark, monkeypatch):
+    written = []
+    spool = components.spool
+    monkeypatch.setattr(components, "spool", lambda df, **options: written.append(1) or spool(df, **options))
+    links = spark.createDataFrame([(100, 100 + i) for i in range(1, 40)] + [(700, 650)], "a long, b long")
+    found = components.components(links)
+    expected = {100 + i: 100 for i in range(40)} | {650: 650, 700: 650}
+    assert {r["node"]: r["component"] for r in found.collect()} == expected
+    assert len(written) == 1
+    more = spark.createDataFrame([(139, 700), (650, 20)], "a long, b long")
+    found = components.components(components.stars(links).toDF("a", "b").union(more))
+    assert {r["node"]: r["component"] for r in found.collect()} == {i: 20 for i in expected} | {20: 20}
+    assert len(written) <= 6
+
+
+def copies(groups, size, seed):
+    """Groups of near copies, each with words of its own in a common text."""
+    rng, out = random.Random(seed), []
+    for group in range(groups):
+        text = [f"g{group}w{i}" for i in range(80)]
+        for i in range(size):
+            own = text[:]
+            for at in rng.sample(range(80), 3):
+                own[at] = f"o{group}x{i}x{at}"
+            out.append((group * 10_000 + i * 7, " ".join(own)))
+    return out
+
+
+def test_a_large_group_of_near_copies_writes_few_tables(spark, monkeypatch):
+    rows = copies(1, 150, 4) + copies(3, 2, 5)[2:] + chain(12, 90) + [(500_000 + i, "the same few words " * 9) for i in range(60)]
+    written = []
+    for module in (components, near_dedup):
+        spool = module.spool
+        monkeypatch.setattr(module, "spool", lambda df, spool=spool, **options: written.append(1) or spool(df, **options))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    check(cases.by_id(near_dedup.near_duplicates(docs, words=2)), brute(rows, 2))
+    assert len(written) <= 30
